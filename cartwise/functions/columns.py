@@ -11,8 +11,14 @@ def col(c):
 
 
 def as_time(value):
-    """A cutoff may be a Python datetime, an ISO text or a Column (also a scalar subquery)."""
-    return value if isinstance(value, Column) else F.lit(value).cast("timestamp_ntz")
+    """A moment without zone from a Column, an ISO text or a naive Python datetime.
+
+    A datetime goes through its text: as a literal it would be read in the zone of the
+    driver process.
+    """
+    if isinstance(value, Column):
+        return value
+    return F.lit(None if value is None else str(value)).cast("timestamp_ntz")
 
 
 def days(n):

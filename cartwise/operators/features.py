@@ -26,12 +26,12 @@ def reference_dates(purchases, label_days=LABEL_DAYS):
 
 
 def data_end(purchases):
-    """Scalar subquery: the plan that uses it stays lazy."""
-    return reference_dates(purchases).select("data_end").scalar()
+    """The moment as a naive datetime. As a literal it can prune files and row groups."""
+    return reference_dates(purchases).first()["data_end"]
 
 
 def training_cutoff(purchases, label_days=LABEL_DAYS):
-    return reference_dates(purchases, label_days).select("cutoff").scalar()
+    return reference_dates(purchases, label_days).first()["cutoff"]
 
 
 def activity(raw):

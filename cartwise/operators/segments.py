@@ -34,26 +34,24 @@ def rfm(clean):
 
 
 def scaled(df, columns, mean, std):
-    """log1p, then (x - mean) / std. A constant column becomes 0."""
-    return df.withColumns({
-        f"{c}_scaled": F.when(std[c] > 0, (F.log1p(c) - mean[c]) / std[c]).otherwise(F.lit(0.0))
-        for c in columns
-    })
+    """log1p, then (x - mean) / std, with statistics given as numbers or columns.
+
+    A constant column becomes 0.
+    """
+    def z(c):
+        deviation = F.lit(std[c])
+        return F.when(deviation > 0, (F.log1p(c) - F.lit(mean[c])) / deviation).otherwise(0.0)
+
+    return df.withColumns({f"{c}_scaled": z(c) for c in columns})
 
 
 def scale_features(df, columns=RFM_COLUMNS):
     """Zero mean and unit population variance of the log1p values, over all rows of df."""
-    stats = df.select(*[F.log1p(c).alias(c) for c in columns]).agg(F.struct(
-        *[F.avg(c).alias(f"{c}_mean") for c in columns],
-        *[F.stddev_pop(c).alias(f"{c}_std") for c in columns],
-    )).scalar()
-    return scaled(df, columns,
-                  {c: stats[f"{c}_mean"] for c in columns},
-                  {c: stats[f"{c}_std"] for c in columns})
+    return scaled(df, columns, *scaler_parameters(df, columns))
 
 
 def scaler_parameters(df, columns=RFM_COLUMNS):
-    """The same statistics as numbers, to scale later data with: (mean, std) by column."""
+    """Mean and population deviation of the log1p values: two dictionaries by column."""
     logs = df.select(*[F.log1p(c).alias(c) for c in columns])
     row = logs.agg(*[F.avg(c).alias(f"{c}_mean") for c in columns],
                    *[F.stddev_pop(c).alias(f"{c}_std") for c in columns]).first()

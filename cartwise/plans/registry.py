@@ -3,6 +3,8 @@
 Each one starts from the whole tables. Sums of doubles are rounded here, and only here,
 because their last digits depend on the order of summation.
 """
+from functools import cached_property
+
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_time
@@ -19,67 +21,118 @@ OVERLAP_START, OVERLAP_END = "1998-01-01", "1998-01-10"
 # Rounds of boosting in the registered training queries; the library default is 300.
 QUERY_ROUNDS = 20
 
-raw = retail_view.raw_transactions
+class Retail:
+    """The tables a query may need, over one folder of test tables.
+
+    All of them are lazy except the two dates, which are read once when first used.
+    """
+
+    def __init__(self, spark, sf_dir):
+        self.spark = spark
+        self.raw = retail_view.raw_transactions(spark, sf_dir)
+
+    @cached_property
+    def clean(self):
+        return cleaning.clean_transactions(self.raw)
+
+    @cached_property
+    def cancelled(self):
+        return cleaning.cancellations(self.raw)
+
+    @cached_property
+    def activity(self):
+        return features.activity(self.raw)
+
+    @cached_property
+    def cutoff(self):
+        return features.training_cutoff(self.clean)
+
+    @cached_property
+    def today(self):
+        return features.data_end(self.clean)
+
+    @cached_property
+    def parts(self):
+        """Two slices of the lines that overlap by some days."""
+        date = F.col("invoice_date")
+        return [self.raw.where(date < as_time(OVERLAP_END)),
+                self.raw.where(date >= as_time(OVERLAP_START))]
+
+    @cached_property
+    def past(self):
+        return self.clean.where(F.col("invoice_date") < as_time(self.cutoff))
+
+    @cached_property
+    def training(self):
+        return features.training_set(self.activity, self.cutoff, HOME)
+
+    @cached_property
+    def current(self):
+        return features.features_as_of(self.activity, self.today, HOME)
+
+    @cached_property
+    def rfm(self):
+        return segments.rfm(self.clean)
+
+    @cached_property
+    def clustered(self):
+        """RFM with the nearest frozen centre; kept, because naming reads it twice."""
+        scaled = segments.scaled(self.rfm, RFM_COLUMNS, frozen.RFM_MEANS, frozen.RFM_STDS)
+        return checkpointed(segments.nearest_centre(scaled, frozen.CENTRES))
+
+    @cached_property
+    def segments(self):
+        return segments.assign_segments(self.clustered)
+
+    @cached_property
+    def scored(self):
+        """Labelled training customers with the probability of the frozen model."""
+        return frozen.model().with_probability(self.training)
+
+    @cached_property
+    def scores(self):
+        """Current customers as published for the dashboard."""
+        return scoring.score_customers(
+            self.activity, self.today, frozen.model(), self.segments, HOME)
+
+    @cached_property
+    def folded(self):
+        return modeling.with_folds(checkpointed(self.training))
+
+    @cached_property
+    def comparison(self):
+        """Both frozen models on all labelled customers, and per fold."""
+        models = {"logistic_regression": frozen.model(), "boosted_trees": frozen.second_model()}
+        scored = checkpointed(files.union_parts([
+            m.with_probability(self.folded).select("fold", "churned", "churn_probability")
+            .withColumn("model", F.lit(name)) for name, m in models.items()]))
+        return metrics.compare_models(scored, scored, list(models))
+
+    @cached_property
+    def attribution(self):
+        return explain.linear_attribution(features.eligible(self.current), frozen.model())
+
+    @cached_property
+    def requests(self):
+        """Feature rows in which every 7th customer breaks one rule and every 11th another."""
+        rows = self.current.select(
+            "customer_id", *[F.col(c).cast("double") for c in FEATURE_COLUMNS])
+        customer, recency, frequency = (
+            F.col(c) for c in ("customer_id", "recency_days", "frequency"))
+        return rows.withColumns({
+            "recency_days": F.when(customer % 7 == 0, -1.0).otherwise(recency),
+            "frequency": F.when(customer % 11 == 0, F.lit(None)).otherwise(frequency),
+        })
+
+    @cached_property
+    def trained(self):
+        return modeling.train_and_select(self.training, modeling.make_models(QUERY_ROUNDS))
 
 
 def rounded(df, digits=2, *columns):
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-def clean(spark, d):
-    return cleaning.clean_transactions(raw(spark, d))
-
-
-def cutoff(spark, d):
-    return features.training_cutoff(clean(spark, d))
-
-
-def today(spark, d):
-    return features.data_end(clean(spark, d))
-
-
-def parts(spark, d):
-    """Two slices of the lines that overlap by some days."""
-    lines = raw(spark, d)
-    date = F.col("invoice_date")
-    return [lines.where(date < as_time(OVERLAP_END)), lines.where(date >= as_time(OVERLAP_START))]
-
-
-def training_set(spark, d):
-    return features.training_set(features.activity(raw(spark, d)), cutoff(spark, d), HOME)
-
-
-def current_features(spark, d):
-    return features.features_as_of(features.activity(raw(spark, d)), today(spark, d), HOME)
-
-
-def frozen_segments(spark, d):
-    scaled = segments.scaled(segments.rfm(clean(spark, d)), RFM_COLUMNS,
-                             frozen.RFM_MEANS, frozen.RFM_STDS)
-    return segments.assign_segments(segments.nearest_centre(scaled, frozen.CENTRES))
-
-
-def frozen_scores(spark, d):
-    """Labelled training customers with the probability of the frozen model."""
-    return frozen.model().with_probability(training_set(spark, d))
-
-
-def customer_scores(spark, d):
-    return scoring.score_customers(features.activity(raw(spark, d)), today(spark, d),
-                                   frozen.model(), frozen_segments(spark, d), HOME)
-
-
-def frozen_comparison(spark, d):
-    """Both frozen models on all labelled customers, and per fold."""
-    folded = modeling.with_folds(checkpointed(training_set(spark, d)))
-    models = {"logistic_regression": frozen.model(), "boosted_trees": frozen.second_model()}
-    both = files.union_parts([
-        m.with_probability(folded).select("fold", "churned", "churn_probability")
-        .withColumn("model", F.lit(name)) for name, m in models.items()])
-    scored = checkpointed(both)
-    return metrics.compare_models(scored, scored, list(models))
-
-
 def _features_rounded(df):
     return rounded(rounded(df, 2, "monetary"), 6, "avg_order_value", "cancel_rate")
 
@@ -88,230 +141,190 @@ def _scores_rounded(df):
     return rounded(_features_rounded(df), 6, "churn_probability")
 
 
-def prediction_requests(spark, d):
-    """Feature rows in which every 7th customer breaks one rule and every 11th another."""
-    rows = current_features(spark, d).select(
-        "customer_id", *[F.col(c).cast("double") for c in FEATURE_COLUMNS])
-    return rows.withColumns({
-        "recency_days": F.when(F.col("customer_id") % 7 == 0, -1.0).otherwise(F.col("recency_days")),
-        "frequency": F.when(F.col("customer_id") % 11 == 0, F.lit(None)).otherwise(F.col("frequency")),
-    })
-
-
-def predict_stream(spark, d):
-    """The same requests through a file stream."""
-    inbox, output, state = (new_folder(spark, n) for n in ("requests", "predictions", "state"))
-    files.write_files(prediction_requests(spark, d), inbox)
-    stream = streaming.read_feature_stream(spark, inbox)
-    streaming.start_predictions(stream, frozen.model(), output, state).awaitTermination()
-    return _predictions(spark.read.parquet(output))
+def _action_rounded(df):
+    return rounded(rounded(df, 2, "monetary"), 6, "churn_probability", "avg_order_value")
 
 
 def _predictions(df):
     return df.select("customer_id", "churn_probability", "will_churn")
 
 
-def split_sizes(spark, d):
-    train, test = modeling.stratified_split(checkpointed(training_set(spark, d)))
-    both = train.select("churned", F.lit("train").alias("part")).unionByName(
-        test.select("churned", F.lit("test").alias("part")))
-    return both.groupBy("part", "churned").agg(F.count(F.lit(1)).alias("customers"))
+def predict_stream(r):
+    """The requests of predict_batch through a file stream."""
+    inbox, output, state = (new_folder(r.spark, n) for n in ("requests", "predictions", "state"))
+    files.write_files(r.requests, inbox)
+    stream = streaming.read_feature_stream(r.spark, inbox)
+    streaming.start_predictions(stream, frozen.model(), output, state).awaitTermination()
+    return _predictions(r.spark.read.parquet(output))
 
 
-def stratified_split(spark, d):
-    _, test = modeling.stratified_split(checkpointed(training_set(spark, d)))
+def stratified_split(r):
+    _, test = modeling.stratified_split(checkpointed(r.training))
     return test.select("customer_id", "churned")
 
 
-def stratified_folds(spark, d):
-    return modeling.with_folds(checkpointed(training_set(spark, d))).select(
-        "customer_id", "churned", "fold")
-
-
-def trained(spark, d):
-    return modeling.train_and_select(training_set(spark, d), modeling.make_models(QUERY_ROUNDS))
+def split_sizes(r):
+    train, test = modeling.stratified_split(checkpointed(r.training))
+    both = train.select("churned", F.lit("train").alias("part")).unionByName(
+        test.select("churned", F.lit("test").alias("part")))
+    return both.groupBy("part", "churned").agg(F.count(F.lit(1)).alias("customers"))
 
 
-def trained_tree_attribution(spark, d):
-    rows = checkpointed(modeling.as_doubles(training_set(spark, d)))
+def trained_tree_attribution(r):
+    rows = checkpointed(modeling.as_doubles(r.training))
     fitted = modeling.boosted_trees(rounds=QUERY_ROUNDS).fit(rows)
     return explain.tree_attribution(rows, explain.tree_leaves(fitted))
 
 
-def frozen_attribution(spark, d):
-    return explain.linear_attribution(
-        features.eligible(current_features(spark, d)), frozen.model())
-
-
-def frozen_tree_attribution(spark, d):
-    return explain.tree_attribution(
-        features.eligible(current_features(spark, d)), frozen.leaves())
-
-
-def kmeans_segments(spark, d):
-    return rounded(segments.segment_customers(clean(spark, d)), 2, "monetary")
-
-
-def choose_k(spark, d):
-    return segments.choose_k(segments.scale_features(segments.rfm(clean(spark, d))), n_init=2)
-
-
-def name_segments(spark, d):
-    scaled = segments.scaled(segments.rfm(clean(spark, d)), RFM_COLUMNS,
-                             frozen.RFM_MEANS, frozen.RFM_STDS)
-    return segments.name_segments(
-        segments.cluster_profile(segments.nearest_centre(scaled, frozen.CENTRES)))
-
-
-def past(spark, d):
-    return clean(spark, d).where(F.col("invoice_date") < cutoff(spark, d))
-
-
-def riskiest_explained(spark, d):
-    current = checkpointed(features.eligible(current_features(spark, d)))
+def riskiest_explained(r):
+    current = checkpointed(features.eligible(r.current))
     scores = frozen.model().with_probability(current)
     return explain.explain_riskiest(scores, explain.linear_attribution(current, frozen.model()))
 
 
-QUERIES = {
+TABLE_QUERIES = {
     # Cleaning and loading
-    "raw_transactions": raw,
-    "clean_transactions": clean,
-    "cancellations": lambda s, d: cleaning.cancellations(raw(s, d)),
-    "merge_parts": lambda s, d: files.merge_parts(parts(s, d)),
-    "duplicates_removed": lambda s, d: files.duplicates_removed(parts(s, d)),
-    "fractional_ids": lambda s, d: files.fractional_ids(
-        raw(s, d).select("invoice", (F.col("customer_id") / 2).alias("customer_id"))),
-    "clean_row_count": lambda s, d: files.row_count(clean(s, d)),
-    "cleaning_summary": lambda s, d: cleaning.cleaning_summary(raw(s, d)),
-    "cancelled_invoice_share": lambda s, d: cleaning.cancelled_invoice_share(raw(s, d)),
+    "raw_transactions": lambda r: r.raw,
+    "clean_transactions": lambda r: r.clean,
+    "cancellations": lambda r: r.cancelled,
+    "merge_parts": lambda r: files.merge_parts(r.parts),
+    "duplicates_removed": lambda r: files.duplicates_removed(r.parts),
+    "fractional_ids": lambda r: files.fractional_ids(
+        r.raw.select("invoice", (F.col("customer_id") / 2).alias("customer_id"))),
+    "clean_row_count": lambda r: files.row_count(r.clean),
+    "cleaning_summary": lambda r: cleaning.cleaning_summary(r.raw),
+    "cancelled_invoice_share": lambda r: cleaning.cancelled_invoice_share(r.raw),
     # Exploration
-    "monthly_revenue": lambda s, d: exploration.monthly_revenue(clean(s, d)),
-    "top_countries": lambda s, d: exploration.top_countries(clean(s, d)),
-    "country_revenue_share": lambda s, d: rounded(rounded(
-        exploration.country_revenue_share(clean(s, d)), 2, "revenue"), 6, "revenue_share"),
-    "top_products": lambda s, d: exploration.top_products(clean(s, d)),
-    "order_count_distribution": lambda s, d: exploration.order_count_distribution(clean(s, d)),
-    "order_count_clipped": lambda s, d: exploration.order_count_clipped(clean(s, d)),
-    "single_order_share": lambda s, d: rounded(
-        exploration.single_order_share(clean(s, d)), 6, "single_order_share"),
+    "monthly_revenue": lambda r: exploration.monthly_revenue(r.clean),
+    "top_countries": lambda r: exploration.top_countries(r.clean),
+    "country_revenue_share": lambda r: rounded(rounded(
+        exploration.country_revenue_share(r.clean), 2, "revenue"), 6, "revenue_share"),
+    "top_products": lambda r: exploration.top_products(r.clean),
+    "order_count_distribution": lambda r: exploration.order_count_distribution(r.clean),
+    "order_count_clipped": lambda r: exploration.order_count_clipped(r.clean),
+    "single_order_share": lambda r: rounded(
+        exploration.single_order_share(r.clean), 6, "single_order_share"),
     # Features and labels
-    "reference_dates": lambda s, d: features.reference_dates(clean(s, d)),
-    "order_rollup": lambda s, d: rounded(features.order_rollup(past(s, d)), 2, "order_total"),
-    "main_country": lambda s, d: features.main_country(past(s, d)),
-    "distinct_products": lambda s, d: features.distinct_per_customer(
-        past(s, d), "stock_code", "distinct_products"),
-    "cancelled_orders": lambda s, d: features.distinct_per_customer(
-        cleaning.cancellations(raw(s, d)).where(F.col("invoice_date") < cutoff(s, d)),
+    "reference_dates": lambda r: features.reference_dates(r.clean),
+    "order_rollup": lambda r: rounded(features.order_rollup(r.past), 2, "order_total"),
+    "main_country": lambda r: features.main_country(r.past),
+    "distinct_products": lambda r: features.distinct_per_customer(
+        r.past, "stock_code", "distinct_products"),
+    "cancelled_orders": lambda r: features.distinct_per_customer(
+        r.cancelled.where(F.col("invoice_date") < as_time(r.cutoff)),
         "invoice", "cancelled_orders"),
-    "customer_features": lambda s, d: _features_rounded(features.build_features(
-        clean(s, d), cleaning.cancellations(raw(s, d)), cutoff(s, d), HOME)),
-    "churn_labels": lambda s, d: features.build_labels(
-        clean(s, d), past(s, d).select("customer_id").distinct(), cutoff(s, d)),
-    "training_set": lambda s, d: _features_rounded(training_set(s, d)),
-    "churn_rate": lambda s, d: rounded(features.churn_rate(training_set(s, d)), 6, "churn_rate"),
+    "customer_features": lambda r: _features_rounded(features.build_features(
+        r.clean, r.cancelled, r.cutoff, HOME)),
+    "churn_labels": lambda r: features.build_labels(
+        r.clean, r.past.select("customer_id").distinct(), r.cutoff),
+    "training_set": lambda r: _features_rounded(r.training),
+    "churn_rate": lambda r: rounded(features.churn_rate(r.training), 6, "churn_rate"),
     # Segments
-    "rfm": lambda s, d: rounded(segments.rfm(clean(s, d)), 2, "monetary"),
-    "scaled_rfm": lambda s, d: rounded(
-        segments.scale_features(segments.rfm(clean(s, d))), 6, *segments.SCALED_COLUMNS
+    "rfm": lambda r: rounded(r.rfm, 2, "monetary"),
+    "scaled_rfm": lambda r: rounded(
+        segments.scale_features(r.rfm), 6, *segments.SCALED_COLUMNS
     ).select("customer_id", *segments.SCALED_COLUMNS),
-    "segment_assignment_frozen": lambda s, d: rounded(frozen_segments(s, d), 2, "monetary"),
-    "name_segments": name_segments,
-    "segment_summary": lambda s, d: segments.segment_summary(frozen_segments(s, d)),
-    "segment_shares": lambda s, d: rounded(rounded(
-        segments.segment_shares(frozen_segments(s, d)), 2, "revenue"),
+    "segment_assignment_frozen": lambda r: rounded(r.segments, 2, "monetary"),
+    "name_segments": lambda r: segments.name_segments(segments.cluster_profile(r.clustered)),
+    "segment_summary": lambda r: segments.segment_summary(r.segments),
+    "segment_shares": lambda r: rounded(rounded(
+        segments.segment_shares(r.segments), 2, "revenue"),
         6, "customer_share", "revenue_share"),
-    "duplicated_customers": lambda s, d: segments.duplicated_customers(raw(s, d).select("customer_id")),
-    "kmeans_segments": kmeans_segments,
-    "choose_k": choose_k,
+    "duplicated_customers": lambda r: segments.duplicated_customers(r.raw.select("customer_id")),
+    "kmeans_segments": lambda r: rounded(segments.segment_customers(r.clean), 2, "monetary"),
+    "choose_k": lambda r: segments.choose_k(segments.scale_features(checkpointed(r.rfm)), n_init=2),
     # Models
     "stratified_split": stratified_split,
     "split_sizes": split_sizes,
-    "stratified_folds": stratified_folds,
-    "frozen_scores": lambda s, d: rounded(frozen_scores(s, d), 6, "churn_probability").select(
+    "stratified_folds": lambda r: r.folded.select("customer_id", "churned", "fold"),
+    "frozen_scores": lambda r: rounded(r.scored, 6, "churn_probability").select(
         "customer_id", "churned", "churn_probability"),
-    "train_and_select": lambda s, d: trained(s, d).metrics_table(),
-    "training_runs": lambda s, d: modeling.training_runs(trained(s, d)).drop("recorded_at"),
-    "roc_auc": lambda s, d: rounded(metrics.roc_auc(frozen_scores(s, d)), 6, "roc_auc"),
-    "average_precision": lambda s, d: rounded(
-        metrics.average_precision(frozen_scores(s, d)), 6, "average_precision"),
-    "threshold_metrics": lambda s, d: rounded(
-        metrics.threshold_metrics(frozen_scores(s, d)), 6, "precision", "recall", "f1"),
-    "confusion_matrix": lambda s, d: metrics.confusion_matrix(frozen_scores(s, d)),
-    "metrics_long": lambda s, d: rounded(
-        metrics.metrics_long(frozen_comparison(s, d)), 6, "value"),
-    "best_model": lambda s, d: metrics.best_model(frozen_comparison(s, d)).select("model"),
+    "train_and_select": lambda r: r.trained.metrics_table(),
+    "training_runs": lambda r: modeling.training_runs(r.trained).drop("recorded_at"),
+    "roc_auc": lambda r: rounded(metrics.roc_auc(r.scored), 6, "roc_auc"),
+    "average_precision": lambda r: rounded(
+        metrics.average_precision(r.scored), 6, "average_precision"),
+    "threshold_metrics": lambda r: rounded(
+        metrics.threshold_metrics(r.scored), 6, "precision", "recall", "f1"),
+    "confusion_matrix": lambda r: metrics.confusion_matrix(r.scored),
+    "metrics_long": lambda r: rounded(
+        metrics.metrics_long(r.comparison), 6, "value"),
+    "best_model": lambda r: metrics.best_model(r.comparison).select("model"),
     # Explanation
-    "linear_attribution": lambda s, d: rounded(
-        frozen_attribution(s, d), 6, "phi", "value"),
-    "feature_importance": lambda s, d: rounded(
-        explain.feature_importance(frozen_attribution(s, d)), 6, "mean_abs_shap"),
-    "riskiest_customer": lambda s, d: scoring.riskiest_customers(
-        customer_scores(s, d)).select("customer_id", "risk_level", "segment"),
-    "riskiest_explained": lambda s, d: rounded(
-        riskiest_explained(s, d), 6, "churn_probability", "value", "phi"),
-    "frozen_tree_attribution": lambda s, d: rounded(
-        frozen_tree_attribution(s, d), 6, "phi", "value"),
+    "linear_attribution": lambda r: rounded(
+        r.attribution, 6, "phi", "value"),
+    "feature_importance": lambda r: rounded(
+        explain.feature_importance(r.attribution), 6, "mean_abs_shap"),
+    "riskiest_customer": lambda r: scoring.riskiest_customers(
+        r.scores).select("customer_id", "risk_level", "segment"),
+    "riskiest_explained": lambda r: rounded(
+        riskiest_explained(r), 6, "churn_probability", "value", "phi"),
+    "frozen_tree_attribution": lambda r: rounded(
+        explain.tree_attribution(
+            features.eligible(r.current), frozen.leaves()), 6, "phi", "value"),
     "tree_attribution": trained_tree_attribution,
     # Scoring
-    "score_customers": lambda s, d: _scores_rounded(customer_scores(s, d)),
-    "segment_risk_matrix": lambda s, d: scoring.segment_risk_matrix(customer_scores(s, d)),
-    "validated_features": lambda s, d: scoring.validate_features(
-        prediction_requests(s, d))[0].select("customer_id"),
-    "rejected_features": lambda s, d: scoring.validate_features(
-        prediction_requests(s, d))[1].select(
+    "score_customers": lambda r: _scores_rounded(r.scores),
+    "segment_risk_matrix": lambda r: scoring.segment_risk_matrix(r.scores),
+    "validated_features": lambda r: scoring.validate_features(
+        r.requests)[0].select("customer_id"),
+    "rejected_features": lambda r: scoring.validate_features(
+        r.requests)[1].select(
             "customer_id", F.array_join("violations", ",").alias("violations")),
-    "predict_batch": lambda s, d: _predictions(scoring.predict(
-        prediction_requests(s, d), frozen.model())),
+    "predict_batch": lambda r: _predictions(scoring.predict(
+        r.requests, frozen.model())),
     "predict_stream": predict_stream,
     # Dashboard
-    "segment_kpis": lambda s, d: rounded(rounded(
-        reporting.segment_kpis(frozen_segments(s, d)), 2, "revenue"), 4, "avg_spend", "avg_orders"),
-    "shares_by_segment": lambda s, d: rounded(
-        reporting.shares_by_segment(frozen_segments(s, d)), 6, "customer_share", "revenue_share"),
-    "segment_profile": lambda s, d: rounded(
-        reporting.segment_profile(frozen_segments(s, d)), 4,
+    "segment_kpis": lambda r: rounded(rounded(
+        reporting.segment_kpis(r.segments), 2, "revenue"), 4, "avg_spend", "avg_orders"),
+    "shares_by_segment": lambda r: rounded(
+        reporting.shares_by_segment(r.segments), 6, "customer_share", "revenue_share"),
+    "segment_profile": lambda r: rounded(
+        reporting.segment_profile(r.segments), 4,
         "avg_days_since_last_order", "avg_orders", "avg_spend", "revenue_share"),
-    "sliced_segment_measures": lambda s, d: rounded(reporting.segment_measures(
-        frozen_segments(s, d), ("customers", "customer_share", "revenue_share"),
+    "sliced_segment_measures": lambda r: rounded(reporting.segment_measures(
+        r.segments, ("customers", "customer_share", "revenue_share"),
         segment_slicer=["Champions", "Lost"]), 6, "customer_share", "revenue_share"),
-    "spend_scatter": lambda s, d: rounded(rounded(
-        reporting.spend_scatter(frozen_segments(s, d)), 2, "monetary"), 6, "log_monetary"),
-    "risk_kpis": lambda s, d: rounded(rounded(
-        reporting.risk_kpis(customer_scores(s, d)), 2, "revenue_at_risk"), 6, "high_risk_share"),
-    "sliced_risk_kpis": lambda s, d: rounded(rounded(reporting.risk_measures(
-        customer_scores(s, d), segment_slicer=["Champions", "Promising"], risk_slicer=["Low", "Medium"]),
+    "spend_scatter": lambda r: rounded(rounded(
+        reporting.spend_scatter(r.segments), 2, "monetary"), 6, "log_monetary"),
+    "risk_kpis": lambda r: rounded(rounded(
+        reporting.risk_kpis(r.scores), 2, "revenue_at_risk"), 6, "high_risk_share"),
+    "sliced_risk_kpis": lambda r: rounded(rounded(reporting.risk_measures(
+        r.scores, segment_slicer=["Champions", "Promising"], risk_slicer=["Low", "Medium"]),
         2, "revenue_at_risk"), 6, "high_risk_share", "avg_churn_probability"),
-    "customers_by_segment_and_risk": lambda s, d: reporting.customers_by_segment_and_risk(
-        customer_scores(s, d)),
-    "avg_probability_by_segment": lambda s, d: rounded(
-        reporting.avg_probability_by_segment(customer_scores(s, d)), 6, "avg_churn_probability"),
-    "probability_bands": lambda s, d: reporting.probability_bands(customer_scores(s, d)),
-    "action_list": lambda s, d: _action_rounded(reporting.action_list(customer_scores(s, d))),
-    "action_kpis": lambda s, d: rounded(
-        reporting.action_kpis(customer_scores(s, d)), 2, "revenue_at_risk"),
-    "model_kpis": lambda s, d: rounded(
-        reporting.model_kpis(metrics.metrics_long(frozen_comparison(s, d))), 6,
+    "customers_by_segment_and_risk": lambda r: reporting.customers_by_segment_and_risk(
+        r.scores),
+    "avg_probability_by_segment": lambda r: rounded(
+        reporting.avg_probability_by_segment(r.scores), 6, "avg_churn_probability"),
+    "probability_bands": lambda r: reporting.probability_bands(r.scores),
+    "action_list": lambda r: _action_rounded(reporting.action_list(r.scores)),
+    "action_kpis": lambda r: rounded(
+        reporting.action_kpis(r.scores), 2, "revenue_at_risk"),
+    "model_kpis": lambda r: rounded(
+        reporting.model_kpis(metrics.metrics_long(r.comparison)), 6,
         "selected_test_roc_auc", "selected_recall", "selected_precision", "cv_roc_auc_gain"),
-    "metrics_by_model": lambda s, d: rounded(reporting.metrics_by_model(
-        metrics.metrics_long(frozen_comparison(s, d)), ("metric_es", "model_es")), 6, "value"),
-    "confusion_pivot": lambda s, d: reporting.confusion_pivot(
-        metrics.confusion_matrix(frozen_scores(s, d))),
-    "confusion_total": lambda s, d: reporting.confusion_total(
-        metrics.confusion_matrix(frozen_scores(s, d))),
-    "importance_chart": lambda s, d: rounded(reporting.importance_chart(
-        explain.mean_absolute(frozen_attribution(s, d)), "feature_label_es"), 6, "mean_abs_shap"),
-    "localized_segments": lambda s, d: reporting.report_scores(customer_scores(s, d)).select(
+    "metrics_by_model": lambda r: rounded(reporting.metrics_by_model(
+        metrics.metrics_long(r.comparison), ("metric_es", "model_es")), 6, "value"),
+    "confusion_pivot": lambda r: reporting.confusion_pivot(
+        metrics.confusion_matrix(r.scored)),
+    "confusion_total": lambda r: reporting.confusion_total(
+        metrics.confusion_matrix(r.scored)),
+    "importance_chart": lambda r: rounded(reporting.importance_chart(
+        explain.mean_absolute(r.attribution), "feature_label_es"), 6, "mean_abs_shap"),
+    "localized_segments": lambda r: reporting.report_scores(r.scores).select(
         "customer_id", "segment_es", "segment_order", "risk_level_es", "risk_order",
         "probability_band"),
-    "localized_profile": lambda s, d: reporting.customers_by_segment_and_risk(
-        customer_scores(s, d), labels=("segment_es", "risk_level_es")),
-    "untranslated_labels": lambda s, d: reporting.untranslated_labels(
-        frozen_segments(s, d).join(raw(s, d).select("customer_id", "country").distinct(), "customer_id"),
+    "localized_profile": lambda r: reporting.customers_by_segment_and_risk(
+        r.scores, labels=("segment_es", "risk_level_es")),
+    "untranslated_labels": lambda r: reporting.untranslated_labels(
+        r.segments.join(r.raw.select("customer_id", "country").distinct(), "customer_id"),
         ["segment", "country"], {"segment": SPANISH["segment"], "country": {HOME: "Casa"}}),
-    "slicer_values": lambda s, d: reporting.slicer_values(customer_scores(s, d), "segment"),
+    "slicer_values": lambda r: reporting.slicer_values(r.scores, "segment"),
 }
 
 
-def _action_rounded(df):
-    return rounded(rounded(df, 2, "monetary"), 6, "churn_probability", "avg_order_value")
+def _over_folder(query):
+    return lambda spark, sf_dir: query(Retail(spark, sf_dir))
+
+
+QUERIES = {name: _over_folder(query) for name, query in TABLE_QUERIES.items()}
