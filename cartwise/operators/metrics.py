@@ -94,12 +94,11 @@ def compare_models(test_scored, fold_scored, names):
     test_scored: model, churned, churn_probability on the test set.
     fold_scored: the same plus fold, predicted by the model that did not see that fold.
     """
-    test = checkpointed(test_scored.select("model", "churned", "churn_probability"))
     folds = ranking_metrics(fold_scored, ("model", "fold"))
     cv = folds.groupBy("model").agg(F.avg("roc_auc").alias("cv_roc_auc"))
     wide = (
-        ranking_metrics(test, ("model",))
-        .join(threshold_metrics(test, ("model",)), "model")
+        ranking_metrics(test_scored, ("model",))
+        .join(threshold_metrics(test_scored, ("model",)), "model")
         .join(cv, "model")
     )
     return wide.select(

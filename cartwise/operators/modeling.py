@@ -117,10 +117,12 @@ def train_and_select(labelled, models=None, folds=FOLDS, seed=42):
         return scored.withColumn("model", F.lit(name))
 
     fitted = dict(zip(models, run_together(spark, lambda m: models[m](rows).fit(train), models)))
-    tested = [named(with_probability(model, test), name) for name, model in fitted.items()]
-    validated = [named(out_of_fold(estimator_for, train, folds), name)
-                 for name, estimator_for in models.items()]
-    wide = metrics.compare_models(union_parts(tested), union_parts(validated), list(models))
+    tested = union_parts([
+        named(with_probability(model, test), name) for name, model in fitted.items()])
+    validated = union_parts([
+        named(out_of_fold(estimator_for, train, folds), name)
+        for name, estimator_for in models.items()])
+    wide = metrics.compare_models(checkpointed(tested), checkpointed(validated), list(models))
     return Training(fitted, wide, test)
 
 

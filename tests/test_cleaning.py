@@ -1,0 +1,88 @@
+import frames
+from cartwise.operators import cleaning, exploration
+
+ROWS = [
+    ("1", "A", "a", 2, "2011-01-05 10:00:00", 1.5, 1, "France"),
+    ("1", "BB", "b", 1, "2011-01-05 10:00:00", 2.0, 1, "France"),
+    ("2", "A", "aa", 3, "2011-02-05 10:00:00", 1.0, 2, "Spain"),
+    ("C3", "A", "a", -1, "2011-02-06 10:00:00", 1.5, 1, "France"),
+    ("c4", "A", "a", 1, "2011-02-07 10:00:00", 1.0, 3, "Spain"),     # lower case: a purchase
+    ("5", "m", "fee", 1, "2011-02-08 10:00:00", 1.0, 1, "Spain"),    # excluded code
+    ("5", "POST", "fee", 1, "2011-02-08 10:00:00", 1.0, 1, "Spain"),
+    ("5", "p", "x", 1, "2011-02-08 10:00:00", 1.0, None, "Spain"),
+    ("5", None, "x", 1, "2011-02-08 10:00:00", 1.0, 1, "Spain"),
+    (None, "A", "x", 1, "2011-02-08 10:00:00", 1.0, 1, "Spain"),
+    ("5", "A", "x", None, "2011-02-08 10:00:00", 1.0, 1, "Spain"),
+    ("5", "A", "x", 0, "2011-02-08 10:00:00", 1.0, 1, "Spain"),
+    ("5", "A", "x", 1, "2011-02-08 10:00:00", None, 1, "Spain"),
+    ("5", "A", "x", 1, "2011-02-08 10:00:00", 0.0, 1, "Spain"),
+    ("C6", None, None, None, "2011-02-09 10:00:00", None, 2, None),
+    ("C7", "A", "x", -1, "2011-02-09 10:00:00", 1.0, None, None),
+]
+
+
+def test_clean_transactions(spark):
+    clean = cleaning.clean_transactions(frames.raw(spark, ROWS))
+    assert sorted((r["invoice"], r["stock_code"], r["line_total"]) for r in clean.collect()) == [
+        ("1", "A", 3.0), ("1", "BB", 2.0), ("2", "A", 3.0), ("c4", "A", 1.0)]
+    assert clean.columns == list(cleaning.CLEAN_COLUMNS)
+
+
+def test_rows_without_invoice_are_in_neither_view(spark):
+    raw = frames.raw(spark, ROWS)
+    assert sorted(r["invoice"] for r in cleaning.cancellations(raw).collect()) == ["C3", "C6"]
+
+
+def test_excluded_codes_are_case_sensitive(spark):
+    rows = [("1", code, "d", 1, "2011-01-01", 1.0, 1, "X") for code in ("M", "m", "d", "D", "s")]
+    clean = cleaning.clean_transactions(frames.raw(spark, rows))
+    assert sorted(r["stock_code"] for r in clean.collect()) == ["d", "s"]
+
+
+def test_views(spark):
+    cleaning.create_views(frames.raw(spark, ROWS))
+    assert spark.sql("SELECT count(*) FROM clean_transactions").first()[0] == 4
+    assert spark.sql("SELECT count(*) FROM cancellations").first()[0] == 2
+
+
+def test_summary_and_cancelled_share(spark):
+    raw = frames.raw(spark, ROWS)
+    assert tuple(cleaning.cleaning_summary(raw).first()) == (16, 4, 2, 3)
+    # invoices: 1, 2, C3, c4, 5, C6, C7
+    assert cleaning.cancelled_invoice_share(raw).first()[0] == 42.86
+
+
+def test_cancelled_share_of_nothing_is_null(spark):
+    assert cleaning.cancelled_invoice_share(frames.raw(spark, [])).first()[0] is None
+
+
+def test_exploration(spark):
+    clean = cleaning.clean_transactions(frames.raw(spark, ROWS))
+    months = [tuple(r) for r in exploration.monthly_revenue(clean).collect()]
+    assert [(str(m), *rest) for m, *rest in months] == [
+        ("2011-01-01", 5.0, 1, 1), ("2011-02-01", 4.0, 2, 2)]
+    assert [tuple(r) for r in exploration.top_countries(clean).collect()] == [
+        ("France", 1, 5.0), ("Spain", 2, 4.0)]
+    assert [tuple(r) for r in exploration.top_products(clean, 1).collect()] == [("A", "aa", 6)]
+    assert [tuple(r) for r in exploration.order_count_distribution(clean).collect()] == [(1, 3)]
+    assert exploration.single_order_share(clean).first()[0] == 1.0
+
+
+def test_share_is_of_all_countries_and_not_of_the_top(spark):
+    clean = cleaning.clean_transactions(frames.raw(spark, ROWS))
+    (row,) = exploration.country_revenue_share(clean, 1).collect()
+    assert row["country"] == "France" and row["revenue_share"] == 5 / 9
+
+
+def test_exact_halves_round_up_whatever_the_float_noise(spark):
+    rows = [(str(i), "A", "a", 1, "2011-01-01", 0.1, 1, "X") for i in range(5)]
+    clean = cleaning.clean_transactions(frames.raw(spark, rows))
+    assert exploration.top_countries(clean).first()["revenue"] == 1.0
+
+
+def test_many_orders_fall_into_one_bucket(spark):
+    rows = [(f"{c}-{i}", "A", "a", 1, "2011-01-01", 1.0, c, "X")
+            for c, n in ((1, 1), (2, 9), (3, 10), (4, 25)) for i in range(n)]
+    clean = cleaning.clean_transactions(frames.raw(spark, rows))
+    assert [tuple(r) for r in exploration.order_count_clipped(clean).collect()] == [
+        (1, 1, "1"), (9, 1, "9"), (10, 2, "10+")]
