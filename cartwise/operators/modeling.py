@@ -2,7 +2,7 @@
 import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -11,9 +11,12 @@ from ..schemas import FEATURE_COLUMNS, METRIC_LABELS
 from ..sources.files import union_parts
 from ..staging import checkpointed, run_together
 from . import metrics
+from .logistic import FrozenLogistic
 from .ranking import shuffled_place
 
 FOLDS = 5
+LOG_STATEMENT = "SELECT *, {} FROM __THIS__".format(
+    ", ".join(f"log1p({name}) AS log_{name}" for name in FEATURE_COLUMNS))
 
 
 def stratified_split(df, label="churned", test_share=0.2, seed=42, id_column="customer_id"):
@@ -41,9 +44,8 @@ def logistic_regression(rows, c=1.0, max_iter=1000):
     its scaler divides by the sample deviation, and (rows - 1) / rows on the penalty
     makes the model equal to one on population-scaled features.
     """
-    logs = ", ".join(f"log1p({name}) AS log_{name}" for name in FEATURE_COLUMNS)
     return Pipeline(stages=[
-        SQLTransformer(statement=f"SELECT *, {logs} FROM __THIS__"),
+        SQLTransformer(statement=LOG_STATEMENT),
         VectorAssembler(inputCols=[f"log_{name}" for name in FEATURE_COLUMNS], outputCol="logs"),
         StandardScaler(inputCol="logs", outputCol="features", withMean=True, withStd=True),
         LogisticRegression(labelCol="churned", featuresCol="features", elasticNetParam=0.0,
@@ -69,8 +71,22 @@ def make_models(rounds=300):
     }
 
 
+def _is_log_logistic(model):
+    """Whether the model has the stages of logistic_regression()."""
+    first, last = model.stages[0], model.stages[-1]
+    return (isinstance(last, LogisticRegressionModel) and isinstance(first, SQLTransformer)
+            and first.getStatement() == LOG_STATEMENT)
+
+
 def with_probability(model, features):
-    """Add churn_probability; the model's own columns are dropped."""
+    """Add churn_probability; the model's own columns are dropped.
+
+    The log-scaled logistic model is evaluated as column expressions, without a call per row.
+    """
+    if isinstance(model, FrozenLogistic):
+        return model.with_probability(features)
+    if _is_log_logistic(model):
+        return FrozenLogistic.from_fitted(model).with_probability(features)
     probability = vector_to_array("probability")[1].alias("churn_probability")
     return model.transform(features).select(*features.columns, probability)
 

@@ -1,62 +1,17 @@
 """Validate, score and risk-band customers."""
-import math
-
 from pyspark.sql import functions as F
 
-from ..functions.columns import risk_level, round_half_even, sum_of
-from ..schemas import (DECISION_THRESHOLD, FEATURE_COLUMNS, FEATURE_RANGES, HOME_COUNTRY,
+from ..functions.columns import risk_level, round_half_even
+from ..schemas import (DECISION_THRESHOLD, FEATURE_RANGES, HOME_COUNTRY,
                        RISK_LEVELS)
 from .features import eligible, features_as_of
 from .modeling import with_probability
 
 
-class FrozenLogistic:
-    """A logistic model with known numbers, evaluated as plain column expressions.
-
-    margin = intercept + sum of weight * (log1p(x) - mean) / std
-    """
-
-    def __init__(self, intercept, weights, means, stds):
-        self.intercept, self.weights, self.means, self.stds = intercept, weights, means, stds
-
-    @classmethod
-    def from_fitted(cls, pipeline_model):
-        scaler, logistic = pipeline_model.stages[-2], pipeline_model.stages[-1]
-
-        def named(values):
-            return dict(zip(FEATURE_COLUMNS, (float(v) for v in values)))
-
-        return cls(float(logistic.intercept), named(logistic.coefficients),
-                   named(scaler.mean), named(scaler.std))
-
-    def contributions(self):
-        """Feature -> its part of the margin, relative to the training mean."""
-        def part(c):
-            if not self.stds[c] or math.isnan(self.stds[c]):
-                return F.lit(0.0)
-            z = (F.log1p(F.col(c).cast("double")) - self.means[c]) / self.stds[c]
-            return self.weights[c] * z
-
-        return {c: part(c) for c in FEATURE_COLUMNS}
-
-    def margin(self):
-        return F.lit(self.intercept) + sum_of(list(self.contributions().values()))
-
-    def with_probability(self, features):
-        return features.withColumn("churn_probability", 1 / (1 + F.exp(-self.margin())))
-
-
-def probability_with(model, features):
-    """Score with a frozen model or with a fitted Spark ML model."""
-    if isinstance(model, FrozenLogistic):
-        return model.with_probability(features)
-    return with_probability(model, features)
-
-
 def score_features(features, model, segments=None, max_recency_days=None):
     """Probability and risk level; segments are joined where they are known."""
     current = features if max_recency_days is None else eligible(features, max_recency_days)
-    scores = probability_with(model, current).withColumn(
+    scores = with_probability(model, current).withColumn(
         "risk_level", risk_level("churn_probability"))
     if segments is None:
         return scores
@@ -106,7 +61,7 @@ def predict(rows, model):
     """Answer for valid feature rows: the decision uses the probability before rounding."""
     valid, _ = validate_features(rows)
     p = F.col("churn_probability")
-    return probability_with(model, valid).withColumns({
+    return with_probability(model, valid).withColumns({
         "will_churn": p >= DECISION_THRESHOLD,
         "churn_probability": round_half_even(p, 4),
     })

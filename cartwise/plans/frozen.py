@@ -1,7 +1,7 @@
 """Fixed models, so that everything behind a model can be checked against plain SQL."""
 import numpy as np
 
-from ..operators.scoring import FrozenLogistic
+from ..operators.logistic import FrozenLogistic
 from ..schemas import FEATURE_COLUMNS
 
 # log1p means and deviations of the features in the test data.

@@ -1,5 +1,6 @@
 """End-to-end jobs: each reads published tables and publishes new ones."""
 from ..operators import cleaning, explain, features, modeling, scoring, segments
+from ..operators.logistic import FrozenLogistic
 from ..schemas import HOME_COUNTRY
 from ..sources import files
 
@@ -36,7 +37,7 @@ def attribution(model, rows):
     """Attribution by the kind of the fitted model."""
     if hasattr(model.stages[-1], "trees"):
         return explain.tree_attribution(rows, explain.tree_leaves(model))
-    return explain.linear_attribution(rows, scoring.FrozenLogistic.from_fitted(model))
+    return explain.linear_attribution(rows, FrozenLogistic.from_fitted(model))
 
 
 def explain_model(spark, model_path):

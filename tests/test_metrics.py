@@ -1,0 +1,104 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from cartwise.operators import metrics, ranking
+from cartwise.schemas import METRIC_LABELS
+
+
+def scored(spark, pairs):
+    return spark.createDataFrame(pairs, "churned int, churn_probability double")
+
+
+def brute_auc(pairs):
+    pos = [p for y, p in pairs if y]
+    neg = [p for y, p in pairs if not y]
+    return sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / (len(pos) * len(neg))
+
+
+def brute_ap(pairs):
+    positives, total, last = sum(y for y, _ in pairs), 0.0, 0.0
+    for t in sorted({p for _, p in pairs}, reverse=True):
+        called = [y for y, p in pairs if p >= t]
+        recall = sum(called) / positives
+        total += (recall - last) * sum(called) / len(called)
+        last = recall
+    return total
+
+
+@pytest.mark.parametrize("levels", [3, 40, 10**6])
+def test_ranking_metrics_equal_brute_force(spark, levels):
+    rng = random.Random(levels)
+    pairs = [(int(rng.random() < 0.4), rng.randrange(levels) / levels) for _ in range(300)]
+    got = metrics.ranking_metrics(scored(spark, pairs)).first()
+    assert got["roc_auc"] == pytest.approx(brute_auc(pairs))
+    assert got["average_precision"] == pytest.approx(brute_ap(pairs))
+
+
+def test_ranking_metrics_per_group(spark):
+    rng = random.Random(1)
+    pairs = [(int(rng.random() < 0.5), rng.random()) for _ in range(200)]
+    df = scored(spark, pairs).withColumn("fold", F.lit(0)).unionByName(
+        scored(spark, pairs[:50]).withColumn("fold", F.lit(1)))
+    got = {r["fold"]: r for r in metrics.ranking_metrics(df, ("fold",)).collect()}
+    assert got[0]["roc_auc"] == pytest.approx(brute_auc(pairs))
+    assert got[1]["average_precision"] == pytest.approx(brute_ap(pairs[:50]))
+
+
+def test_auc_does_not_change_under_a_monotone_transform(spark):
+    rng = random.Random(2)
+    df = scored(spark, [(int(rng.random() < 0.5), rng.random()) for _ in range(200)])
+    other = df.withColumn("churn_probability", F.exp(3 * F.col("churn_probability")))
+    assert metrics.roc_auc(df).first()[0] == pytest.approx(metrics.roc_auc(other).first()[0])
+
+
+def test_one_class_has_no_auc(spark):
+    got = metrics.ranking_metrics(scored(spark, [(0, 0.1), (0, 0.2)])).first()
+    assert got["roc_auc"] is None and got["average_precision"] == 0.0
+
+
+def test_threshold_is_inclusive_and_empty_denominators_are_zero(spark):
+    got = metrics.threshold_metrics(scored(spark, [(1, 0.5), (0, 0.5), (1, 0.4), (0, 0.1)])).first()
+    assert tuple(got) == (0.5, 0.5, 0.5)
+    assert tuple(metrics.threshold_metrics(scored(spark, [(0, 0.1)])).first()) == (0.0, 0.0, 0.0)
+
+
+def test_confusion_cells(spark):
+    df = scored(spark, [(0, 0.1), (0, 0.9), (1, 0.9), (1, 0.5)])
+    cells = sorted(tuple(r) for r in metrics.confusion_matrix(df).collect())
+    assert cells == [("Churned", "Predicted churn", 2, 2, 2), ("Stayed", "Predicted churn", 1, 1, 2),
+                     ("Stayed", "Predicted stay", 1, 1, 1)]
+
+
+def wide(spark, rows):
+    columns = ", ".join(f"{m} double" for m in METRIC_LABELS)
+    return spark.createDataFrame(rows, f"model string, model_order int, {columns}")
+
+
+def test_long_metrics_and_selection(spark):
+    df = wide(spark, [("logistic_regression", 1, 0.7, .1, .2, .3, .4, .5),
+                      ("boosted_trees", 2, 0.8, .6, .7, .8, .9, 1.0)])
+    rows = metrics.metrics_long(df).collect()
+    assert len(rows) == 12
+    assert {r["model"] for r in rows if r["is_selected"] == 1} == {"Boosted trees"}
+    order = {r["metric"]: r["metric_order"] for r in rows}
+    assert order == {label: i for i, label in enumerate(METRIC_LABELS.values(), start=1)}
+
+
+def test_first_model_wins_a_tie(spark):
+    df = wide(spark, [("b", 2, 0.7, .1, .2, .3, .4, .5), ("a", 1, 0.7, .1, .2, .3, .4, .5)])
+    assert metrics.best_model(df).first()["model"] == "a"
+
+
+def test_running_totals_equal_a_plain_running_sum(spark):
+    rng = random.Random(3)
+    values = [rng.randrange(100) for _ in range(500)]
+    df = spark.createDataFrame(list(enumerate(values)), "i long, v long").withColumn(
+        "bucket", (F.col("i") / 17).cast("int"))
+    got = ranking.running_totals(df, "i", "bucket", {"total": F.col("v")}).orderBy("i").collect()
+    running = 0
+    for row, v in zip(got, values):
+        running += v
+        assert row["total"] == running
+    assert len(got) == 500

@@ -1,0 +1,138 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from cartwise.operators import reporting
+from cartwise.schemas import SPANISH
+
+SEGMENTS = "customer_id long, recency_days int, frequency long, monetary double, segment string"
+SCORES = "customer_id long, churn_probability double, risk_level string, segment string, monetary double"
+
+
+@pytest.fixture(scope="module")
+def segments(spark):
+    return spark.createDataFrame(
+        [(1, 10, 5, 600.0, "Champions"), (2, 20, 3, 200.0, "Champions"),
+         (3, 300, 1, 200.0, "Lost"), (4, 1, 1, 0.0, "Other")], SEGMENTS)
+
+
+@pytest.fixture(scope="module")
+def scores(spark):
+    return spark.createDataFrame(
+        [(1, 0.95, "High", "Champions", 600.0), (2, 0.5, "Medium", "Champions", 200.0),
+         (3, 0.1, "Low", "Lost", 50.0), (4, 0.8, "High", "Lost", 25.0), (5, 0.2, "Low", None, 5.0)], SCORES)
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_segment_measures(segments):
+    assert rows(reporting.segment_kpis(segments)) == [(4, 1000.0, 250.0, 2.5)]
+    assert rows(reporting.shares_by_segment(segments)) == [
+        (0, "Other", 0.25, 0.0), (1, "Champions", 0.5, 0.8), (4, "Lost", 0.25, 0.2)]
+    assert rows(reporting.segment_profile(segments))[1] == (1, "Champions", 2, 15.0, 4.0, 400.0, 0.8)
+
+
+def test_share_totals_ignore_slicers(segments):
+    got = reporting.segment_measures(segments, ("customers", "revenue_share"), segment_slicer=["Lost"])
+    assert rows(got) == [(1, 0.2)]
+
+
+def test_measures_of_nothing(segments):
+    empty = segments.where("false")
+    assert rows(reporting.segment_measures(empty, ("customers", "revenue", "revenue_share"))) == [(0, None, None)]
+
+
+def test_risk_measures(scores):
+    assert rows(reporting.risk_kpis(scores)) == [(5, 2, 0.4, 625.0)]
+    assert rows(reporting.action_kpis(scores)) == [(2, 625.0)]
+
+
+def test_high_risk_measures_ignore_a_risk_slicer(scores):
+    assert rows(reporting.risk_kpis(scores, risk_slicer=["Low"])) == [(2, 2, 1.0, 625.0)]
+    assert rows(reporting.risk_kpis(scores, segment_slicer=["Lost"])) == [(2, 1, 0.5, 25.0)]
+    average = reporting.risk_measures(scores, risk_slicer=["Low"]).first()["avg_churn_probability"]
+    assert math.isclose(average, 0.15)
+
+
+def test_no_scored_customers_give_a_blank_share(scores):
+    assert reporting.risk_kpis(scores, risk_slicer=["Nothing"]).first()["high_risk_share"] is None
+
+
+def test_groups_and_business_order(scores):
+    assert rows(reporting.customers_by_segment_and_risk(scores)) == [
+        (0, 3, None, "Low", 1), (1, 1, "Champions", "High", 1), (1, 2, "Champions", "Medium", 1),
+        (4, 1, "Lost", "High", 1), (4, 3, "Lost", "Low", 1)]
+    assert rows(reporting.probability_bands(scores, segment_slicer=["Lost"])) == [
+        (0.1, 3, "Low", 1), (0.8, 1, "High", 1)]
+    assert rows(reporting.avg_probability_by_segment(scores, risk_slicer=["Medium"])) == [(1, "Champions", 0.5)]
+
+
+def test_labels(scores):
+    report = {r["customer_id"]: r for r in reporting.report_scores(scores).collect()}
+    assert (report[1]["segment_es"], report[1]["risk_level_es"]) == ("Campeones", "Alto")
+    assert report[5]["segment_es"] is None and report[5]["segment_order"] == 0
+    grouped = rows(reporting.customers_by_segment_and_risk(
+        scores, segment_slicer=["Lost"], labels=("segment_es", "risk_level_es")))
+    assert grouped == [(4, 1, "Perdidos", "Alto", 1), (4, 3, "Perdidos", "Bajo", 1)]
+
+
+def test_untranslated_labels_keep_their_text_and_are_reported(segments):
+    got = reporting.localize(segments, "segment", SPANISH["segment"])
+    assert {r["segment_es"] for r in got.collect()} == {"Campeones", "Perdidos", "Other"}
+    missing = reporting.untranslated_labels(segments, ["segment"], SPANISH)
+    assert rows(missing) == [("segment", "Other")]
+
+
+def test_action_list(scores):
+    full = scores.withColumns({c: F.lit(1) for c in reporting.ACTION_COLUMNS if c not in scores.columns})
+    assert [r["customer_id"] for r in reporting.action_list(full).collect()] == [1, 4]
+    assert reporting.action_list(full).columns == list(reporting.ACTION_COLUMNS)
+    assert [r["customer_id"] for r in reporting.action_list(full, limit=1).collect()] == [1]
+    assert [r["customer_id"] for r in reporting.action_list(full, segment_slicer=["Lost"]).collect()] == [4]
+
+
+def test_scatter_and_slicer(segments):
+    got = {r["customer_id"]: r for r in reporting.spend_scatter(segments).collect()}
+    assert math.isclose(got[1]["log_monetary"], math.log10(600)) and got[4]["log_monetary"] is None
+    assert {r[0] for r in reporting.slicer_values(segments, "segment").collect()} == {"Champions", "Lost", "Other"}
+
+
+@pytest.fixture(scope="module")
+def long_metrics(spark):
+    values = {"CV ROC-AUC": (0.70, 0.75), "Test ROC-AUC": (0.6, 0.65), "Recall": (0.5, 0.55),
+              "Precision": (0.4, 0.45)}
+    table = [(model, metric, i, v[j], j) for i, (metric, v) in enumerate(values.items(), start=1)
+             for j, model in enumerate(("Logistic regression", "Boosted trees"))]
+    return spark.createDataFrame(
+        table, "model string, metric string, metric_order int, value double, is_selected int")
+
+
+def test_model_page(long_metrics):
+    kpis = reporting.model_kpis(long_metrics).first()
+    assert tuple(kpis)[:3] == (0.65, 0.55, 0.45) and math.isclose(kpis["cv_roc_auc_gain"], 0.05)
+    by_model = rows(reporting.metrics_by_model(long_metrics))
+    assert by_model[0] == (1, "CV ROC-AUC", "Boosted trees", 0.75) and len(by_model) == 8
+    spanish = rows(reporting.metrics_by_model(long_metrics, ("metric_es", "model_es")))
+    assert spanish[0][1:3] == ("ROC-AUC (CV)", "Regresión logística") or spanish[0][2] == "Árboles potenciados"
+
+
+def test_confusion_pivot(spark):
+    confusion = spark.createDataFrame(
+        [("Stayed", "Predicted stay", 5, 1, 1), ("Churned", "Predicted churn", 3, 2, 2),
+         ("Stayed", "Predicted churn", 2, 1, 2)],
+        "actual string, predicted string, customers long, actual_order int, predicted_order int")
+    pivot = reporting.confusion_pivot(confusion)
+    assert rows(pivot) == [(1, "Stayed", 5, 2), (2, "Churned", None, 3)]
+    spanish = reporting.confusion_pivot(confusion, ("actual_es", "predicted_es"))
+    assert spanish.columns[2:] == ["Predijo: se queda", "Predijo: se va"]
+    assert rows(spanish)[0] == (1, "Se quedó", 5, 2)
+    assert rows(reporting.confusion_total(confusion)) == [(10,)]
+
+
+def test_importance_chart(spark):
+    df = spark.createDataFrame([("frequency", 0.5), ("is_uk", 0.7)], "feature string, mean_abs_shap double")
+    assert rows(reporting.importance_chart(df)) == [("Based in the UK", 0.7), ("Orders", 0.5)]
+    assert rows(reporting.importance_chart(df, "feature_label_es"))[0][0] == "Está en Reino Unido"
