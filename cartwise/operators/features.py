@@ -8,7 +8,7 @@ first step and reaches the second one already combined.
 """
 from pyspark.sql import Window, functions as F
 
-from ..functions.columns import as_time, days, elapsed_days, flag, midnight, ratio
+from ..functions.columns import as_time, days, elapsed_days, flag, midnight
 from ..schemas import FEATURE_COLUMNS, HOME_COUNTRY, LABEL_DAYS, MAX_RECENCY_DAYS, RECENT_DAYS
 from .cleaning import is_cancellation, is_purchase, with_line_total
 
@@ -103,44 +103,42 @@ def _facts(lines, cutoff, label_days):
 
 
 def _customers(lines, cutoff, home_country, recent_days, label_days):
-    """One row per customer with a purchase before the cutoff: features and label."""
-    kind, key = F.col("kind"), F.col("key")
-
-    def lines_where(condition):
-        return F.coalesce(F.max(F.when((kind == COUNTRY) & condition, F.col("lines"))), F.lit(0))
-
-    recent = F.col("order_date") >= cutoff - days(recent_days)
-    customers = _facts(lines, cutoff, label_days).groupBy("customer_id").agg(
-        F.min("order_date").alias("first_order"),
-        F.max("order_date").alias("last_order"),
-        F.count_if(kind == ORDER).alias("frequency"),
-        F.sum("order_total").alias("monetary"),
-        F.count_if((kind == ORDER) & recent).cast("double").alias("orders_last_90d"),
-        F.count_if(kind == PRODUCT).alias("distinct_products"),
-        F.count_if(kind == CANCELLED).alias("cancelled_orders"),
-        F.count_if(kind == LATER).alias("later"),
-        lines_where(key == home_country).alias("home_lines"),
-        lines_where(key < home_country).alias("lines_before"),
-        lines_where(key > home_country).alias("lines_after"),
+    """One row per customer with a purchase before the cutoff: features and label.
+
+    The home country wins ties against names after it and loses them against names before it.
+    """
+    def aggregate(expression, name):
+        return F.expr(expression).alias(name)
+
+    facts = _facts(lines, cutoff, label_days).withColumns({
+        "recent": F.col("order_date") >= cutoff - days(recent_days),
+        "home": F.when(F.col("key") == home_country, 0).when(F.col("key") < home_country, -1).otherwise(1),
+    })
+    customers = facts.groupBy("customer_id").agg(
+        aggregate("min(order_date)", "first_order"),
+        aggregate("max(order_date)", "last_order"),
+        aggregate(f"count_if(kind = {ORDER})", "frequency"),
+        aggregate("sum(order_total)", "monetary"),
+        aggregate(f"double(count_if(kind = {ORDER} AND recent))", "orders_last_90d"),
+        aggregate(f"count_if(kind = {PRODUCT})", "distinct_products"),
+        aggregate(f"count_if(kind = {CANCELLED})", "cancelled"),
+        aggregate(f"count_if(kind = {LATER})", "later"),
+        aggregate(f"max(if(kind = {COUNTRY} AND home = 0, lines, 0))", "home_lines"),
+        aggregate(f"max(if(kind = {COUNTRY} AND home < 0, lines, 0))", "lines_before"),
+        aggregate(f"max(if(kind = {COUNTRY} AND home > 0, lines, 0))", "lines_after"),
     )
-    # The home country wins ties against names after it and loses them against names before it.
-    at_home = (
-        (F.col("home_lines") > F.col("lines_before"))
-        & (F.col("home_lines") >= F.col("lines_after"))
-        & (F.col("home_lines") > 0)
-    )
-    return customers.where(F.col("frequency") > 0).select(
+    return customers.where("frequency > 0").select(
         "customer_id",
         elapsed_days("last_order", cutoff).alias("recency_days"),
         "frequency",
         "monetary",
-        (F.col("monetary") / F.col("frequency")).alias("avg_order_value"),
+        aggregate("monetary / frequency", "avg_order_value"),
         elapsed_days("first_order", cutoff).alias("tenure_days"),
         "distinct_products",
         "orders_last_90d",
-        ratio("cancelled_orders", "frequency").alias("cancel_rate"),
-        flag(at_home).alias("is_uk"),
-        flag(F.col("later") == 0).alias("churned"),
+        aggregate("cancelled / double(frequency)", "cancel_rate"),
+        aggregate("int(home_lines > lines_before AND home_lines >= lines_after)", "is_uk"),
+        aggregate("int(later = 0)", "churned"),
     )
 
 

@@ -75,6 +75,7 @@ def _vectors(df, columns=SCALED_COLUMNS):
 def fit_segments(scaled_rfm, k=4, n_init=10, seed=42, max_iter=300):
     """Best of n_init KMeans runs by total squared distance.
 
+    A run stops once the centres move by less than 1e-4 in total squared distance.
     The runs share one cached set of vectors. Pass a checkpointed table: a lost block is
     then read again instead of being computed from the invoice lines.
     """
@@ -82,8 +83,8 @@ def fit_segments(scaled_rfm, k=4, n_init=10, seed=42, max_iter=300):
     try:
         models = run_together(
             scaled_rfm.sparkSession,
-            lambda i: KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="vector",
-                             predictionCol="cluster").fit(vectors),
+            lambda i: KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=(1e-4 / k) ** 0.5,
+                             featuresCol="vector", predictionCol="cluster").fit(vectors),
             range(n_init))
     finally:
         vectors.unpersist()

@@ -22,14 +22,14 @@ OVERLAP_START, OVERLAP_END = "1998-01-01", "1998-01-10"
 QUERY_ROUNDS = 20
 
 class Retail:
-    """The tables a query may need, over one folder of test tables.
+    """The tables a query may need, over one table of raw invoice lines.
 
     All of them are lazy except the two dates, which are read once when first used.
     """
 
-    def __init__(self, spark, sf_dir):
-        self.spark = spark
-        self.raw = retail_view.raw_transactions(spark, sf_dir)
+    def __init__(self, raw):
+        self.spark = raw.sparkSession
+        self.raw = raw
 
     @cached_property
     def clean(self):
@@ -323,8 +323,12 @@ TABLE_QUERIES = {
 }
 
 
+def over_folder(spark, sf_dir):
+    return Retail(retail_view.raw_transactions(spark, sf_dir))
+
+
 def _over_folder(query):
-    return lambda spark, sf_dir: query(Retail(spark, sf_dir))
+    return lambda spark, sf_dir: query(over_folder(spark, sf_dir))
 
 
 QUERIES = {name: _over_folder(query) for name, query in TABLE_QUERIES.items()}

@@ -132,16 +132,29 @@ def read_jdbc(spark, url, query, **options):
     return reader.options(**options).load()
 
 
-def create_base_table(df, name="raw_transactions"):
-    """Create the typed base table, replacing an old one. Sorted by date inside each file,
-    so that date filters skip row groups."""
-    conformed = df.to(RAW_TRANSACTIONS).sortWithinPartitions("invoice_date")
-    conformed.write.mode("overwrite").saveAsTable(name)
+# Lines of one order are next to each other, and a hot date or invoice is still divided.
+CLUSTERING = ("invoice_date", "invoice", "stock_code")
 
 
-def append_to_base_table(df, name="raw_transactions"):
+def _write_lines(df, name, mode, files):
+    lines = df.to(RAW_TRANSACTIONS)
+    ranged = (lines.repartitionByRange(files, *CLUSTERING) if files
+              else lines.repartitionByRange(*CLUSTERING))
+    ranged.sortWithinPartitions(*CLUSTERING).write.mode(mode).saveAsTable(name)
+
+
+def create_base_table(df, name="raw_transactions", files=None):
+    """Create the typed base table, replacing an old one.
+
+    The lines are clustered by date once here. Date filters then skip files and row groups,
+    and grouping lines by order is almost finished before any shuffle.
+    """
+    _write_lines(df, name, "overwrite", files)
+
+
+def append_to_base_table(df, name="raw_transactions", files=None):
     """Append rows; names and types must fit the declared schema."""
-    df.to(RAW_TRANSACTIONS).sortWithinPartitions("invoice_date").write.mode("append").saveAsTable(name)
+    _write_lines(df, name, "append", files)
 
 
 def publish(df, name):

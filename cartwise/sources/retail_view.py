@@ -24,24 +24,20 @@ def raw_transactions(spark, sf_dir):
     def table(name):
         return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
-    returned = F.col("l_returnflag") == "R"
-    order_key = F.col("o_orderkey")
-    part_slot = F.col("l_partkey") % 50
     lines = (
         table("lineitem")
-        .join(table("orders"), F.col("l_orderkey") == order_key)
-        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(table("orders"), F.expr("l_orderkey = o_orderkey"))
+        .join(table("part"), F.expr("l_partkey = p_partkey"))
+        .join(table("supplier"), F.expr("l_suppkey = s_suppkey"))
+        .join(table("nation"), F.expr("s_nationkey = n_nationkey"))
     )
-    return lines.select(
-        F.concat(F.when(returned, "C").otherwise(""), order_key.cast("string")).alias("invoice"),
-        F.when(part_slot == 0, "POST").when(part_slot == 1, "M")
-        .otherwise(F.col("l_partkey").cast("string")).alias("stock_code"),
-        F.col("p_name").alias("description"),
-        (F.col("l_quantity") * F.when(returned, -1).otherwise(1)).cast("int").alias("quantity"),
-        F.timestamp_add("SECOND", order_key * 7919 % 86400, F.col("o_orderdate")).alias("invoice_date"),
-        F.when(part_slot == 2, 0.0).otherwise(F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
-        F.when(order_key % 5 != 0, F.col("o_custkey")).alias("customer_id"),
-        F.col("n_name").alias("country"),
+    return lines.selectExpr(
+        "concat(if(l_returnflag = 'R', 'C', ''), o_orderkey) AS invoice",
+        "CASE l_partkey % 50 WHEN 0 THEN 'POST' WHEN 1 THEN 'M' ELSE string(l_partkey) END AS stock_code",
+        "p_name AS description",
+        "int(if(l_returnflag = 'R', -l_quantity, l_quantity)) AS quantity",
+        "timestampadd(SECOND, o_orderkey * 7919 % 86400, o_orderdate) AS invoice_date",
+        "if(l_partkey % 50 = 2, 0.0D, l_extendedprice / l_quantity) AS price",
+        "if(o_orderkey % 5 = 0, NULL, o_custkey) AS customer_id",
+        "n_name AS country",
     )

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 import frames
 from cartwise.operators import cleaning, features
-from cartwise.plans.registry import Retail
+from cartwise.plans.registry import over_folder
 from cartwise.schemas import FEATURE_COLUMNS
 
 CUTOFF = "2011-06-01"
@@ -129,7 +129,7 @@ def test_cancel_rate_can_exceed_one_and_needs_a_purchase(spark):
 
 
 def test_nothing_leaks_from_after_the_cutoff(spark, sf_dir):
-    retail = Retail(spark, sf_dir)
+    retail = over_folder(spark, sf_dir)
     def table(lines):
         df = features.features_as_of(lines, retail.cutoff, "NATION_11")
         return df.withColumns({c: F.round(c, 4) for c in ("monetary", "avg_order_value")})
@@ -141,7 +141,7 @@ def test_nothing_leaks_from_after_the_cutoff(spark, sf_dir):
 
 
 def test_one_pass_equals_features_plus_labels(spark, sf_dir):
-    retail = Retail(spark, sf_dir)
+    retail = over_folder(spark, sf_dir)
     purchases, cancelled = retail.clean, cleaning.cancellations(retail.raw)
     built = features.eligible(
         features.build_features(purchases, cancelled, retail.cutoff, "NATION_11"))

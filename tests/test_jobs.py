@@ -3,12 +3,12 @@ from pyspark.sql import functions as F
 
 from cartwise.operators import modeling, reporting
 from cartwise.plans import jobs
-from cartwise.plans.registry import HOME, Retail
+from cartwise.plans.registry import HOME, over_folder
 from cartwise.schemas import COLUMN_NAMES
 
 
 def test_from_files_to_dashboard_tables(spark, sf_dir, tmp_path):
-    retail = Retail(spark, sf_dir)
+    retail = over_folder(spark, sf_dir)
     names = {new: old for old, new in COLUMN_NAMES.items()}
     paths = []
     for i, part in enumerate(retail.parts):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import frames
 from cartwise.operators import segments
-from cartwise.plans.registry import Retail
+from cartwise.plans.registry import over_folder
 
 PROFILE = "cluster int, recency_days double, frequency double, monetary double"
 
@@ -87,7 +87,7 @@ def test_summary_shares_divide_rounded_totals(spark):
 
 
 def test_shares_add_up_to_one(spark, sf_dir):
-    rows = segments.segment_shares(Retail(spark, sf_dir).segments).collect()
+    rows = segments.segment_shares(over_folder(spark, sf_dir).segments).collect()
     assert math.isclose(sum(r["customer_share"] for r in rows), 1)
     assert math.isclose(sum(r["revenue_share"] for r in rows), 1)
     assert [r["revenue_share"] for r in rows] == sorted(r["revenue_share"] for r in rows)
