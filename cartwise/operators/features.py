@@ -6,6 +6,8 @@ then per customer. Both steps use numeric buffers only, so they are partial + fi
 aggregates: a customer holding a large part of all lines is spread over many tasks in the
 first step and reaches the second one already combined.
 """
+from datetime import timedelta
+
 from pyspark.sql import Window, functions as F
 
 from ..functions.columns import as_time, days, elapsed_days, flag, midnight
@@ -25,13 +27,25 @@ def reference_dates(purchases, label_days=LABEL_DAYS):
     return last.select(end.alias("data_end"), (end - days(label_days)).alias("cutoff"))
 
 
-def data_end(purchases):
-    """The moment as a naive datetime. As a literal it can prune files and row groups."""
+def data_end(purchases, raw=None, look_back=30):
+    """The moment as a naive datetime. As a literal it can prune files and row groups.
+
+    With the raw lines given, their last date (one column) tells where to look first: a
+    purchase in the look_back days before it is the last one, and a table clustered by
+    date reads only its end for that. Otherwise all purchases are searched.
+    """
+    if raw is not None:
+        newest = raw.agg(F.max("invoice_date").alias("newest")).first()["newest"]
+        recent = purchases.where(F.col("invoice_date") >= as_time(newest) - days(look_back))
+        found = reference_dates(recent).first()["data_end"]
+        if found is not None:
+            return found
     return reference_dates(purchases).first()["data_end"]
 
 
-def training_cutoff(purchases, label_days=LABEL_DAYS):
-    return reference_dates(purchases, label_days).first()["cutoff"]
+def training_cutoff(purchases, label_days=LABEL_DAYS, raw=None):
+    end = data_end(purchases, raw)
+    return None if end is None else end - timedelta(days=label_days)
 
 
 def activity(raw):

@@ -5,7 +5,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..schemas import FEATURE_COLUMNS, METRIC_LABELS
 from ..sources.files import union_parts
@@ -19,10 +19,30 @@ LOG_STATEMENT = "SELECT *, {} FROM __THIS__".format(
     ", ".join(f"log1p({name}) AS log_{name}" for name in FEATURE_COLUMNS))
 
 
+def split_sizes(df, label="churned", test_share=0.2):
+    """(label, test_size): ceil(test_share * n) rows in all, shared out in proportion.
+
+    The training rows are given to the classes by largest remainder, in whole numbers;
+    the test set is the rest. One row per class.
+    """
+    whole = Window.partitionBy()
+    classes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "total", F.sum("n").over(whole))
+    train = F.col("total") - F.ceil(F.col("total") * F.lit(test_share))
+    shared = classes.withColumn("train", train).withColumns({
+        "floor": F.expr("train * n DIV total"),
+        "remainder": F.expr("train * n % total"),
+    })
+    extra = F.col("train") - F.sum("floor").over(whole)
+    place = F.row_number().over(Window.partitionBy().orderBy(F.desc("remainder"), label))
+    return shared.select(
+        label, (F.col("n") - F.col("floor") - F.when(place <= extra, 1).otherwise(0)).alias("test_size"))
+
+
 def stratified_split(df, label="churned", test_share=0.2, seed=42, id_column="customer_id"):
-    """(train, test): exactly ceil(test_share * n) rows of every class go to the test set."""
-    placed = shuffled_place(df, label, id_column, seed)
-    in_test = F.col("place") <= F.ceil(F.col("group_size") * F.lit(test_share))
+    """(train, test) with the same share of every class in both, and exact sizes."""
+    placed = shuffled_place(df, label, id_column, seed).join(split_sizes(df, label, test_share), label)
+    in_test = F.col("place") <= F.col("test_size")
     return (placed.where(~in_test).select(df.columns), placed.where(in_test).select(df.columns))
 
 

@@ -29,7 +29,7 @@ def running_totals(df, order, bucket, totals, group=()):
 
 
 def shuffled_place(df, group, id_column, seed):
-    """1-based place of every row in a fixed random order of its group, and the group size.
+    """1-based place of every row in a fixed random order of its group.
 
     The order is that of md5(seed:id), so it does not depend on partitioning and can be
     repeated by any engine.
@@ -40,8 +40,7 @@ def shuffled_place(df, group, id_column, seed):
         .withColumn("draw_bucket", F.substring("draw", 1, HASH_BUCKET_DIGITS))
     )
     placed = running_totals(drawn, "draw", "draw_bucket", {"place": F.lit(1)}, group=(group,))
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("group_size"))
-    return placed.join(sizes, group).drop("draw", "draw_bucket")
+    return placed.drop("draw", "draw_bucket")
 
 
 def score_buckets(scores, column, buckets=SCORE_BUCKETS):

@@ -4,30 +4,33 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Window, functions as F
 
-from ..functions.columns import midnight, ratio, round_half_even, sum_of
+from ..functions.columns import ratio, round_half_even, sum_of
 from ..schemas import RFM_COLUMNS, SEGMENTS
 from ..staging import checkpointed, run_together
-from .features import reference_dates
 
 SCALED_COLUMNS = tuple(f"{c}_scaled" for c in RFM_COLUMNS)
 
 
-def rfm(clean):
+def rfm(clean, last_day=None):
     """Calendar days since the last purchase, number of invoices and spend per customer.
 
     Lines are added up to orders first, so the heaviest customer is spread over the
-    tasks and the count of distinct invoices becomes a plain count.
+    tasks and the count of distinct invoices becomes a plain count. Without a given last
+    day, the customers are kept and their latest date is used: the lines are read once.
     """
-    end = reference_dates(clean).select(F.to_date("data_end")).scalar()
     orders = clean.groupBy("customer_id", "invoice").agg(
         F.max("invoice_date").alias("last_line"), F.sum("line_total").alias("order_total"))
-    return orders.groupBy("customer_id").agg(
-        F.max("last_line").alias("last_line"),
+    customers = orders.groupBy("customer_id").agg(
+        F.to_date(F.max("last_line")).alias("last_date"),
         F.count("invoice").alias("frequency"),
         F.sum("order_total").alias("monetary"),
-    ).select(
+    )
+    if last_day is None:
+        customers = checkpointed(customers)
+        last_day = customers.agg(F.max("last_date")).first()[0]
+    return customers.select(
         "customer_id",
-        F.date_diff(end, F.to_date("last_line")).alias("recency_days"),
+        (F.date_diff(F.lit(last_day).cast("date"), "last_date") + 1).alias("recency_days"),
         "frequency",
         "monetary",
     )

@@ -6,8 +6,12 @@ from ..sources import files
 
 
 def load(spark, csv_paths, table="raw_transactions"):
-    """Merge and dedupe source files into the base table and create the cleaned views."""
-    parts = files.read_parts(spark, csv_paths)
+    """Merge and dedupe source files into the base table and create the cleaned views.
+
+    Lines that do not fit the source schema are published as rejected_lines.
+    """
+    parts, rejected = files.read_parts(spark, csv_paths)
+    files.publish(rejected, "rejected_lines")
     files.create_base_table(files.to_raw_transactions(files.merge_parts(parts)), table)
     cleaning.create_views(spark.table(table))
     return files.row_count(spark.table("clean_transactions"))
@@ -22,7 +26,7 @@ def segment(spark, table="raw_transactions"):
 def train(spark, model_path, table="raw_transactions", home_country=HOME_COUNTRY, models=None):
     """Train, select and save; publish metrics, confusion matrix, test set and run records."""
     raw = spark.table(table)
-    cutoff = features.training_cutoff(cleaning.clean_transactions(raw))
+    cutoff = features.training_cutoff(cleaning.clean_transactions(raw), raw=raw)
     labelled = features.training_set(features.activity(raw), cutoff, home_country)
     training = modeling.train_and_select(labelled, models)
     modeling.save_model(training.best, model_path)
@@ -51,7 +55,7 @@ def explain_model(spark, model_path):
 
 def score(spark, model_path, table="raw_transactions", home_country=HOME_COUNTRY):
     raw = spark.table(table)
-    today = features.data_end(cleaning.clean_transactions(raw))
+    today = features.data_end(cleaning.clean_transactions(raw), raw)
     scores = scoring.score_customers(
         features.activity(raw), today, modeling.load_model(model_path),
         spark.table("customer_segments"), home_country)

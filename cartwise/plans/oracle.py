@@ -282,9 +282,20 @@ _AP = """SELECT round(sum(pos * tp / CAST(called AS DOUBLE)) / sum(pos), 6) AS a
 FROM (SELECT sum(churned) AS pos, sum(sum(churned)) OVER w AS tp, sum(count(*)) OVER w AS called
       FROM scored GROUP BY churn_probability
       WINDOW w AS (ORDER BY churn_probability DESC ROWS UNBOUNDED PRECEDING))"""
-_PLACED = """SELECT *, row_number() OVER (
-  PARTITION BY churned ORDER BY md5('42:' || CAST(customer_id AS VARCHAR))) AS place,
-  count(*) OVER (PARTITION BY churned) AS n FROM training_set"""
+SPLIT = """classes AS (
+  SELECT churned, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS total FROM training_set GROUP BY churned),
+shared AS (
+  SELECT *, total - CAST(ceil(0.2 * total) AS BIGINT) AS train FROM classes),
+whole AS (
+  SELECT *, train * n // total AS floor_size,
+         row_number() OVER (ORDER BY train * n % total DESC, churned) AS rank FROM shared),
+split AS (
+  SELECT churned, n - floor_size - CASE WHEN rank <= train - sum(floor_size) OVER () THEN 1 ELSE 0 END AS test_size
+  FROM whole),
+placed AS (
+  SELECT t.customer_id, t.churned, test_size, row_number() OVER (
+           PARTITION BY t.churned ORDER BY md5('42:' || CAST(customer_id AS VARCHAR))) AS place
+  FROM training_set t JOIN split s ON s.churned = t.churned)"""
 _PREDICT = f"""SELECT customer_id, round_even(p, 4) AS churn_probability, p >= 0.5 AS will_churn
 FROM (SELECT customer_id, {PROBABILITY} AS p FROM valid)"""
 _PHI_OUT = "customer_id, feature, round(value, 6) AS value, round(phi, 6) AS phi"
@@ -378,10 +389,10 @@ ORACLE = {name: _query(ctes, body) for name, (ctes, body) in {
             FROM customer_segments GROUP BY segment)"""),
     "duplicated_customers": ([RAW], """SELECT customer_id, count(*) AS count FROM raw_transactions
       GROUP BY customer_id HAVING count(*) > 1"""),
-    "stratified_split": (TRAINING, f"""SELECT customer_id, churned FROM ({_PLACED})
-      WHERE place <= ceil(0.2 * n)"""),
-    "split_sizes": (TRAINING, f"""SELECT CASE WHEN place <= ceil(0.2 * n) THEN 'test' ELSE 'train' END AS part,
-      churned, count(*) AS customers FROM ({_PLACED}) GROUP BY ALL"""),
+    "stratified_split": ([*TRAINING, SPLIT], """SELECT customer_id, churned FROM placed
+      WHERE place <= test_size"""),
+    "split_sizes": ([*TRAINING, SPLIT], """SELECT CASE WHEN place <= test_size THEN 'test' ELSE 'train' END AS part,
+      churned, count(*) AS customers FROM placed GROUP BY ALL"""),
     "stratified_folds": (COMPARED, "SELECT customer_id, churned, CAST(fold AS INTEGER) AS fold FROM folded"),
     "frozen_scores": (SCORED_TRAINING, """SELECT customer_id, churned,
       round(churn_probability, 6) AS churn_probability FROM scored"""),

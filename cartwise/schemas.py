@@ -37,8 +37,11 @@ COLUMN_NAMES = {
     "Country": "country",
 }
 
-# Texts a CSV may use for "missing".
-MISSING_TOKENS = ("", "NA", "N/A", "n/a", "NULL", "null", "NaN", "nan", "None", "<NA>", "#N/A")
+# Texts that pandas reads as "missing".
+MISSING_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
 # Stock codes that are postage, fees, discounts or adjustments.
 EXCLUDED_CODES = (

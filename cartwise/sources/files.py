@@ -8,27 +8,29 @@ from ..schemas import COLUMN_NAMES, FEATURES, MISSING_TOKENS, RAW_TRANSACTIONS,
 CORRUPT = "corrupt_record"
 
 
-def read_csv(spark, paths, schema, timestamp_format="yyyy-MM-dd HH:mm:ss",
-             missing_tokens=MISSING_TOKENS):
+def read_csv(spark, paths, schema, timestamp_format=None, missing_tokens=MISSING_TOKENS):
     """CSV with declared types: (good rows, lines that do not fit the schema).
 
     Everything is read as text first, so that every spelling of "missing" becomes null
     before the types are applied. A value that fails its cast sends the line to the rejects.
+    Times are ISO texts unless a pattern is given.
     """
-    text = spark.read.schema(", ".join(f"`{f.name}` STRING" for f in schema.fields)
-                             + f", {CORRUPT} STRING") \
-        .option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE") \
-        .option("columnNameOfCorruptRecord", CORRUPT).csv(paths)
+    columns = [f"`{f.name}` STRING" for f in schema.fields] + [f"{CORRUPT} STRING"]
+    text = (
+        spark.read.schema(", ".join(columns))
+        .option("header", True).option("enforceSchema", False).option("escape", '"')
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+        .csv(paths)
+    )
 
     def present(name):
         value = F.col(f"`{name}`")
         return F.when(~value.isin(*missing_tokens), value)
 
     def typed(field):
-        kind = field.dataType.typeName()
-        if kind == "timestamp_ntz":
-            pattern = F.lit(timestamp_format)
-            return F.try_to_timestamp(present(field.name), pattern).cast("timestamp_ntz")
+        if timestamp_format and field.dataType.typeName() == "timestamp_ntz":
+            parsed = F.try_to_timestamp(present(field.name), F.lit(timestamp_format))
+            return parsed.cast("timestamp_ntz")
         return present(field.name).try_cast(field.dataType)
 
     failed = F.array_compact(F.array(*[
@@ -40,8 +42,9 @@ def read_csv(spark, paths, schema, timestamp_format="yyyy-MM-dd HH:mm:ss",
 
 
 def read_parts(spark, paths, schema=SOURCE_FILE, **options):
-    """One good-rows table per file (a period, or a sheet of the source workbook)."""
-    return [read_csv(spark, [path], schema, **options)[0] for path in paths]
+    """One table per file (a period, or a sheet of the source workbook), and all rejects."""
+    both = [read_csv(spark, [path], schema, **options) for path in paths]
+    return [good for good, _ in both], union_parts([bad for _, bad in both])
 
 
 def union_parts(parts):

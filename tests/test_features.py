@@ -160,6 +160,16 @@ def test_reference_dates_come_from_purchases_only(spark):
     assert features.training_cutoff(rows) == got["cutoff"]
 
 
+def test_last_purchase_is_found_from_the_end_or_by_a_full_search(spark):
+    late = ("C9", "A", "a", -1, "2011-12-31 10:00:00", 1.0, 1, "X")
+    near = ("1", "A", "a", 1, "2011-12-09 12:50:00", 1.0, 1, "X")
+    far = ("2", "A", "a", 1, "2011-03-01 12:50:00", 1.0, 1, "X")
+    for rows, expected in (([late, near, far], "2011-12-10 00:00:00"), ([late, far], "2011-03-02 00:00:00"),
+                           ([late], "None"), ([], "None")):
+        raw = frames.raw(spark, rows)
+        assert str(features.data_end(cleaning.clean_transactions(raw), raw)) == expected
+
+
 def test_empty_input(spark):
     nothing = frames.purchases(spark, []), frames.cancellations(spark, [])
     assert features.build_features(*nothing, CUTOFF).count() == 0

@@ -35,12 +35,25 @@ def class_sizes(df):
 def test_split_is_exact_disjoint_and_whole(customers):
     train, test = modeling.stratified_split(customers)
     whole, tested = class_sizes(customers), class_sizes(test)
-    assert tested == {label: math.ceil(0.2 * n) for label, n in whole.items()}
+    assert sum(tested.values()) == math.ceil(0.2 * 900)
+    assert all(abs(tested[label] - 0.2 * n) < 1 for label, n in whole.items())
     assert train.columns == test.columns == customers.columns
     assert train.count() + test.count() == 900
     assert train.join(test, "customer_id", "left_semi").count() == 0
 
 
+@pytest.mark.parametrize("sizes, expected", [
+    ({0: 2196, 1: 2110}, {0: 440, 1: 422}),   # 4,306 rows: 862 in the test set
+    ({0: 7, 1: 3}, {0: 1, 1: 1}),             # 8 train rows: 5.6 and 2.4
+    ({0: 5, 1: 5, 2: 1}, {0: 1, 1: 2, 2: 0}), # 8 train rows: 3.64, 3.64 (a tie) and 0.73
+    ({0: 1}, {0: 1}),
+])
+def test_split_sizes(spark, sizes, expected):
+    rows = [(label,) for label, n in sizes.items() for _ in range(n)]
+    got = modeling.split_sizes(spark.createDataFrame(rows, "churned int"))
+    assert {r["churned"]: r["test_size"] for r in got.collect()} == expected
+
+
 def test_split_depends_on_the_seed_and_not_on_partitions(customers):
     def ids(df, seed):
         return sorted(r[0] for r in modeling.stratified_split(df, seed=seed)[1].select("customer_id").collect())

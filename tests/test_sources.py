@@ -17,12 +17,12 @@ def write(tmp_path, name, *lines, header=HEADER):
 
 def test_csv_types_and_missing_values(spark, tmp_path):
     path = write(tmp_path, "a.csv",
-                 "489434,85048,\"GLASS, BALL\",12,2009-12-01 07:45:00,6.95,13085.0,United Kingdom",
+                 "489434,85048,\"12\"\" GLASS, BALL\",12,2009-12-01 07:45:00,6.95,13085.0,United Kingdom",
                  "489435,M,NULL,,2009-12-01 07:46:00,NA,,nan")
     rows, bad = files.read_transactions_csv(spark, [path])
     assert rows.schema.simpleString() == schemas.RAW_TRANSACTIONS.simpleString()
     first, second = sorted(rows.collect(), key=lambda r: r["invoice"])
-    assert first["description"] == "GLASS, BALL" and first["customer_id"] == 13085
+    assert first["description"] == '12" GLASS, BALL' and first["customer_id"] == 13085
     assert str(first["invoice_date"]) == "2009-12-01 07:45:00"
     assert tuple(second[c] for c in ("description", "quantity", "price", "customer_id", "country")) \
         == (None,) * 5
@@ -51,7 +51,8 @@ def test_parts_are_merged_without_copies(spark, tmp_path):
     line = "1,A,d,1,2010-12-01 07:45:00,1.0,,X"
     one = write(tmp_path, "1.csv", line, line, "2,A,d,1,2010-12-01 07:45:00,1.0,5,X")
     two = write(tmp_path, "2.csv", line, "3,A,d,1,2010-12-02 07:45:00,1.0,5,X")
-    parts = files.read_parts(spark, [one, two])
+    parts, rejected = files.read_parts(spark, [one, two])
+    assert rejected.count() == 0
     merged, removed = files.merge_parts_counted(parts)
     assert sorted(r["Invoice"] for r in merged.collect()) == ["1", "2", "3"]
     assert removed() == 2
