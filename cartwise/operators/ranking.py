@@ -49,8 +49,8 @@ def score_buckets(scores, column, buckets=SCORE_BUCKETS):
     The edges are a bounded array of quantiles; any edges give exact results, balanced
     ones only spread the work.
     """
-    steps = [i / buckets for i in range(1, buckets)]
-    edges = scores.agg(F.percentile_approx(column, steps, 10 * buckets).alias("edges")).first()["edges"]
+    steps = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
+    edges = scores.selectExpr(f"percentile_approx({column}, array({steps}), {10 * buckets})").first()[0]
     splits = [float("-inf"), *sorted(set(edges or ())), float("inf")]
     if len(splits) < 3:
         splits.insert(1, 0.0)

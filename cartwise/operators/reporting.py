@@ -77,25 +77,26 @@ def sliced(df, **slicers):
 
 # Segments page
 
-def _segment_measures(segments):
-    total = segments.agg(F.struct(
-        F.count(F.lit(1)).alias("customers"), F.sum("monetary").alias("revenue"))).scalar()
-    return {
-        "customers": F.count(F.lit(1)),
-        "revenue": F.sum("monetary"),
-        "revenue_share": ratio(F.sum("monetary"), F.first(total["revenue"])),
-        "customer_share": ratio(F.count(F.lit(1)), F.first(total["customers"])),
-        "avg_days_since_last_order": F.avg("recency_days"),
-        "avg_orders": F.avg("frequency"),
-        "avg_spend": F.avg("monetary"),
-    }
+SEGMENT_MEASURES = {
+    "customers": "count(*)",
+    "revenue": "sum(monetary)",
+    "revenue_share": "try_divide(sum(monetary), double({revenue}))",
+    "customer_share": "try_divide(double(count(*)), double({customers}))",
+    "avg_days_since_last_order": "avg(recency_days)",
+    "avg_orders": "avg(frequency)",
+    "avg_spend": "avg(monetary)",
+}
 
 
 def segment_measures(segments, names, by=(), segment_slicer=None):
     """Chosen segment measures, for the whole table or per group."""
-    measures = _segment_measures(segments)
+    totals = {}
+    if any(name.endswith("_share") for name in names):
+        row = segments.selectExpr("count(*) AS customers", "sum(monetary) AS revenue").first()
+        totals = {name: "NULL" if value is None else repr(value)
+                  for name, value in row.asDict().items()}
     return sliced(segments, segment=segment_slicer).groupBy(*by).agg(
-        *[measures[n].alias(n) for n in names])
+        *[F.expr(SEGMENT_MEASURES[n].format(**totals)).alias(n) for n in names])
 
 
 def segment_kpis(segments, segment_slicer=None):

@@ -82,7 +82,8 @@ class Retail:
 
     @cached_property
     def segments(self):
-        return segments.assign_segments(self.clustered)
+        """Kept, like the published table that the dashboard reads."""
+        return checkpointed(segments.assign_segments(self.clustered))
 
     @cached_property
     def scored(self):
@@ -106,7 +107,7 @@ class Retail:
         scored = checkpointed(files.union_parts([
             m.with_probability(self.folded).select("fold", "churned", "churn_probability")
             .withColumn("model", F.lit(name)) for name, m in models.items()]))
-        return metrics.compare_models(scored, scored, list(models))
+        return checkpointed(metrics.compare_models(scored, scored, list(models)))
 
     @cached_property
     def attribution(self):
