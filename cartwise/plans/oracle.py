@@ -316,6 +316,7 @@ ORACLE = {name: _query(ctes, body) for name, (ctes, body) in {
     "raw_transactions": ([RAW], "SELECT * FROM raw_transactions"),
     "clean_transactions": (BASE, "SELECT * FROM clean_transactions"),
     "cancellations": (BASE, "SELECT * FROM cancellations"),
+    "read_transactions_csv": ([RAW], "SELECT * FROM raw_transactions"),
     "merge_parts": ([RAW, PARTS], "SELECT DISTINCT * FROM parts"),
     "duplicates_removed": ([RAW, PARTS], """SELECT (SELECT count(*) FROM parts) AS rows_before,
       (SELECT count(*) FROM (SELECT DISTINCT * FROM parts)) AS rows_after,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import as_time
 from ..operators import (cleaning, explain, exploration, features, metrics, modeling, reporting,
                          scoring, segments)
-from ..schemas import FEATURE_COLUMNS, RFM_COLUMNS, SPANISH
+from ..schemas import COLUMN_NAMES, FEATURE_COLUMNS, RFM_COLUMNS, SPANISH
 from ..sources import files, retail_view
 from ..staging import checkpointed, new_folder
 from ..streaming import scoring as streaming
@@ -159,6 +159,15 @@ def predict_stream(r):
     return _predictions(r.spark.read.parquet(output))
 
 
+def read_transactions_csv(r):
+    """The raw lines written as source files and read back with declared types."""
+    folder = new_folder(r.spark, "source")
+    source = r.raw.withColumn("invoice_date", F.date_format("invoice_date", "yyyy-MM-dd HH:mm:ss"))
+    names = {new: old for old, new in COLUMN_NAMES.items()}
+    files.write_files(source.withColumnsRenamed(names), folder, "csv")
+    return files.read_transactions_csv(r.spark, folder)[0]
+
+
 def stratified_split(r):
     _, test = modeling.stratified_split(checkpointed(r.training))
     return test.select("customer_id", "churned")
@@ -188,6 +197,7 @@ TABLE_QUERIES = {
     "raw_transactions": lambda r: r.raw,
     "clean_transactions": lambda r: r.clean,
     "cancellations": lambda r: r.cancelled,
+    "read_transactions_csv": read_transactions_csv,
     "merge_parts": lambda r: files.merge_parts(r.parts),
     "duplicates_removed": lambda r: files.duplicates_removed(r.parts),
     "fractional_ids": lambda r: files.fractional_ids(
