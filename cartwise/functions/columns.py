@@ -38,19 +38,27 @@ def month_start(ts):
     return F.trunc(F.to_date(ts), "month")
 
 
-def round_half_up(value, digits=0):
-    """SQL rounding of a double: half away from zero.
+def settled(value):
+    """A sum or mean of doubles without the last digits, which depend on the order of
+    summation; an exact half is then rounded the same way in every run."""
+    return col(value).cast("decimal(38,6)")
 
-    The pass through a decimal drops the float noise that depends on the order of
-    summation, so an exact half is rounded the same way in every run.
-    """
-    return F.round(col(value).cast("decimal(38,6)"), digits).cast("double")
+
+def round_half_up(value, digits=0):
+    """SQL rounding: half away from zero."""
+    return F.round(settled(value), digits).cast("double")
 
 
 def round_half_even(value, digits=0):
+    """Rounding of a single number as Python does it: half to even."""
     return F.bround(col(value), digits)
 
 
+def round_total_half_even(value, digits=0):
+    """The same for a sum or mean of doubles."""
+    return F.bround(settled(value), digits).cast("double")
+
+
 def ratio(a, b):
     """a / b as double; null where b is 0 or null."""
     return F.try_divide(col(a).cast("double"), col(b).cast("double"))

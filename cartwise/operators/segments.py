@@ -4,7 +4,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Window, functions as F
 
-from ..functions.columns import ratio, round_half_even, sum_of
+from ..functions.columns import ratio, round_half_even, round_total_half_even, sum_of
 from ..schemas import RFM_COLUMNS, SEGMENTS
 from ..staging import checkpointed, run_together
 
@@ -162,8 +162,8 @@ def segment_summary(segments):
     """
     summary = segments.where(F.col("segment").isNotNull()).groupBy("segment").agg(
         F.count("customer_id").alias("customers"),
-        *[round_half_even(F.avg(c), 1).alias(f"avg_{c}") for c in RFM_COLUMNS],
-        round_half_even(F.sum("monetary"), 1).alias("total_revenue"),
+        *[round_total_half_even(F.avg(c), 1).alias(f"avg_{c}") for c in RFM_COLUMNS],
+        round_total_half_even(F.sum("monetary"), 1).alias("total_revenue"),
     )
     total = F.sum("total_revenue").over(Window.partitionBy())
     return summary.withColumn(

@@ -378,10 +378,10 @@ ORACLE = {name: _query(ctes, body) for name, (ctes, body) in {
     "segment_summary": (SEGMENTED, """SELECT *, round_even(total_revenue / sum(total_revenue) OVER (), 3)
       AS revenue_share
       FROM (SELECT segment, count(*) AS customers,
-                   round_even(avg(recency_days), 1) AS avg_recency_days,
-                   round_even(avg(frequency), 1) AS avg_frequency,
-                   round_even(avg(monetary), 1) AS avg_monetary,
-                   round_even(sum(monetary), 1) AS total_revenue
+                   round_even(CAST(CAST(avg(recency_days) AS DECIMAL(38,6)) AS DOUBLE), 1) AS avg_recency_days,
+                   round_even(CAST(CAST(avg(frequency) AS DECIMAL(38,6)) AS DOUBLE), 1) AS avg_frequency,
+                   round_even(CAST(CAST(avg(monetary) AS DECIMAL(38,6)) AS DOUBLE), 1) AS avg_monetary,
+                   round_even(CAST(CAST(sum(monetary) AS DECIMAL(38,6)) AS DOUBLE), 1) AS total_revenue
             FROM customer_segments GROUP BY segment) ORDER BY avg_monetary DESC"""),
     "segment_shares": (SEGMENTED, """SELECT segment, customers, round(revenue, 2) AS revenue,
       round(customers / CAST(sum(customers) OVER () AS DOUBLE), 6) AS customer_share,
