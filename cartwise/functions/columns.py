@@ -38,25 +38,25 @@ def month_start(ts):
     return F.trunc(F.to_date(ts), "month")
 
 
-def settled(value):
-    """A sum or mean of doubles without the last digits, which depend on the order of
-    summation; an exact half is then rounded the same way in every run."""
-    return col(value).cast("decimal(38,6)")
+def settled(total):
+    """A sum of amounts without the last digits, which depend on the order of summation;
+    an exact half is then rounded the same way in every run."""
+    return col(total).cast("decimal(38,4)")
 
 
-def round_half_up(value, digits=0):
-    """SQL rounding: half away from zero."""
-    return F.round(settled(value), digits).cast("double")
+def round_half_up(total, digits=0):
+    """SQL rounding of a sum of amounts: half away from zero."""
+    return F.round(settled(total), digits).cast("double")
 
 
-def round_half_even(value, digits=0):
-    """Rounding of a single number as Python does it: half to even."""
-    return F.bround(col(value), digits)
+def round_total_half_even(total, digits=0):
+    """A sum of amounts, half to even."""
+    return F.bround(settled(total), digits).cast("double")
 
 
-def round_total_half_even(value, digits=0):
-    """The same for a sum or mean of doubles."""
-    return F.bround(settled(value), digits).cast("double")
+def round_half_even(value, digits=0):
+    """Any other number, half to even."""
+    return F.bround(col(value), digits)
 
 
 def ratio(a, b):

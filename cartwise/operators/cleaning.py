@@ -1,7 +1,7 @@
 """Cleaning views over the raw invoice lines."""
 from pyspark.sql import functions as F
 
-from ..functions.columns import ratio, round_half_up
+from ..functions.columns import ratio
 from ..schemas import EXCLUDED_CODES
 
 CLEAN_COLUMNS = ("invoice", "stock_code", "description", "quantity", "invoice_date",
@@ -60,4 +60,4 @@ def cancelled_invoice_share(raw):
     """
     invoices = raw.where(F.col("invoice").isNotNull()).select("invoice").distinct()
     share = ratio(100 * F.count_if(F.col("invoice").startswith("C")), F.count(F.lit(1)))
-    return invoices.agg(round_half_up(share, 2).alias("pct_cancelled_invoices"))
+    return invoices.agg(F.round(share, 2).alias("pct_cancelled_invoices"))

@@ -303,6 +303,16 @@ _IMPORTANCE = "SELECT feature, avg(abs(phi)) AS m FROM attribution GROUP BY feat
 _SEGMENT_TOTALS = "(SELECT count(*) FROM customer_segments)", "(SELECT sum(monetary) FROM customer_segments)"
 
 
+def _tenths(value):
+    """Half-even rounding to one digit in decimal arithmetic: 0.25 -> 0.2, 0.35 -> 0.4.
+
+    round_even works on the binary value, where 0.55 need not be a half.
+    """
+    x = f"CAST({value} AS DECIMAL(38,4)) * 10"
+    return (f"CAST(CASE WHEN {x} - floor({x}) = 0.5 THEN (CAST(floor({x}) AS BIGINT) + 1) // 2 * 2 "
+            f"ELSE CAST(round({x}, 0) AS BIGINT) END AS DOUBLE) / 10")
+
+
 def _query(ctes, body):
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
@@ -332,11 +342,11 @@ ORACLE = {name: _query(ctes, body) for name, (ctes, body) in {
       FILTER (WHERE invoice LIKE 'C%') / count(DISTINCT invoice), 2) AS pct_cancelled_invoices
       FROM raw_transactions"""),
     "monthly_revenue": (BASE, """SELECT CAST(date_trunc('month', invoice_date) AS DATE) AS month,
-      CAST(round(CAST(sum(line_total) AS DECIMAL(38,6)), 0) AS DOUBLE) AS revenue,
+      CAST(round(CAST(sum(line_total) AS DECIMAL(38,4)), 0) AS DOUBLE) AS revenue,
       count(DISTINCT customer_id) AS active_customers, count(DISTINCT invoice) AS orders
       FROM clean_transactions GROUP BY 1 ORDER BY 1"""),
     "top_countries": (BASE, """SELECT country, count(DISTINCT customer_id) AS customers,
-      CAST(round(CAST(sum(line_total) AS DECIMAL(38,6)), 0) AS DOUBLE) AS revenue
+      CAST(round(CAST(sum(line_total) AS DECIMAL(38,4)), 0) AS DOUBLE) AS revenue
       FROM clean_transactions GROUP BY country ORDER BY revenue DESC, country LIMIT 10"""),
     "country_revenue_share": (BASE, """SELECT country, count(DISTINCT customer_id) AS customers,
       round(sum(line_total), 2) AS revenue,
@@ -375,13 +385,13 @@ ORACLE = {name: _query(ctes, body) for name, (ctes, body) in {
     "segment_assignment_frozen": (SEGMENTED, """SELECT customer_id, recency_days, frequency,
       round(monetary, 2) AS monetary, segment FROM customer_segments"""),
     "name_segments": (SEGMENTED, "SELECT cluster, segment FROM names"),
-    "segment_summary": (SEGMENTED, """SELECT *, round_even(total_revenue / sum(total_revenue) OVER (), 3)
+    "segment_summary": (SEGMENTED, f"""SELECT *, round_even(total_revenue / sum(total_revenue) OVER (), 3)
       AS revenue_share
       FROM (SELECT segment, count(*) AS customers,
-                   round_even(CAST(CAST(avg(recency_days) AS DECIMAL(38,6)) AS DOUBLE), 1) AS avg_recency_days,
-                   round_even(CAST(CAST(avg(frequency) AS DECIMAL(38,6)) AS DOUBLE), 1) AS avg_frequency,
-                   round_even(CAST(CAST(avg(monetary) AS DECIMAL(38,6)) AS DOUBLE), 1) AS avg_monetary,
-                   round_even(CAST(CAST(sum(monetary) AS DECIMAL(38,6)) AS DOUBLE), 1) AS total_revenue
+                   round_even(avg(recency_days), 1) AS avg_recency_days,
+                   round_even(avg(frequency), 1) AS avg_frequency,
+                   round_even(avg(monetary), 1) AS avg_monetary,
+                   {_tenths('sum(monetary)')} AS total_revenue
             FROM customer_segments GROUP BY segment) ORDER BY avg_monetary DESC"""),
     "segment_shares": (SEGMENTED, """SELECT segment, customers, round(revenue, 2) AS revenue,
       round(customers / CAST(sum(customers) OVER () AS DOUBLE), 6) AS customer_share,

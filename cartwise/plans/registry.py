@@ -21,6 +21,7 @@ OVERLAP_START, OVERLAP_END = "1998-01-01", "1998-01-10"
 # Rounds of boosting in the registered training queries; the library default is 300.
 QUERY_ROUNDS = 20
 
+
 class Retail:
     """The tables a query may need, over one table of raw invoice lines.
 
