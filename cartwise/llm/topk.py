@@ -21,10 +21,14 @@ from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..staging import checkpointed
+
 SCALE = 64
 K = 20
 #: Vectors in a block of candidates, and in a block of queries.
 BLOCK, QUERY_BLOCK = 4096, 1024
+#: Blocks of candidates that one task meets with a block of queries.
+SLICE = 4
 #: Lower ends of the ranges of magnitudes, as powers of two: 16 and more, 8 to 15, 4 to 7, below.
 SEGMENTS = (16, 8, 4, 0)
 #: A query with at most this share of a block as possible members is settled.
@@ -41,7 +45,10 @@ def quantised(vectors, id_col="vec_id", vector_col="embedding", scale=SCALE):
 
 
 def packed_blocks(rows, size):
-    """(block, ids, data): blocks of up to `size` vectors, packed within a task."""
+    """(block, ids, data, n, width): blocks of up to `size` vectors, packed within a task.
+
+    Components are 16-bit numbers where all of a block fit, else 64-bit ones.
+    """
     def run(batches):
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
@@ -53,16 +60,19 @@ def packed_blocks(rows, size):
                 for row, values in zip(data, lists):
                     row[:len(values)] = values
                 ids = part.column("vec_id").cast(pa.int64()).to_numpy()
+                if np.abs(data).max(initial=0) < 1 << 15:
+                    data = data.astype(np.int16)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([number]), pa.array([ids.tobytes()]), pa.array([data.tobytes()]),
-                     pa.array([len(ids)])], ["block", "ids", "data", "n"])
+                     pa.array([len(ids)]), pa.array([width])], ["block", "ids", "data", "n", "width"])
                 number += 1
 
-    return rows.mapInArrow(run, "block long, ids binary, data binary, n long")
+    return rows.mapInArrow(run, "block long, ids binary, data binary, n long, width long")
 
 
-def unpacked(ids, data, n):
-    return np.frombuffer(ids, np.int64), np.frombuffer(data, np.int64).reshape(n, -1)
+def unpacked(ids, data, n, width):
+    kind = np.int16 if len(data) == 2 * n * width else np.int64
+    return np.frombuffer(ids, np.int64), np.frombuffer(data, kind).reshape(n, width).astype(np.int64)
 
 
 class ImpactIndex:
@@ -77,8 +87,8 @@ class ImpactIndex:
         for least in SEGMENTS:
             here = (size >= least) & (size < above)
             above = least
-            left = np.sqrt(np.where(size < least, self.data, 0).astype(float) ** 2 @ np.ones(data.shape[1]))
-            self.segments.append((np.where(here, self.data, 0).T.astype(np.float64), left))
+            left = np.sqrt((np.where(size < least, self.data, 0).astype(float) ** 2).sum(1))
+            self.segments.append((np.where(here, self.data, 0).T, left))
 
     def top(self, query_ids, queries, k, floor):
         """(query row, vector id, score) of the k best of each query that reach its floor.
@@ -88,7 +98,10 @@ class ImpactIndex:
         n = len(self.ids)
         norms = np.sqrt((queries.astype(float) ** 2).sum(1))
         rows = np.arange(len(queries))
-        scores = np.zeros((len(queries), n))
+        # Single precision holds these integers exactly as long as no sum can pass 2**24.
+        largest = np.abs(queries).max(initial=0) * np.abs(self.data).max(initial=0) * queries.shape[1]
+        kind = np.float32 if largest < 1 << 24 else np.float64
+        scores = np.zeros((len(queries), n), kind)
         # The query's own vector is never a member.
         place = np.searchsorted(self.ids, query_ids, side="left")
         until = np.searchsorted(self.ids, query_ids, side="right")
@@ -98,15 +111,16 @@ class ImpactIndex:
         for number, (postings, left) in enumerate(self.segments):
             if not len(rows):
                 break
-            scores += queries[rows].astype(float) @ postings
-            slack = norms[rows][:, None] * left
+            scores += queries[rows].astype(kind) @ postings.astype(kind)
+            slack = (norms[rows][:, None] * left * 1.00001).astype(kind)
             lower = scores - slack if number + 1 < len(self.segments) else scores
             if n > k:
                 best = np.partition(lower, n - k, axis=1)[:, n - k]
             else:
                 best = np.full(len(rows), -np.inf)
             proved = np.maximum(best, floor[rows])
-            possible = (scores + slack >= proved[:, None] - 1e-6) & (scores > -np.inf)
+            # Scores are whole: half a unit is room for rounding and loses no proof.
+            possible = (scores + slack >= proved[:, None] - 0.5) & (scores > -np.inf)
             settled = possible.sum(1) <= max(k, n * _FEW)
             if number + 1 == len(self.segments):
                 settled[:] = True
@@ -121,23 +135,39 @@ class ImpactIndex:
         return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def numbered(blocks):
+    """The blocks, kept in the shared folder, with a dense `number`, and how many there are."""
+    blocks = checkpointed(blocks)
+    # One narrow row per block goes through the window.
+    order = F.row_number().over(Window.orderBy("block")) - 1
+    numbers = blocks.select("block").withColumn("number", order)
+    return blocks.join(numbers, "block"), blocks.count()
+
+
 def search(queries, candidates, k=K):
-    """(query_id, rank, vec_id, score): the k best of the candidates (vec_id, v) for each query."""
-    cells = (packed_blocks(queries, QUERY_BLOCK)
-             .select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"),
-                     F.col("data").alias("q_data"), F.col("n").alias("q_n")))
-    blocks = packed_blocks(candidates, BLOCK)
-    # A grid of blocks: every block of queries meets every block of vectors once.
-    numbers = cells.select("q_block").distinct().groupBy().agg(F.collect_list("q_block").alias("all"))
-    grid = (blocks.join(F.broadcast(numbers)).select("*", F.explode("all").alias("q_block"))
-            .drop("all").join(cells, "q_block"))
+    """(query_id, rank, vec_id, score): the k best of the candidates (vec_id, v) for each query.
+
+    Blocks of queries and slices of SLICE candidate blocks form a grid; every cell is a task of its
+    own. A query block is copied once per slice, a candidate block once per query block.
+    """
+    cells, n_cells = numbered(packed_blocks(queries, QUERY_BLOCK))
+    blocks, n_blocks = numbered(packed_blocks(candidates, BLOCK))
+    slices = max(1, -(-n_blocks // SLICE))
+    cells = cells.select(
+        F.col("number").alias("q_block"), F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"),
+        F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.col("n").alias("q_n"),
+        F.col("width").alias("q_width"))
+    grid = (blocks.select(
+        "ids", "data", "n", "width", (F.col("number") % slices).alias("slice"),
+        F.explode(F.sequence(F.lit(0), F.lit(max(n_cells, 1) - 1))).alias("q_block"))
+        .join(cells, ["q_block", "slice"]))
 
     def run(batches):
         floors = {}  # per block of queries: what k vectors seen by this task reach
         for batch in batches:
             for row in batch.to_pylist():
-                q_ids, q = unpacked(row["q_ids"], row["q_data"], row["q_n"])
-                ids, data = unpacked(row["ids"], row["data"], row["n"])
+                q_ids, q = unpacked(row["q_ids"], row["q_data"], row["q_n"], row["q_width"])
+                ids, data = unpacked(row["ids"], row["data"], row["n"], row["width"])
                 width = max(q.shape[1], data.shape[1])
                 q, data = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (q, data))
                 floor = floors.setdefault(row["q_block"], np.full(len(q), -np.inf))

@@ -3,10 +3,11 @@
 Two bigram models, one of toxic and one of ordinary documents, are counted over every labelled
 document that may be learned from. Both are smoothed the Kneser-Ney way: a seen pair is discounted,
 what is freed goes to the class's continuation counts (in how many contexts a word was seen), and
-those are discounted again in favour of continuation counts shared by both classes. So an
-expression that is rare in both has the same probability in both. A document is compared by its
-length-normalised log-likelihoods, as a whole and by its most toxic window; a logistic curve fitted
-on a bounded sample of labelled documents that were not counted makes a probability of that.
+those are discounted again in favour of continuation counts shared by both classes. An expression
+seen fewer than RARE times is discounted wholly, so rare words and pairs have the shared probability
+in both classes. A document is compared by its length-normalised log-likelihoods, as a whole and by
+its most toxic windows; a logistic curve fitted on a bounded sample of labelled documents that were
+not counted makes a probability of that.
 
 Counting is distributed and covers everything; what reaches the driver and the tasks is bounded: the
 `max_words` most frequent words (others are one unknown word) and the `max_pairs` most frequent pairs
@@ -30,7 +31,12 @@ from .common import blocks, id_and_text
 THRESHOLD = 0.7
 MAX_WORDS = 1 << 17
 MAX_PAIRS = 1 << 20
-WINDOW = 32
+#: Expressions seen less often than this, over both classes, share one probability.
+RARE = 6
+#: Words in the windows that are compared by themselves.
+WINDOWS = (8, 32, 128)
+#: Log-likelihood ratio from which a word is salient: twenty times as likely in toxic documents.
+SALIENT = 3.0
 #: Labelled documents for the curve; one in CURVE_SHARE is kept out of the counts for it.
 CURVE_SAMPLE, CURVE_SHARE = 6000, 5
 MEMORY_WORDS = 400_000
@@ -48,7 +54,8 @@ def word_hashes(text):
         try:
             hashes = [_memory[w] for w in words]
         except KeyError:
-            _memory.update((w, xxhash.xxh32_intdigest(w) or 1) for w in set(words) - _memory.keys())
+            new = [w for w in set(words) if w not in _memory]
+            _memory.update((w, xxhash.xxh32_intdigest(w) or 1) for w in new)
             hashes = [_memory[w] for w in words]
         out.append(np.array(hashes, np.uint32))
     return np.concatenate(out)
@@ -83,22 +90,23 @@ def _totals(tokens, keys_of):
             .groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
 
 
-def _frequent(totals, most):
-    """The rows with the highest counts, at most `most`, as pandas; all rows of a count or none."""
+def cutoff(totals, most, least=1):
+    """The smallest count, from `least` up, that at most `most` of the totals reach.
+
+    Totals of one count stay or go together.
+    """
     count = F.col("toxic") + F.col("ordinary")
     # Counts up to 1,000 one by one, larger ones by powers of two: a short histogram.
     level = F.when(count <= 1000, count).otherwise(
-        F.pow(F.lit(2.0), F.floor(F.log2(count))).cast("long"))
-    found = totals.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()
-    least, held = None, 0
-    for row in found:
+        F.pow(F.lit(2.0), F.ceil(F.log2(count))).cast("long"))
+    found = (totals.where(count >= least).groupBy(level.alias("level")).count()
+             .orderBy(F.desc("level")).collect())
+    held = 0
+    for row, below in zip(found, [*(r["level"] for r in found[1:]), least - 1]):
         held += row["count"]
         if held > most:
-            break
-        least = row["level"]
-    if least is None:
-        return totals.limit(0).toPandas()
-    return totals.where(count >= least).toPandas().sort_values("key", ignore_index=True)
+            return row["level"] + 1
+    return least
 
 
 def word_index(vocabulary, words):
@@ -120,7 +128,7 @@ class ClassModels:
     """The two smoothed models as arrays, and the curve."""
 
     def __init__(self, vocabulary, pairs, contexts, continuations, discounts, share):
-        """pairs: key, toxic, ordinary. contexts and continuations: totals by word index, see fit()."""
+        """pairs: the totals that are not rare. contexts and continuations: by word, see fit()."""
         size = len(vocabulary) + 1
         self.vocabulary, self.share, self.curve = vocabulary, share, None
 
@@ -130,49 +138,54 @@ class ClassModels:
             return out
 
         kinds = by_word(continuations, "any")
-        total, free = max(kinds.sum(), 1), (kinds > 0).sum()
-        shared = np.maximum(kinds - 0.75, 0) / total + (0.75 * free / total + (total == 1)) / size
+        common = by_word(continuations, "toxic") + by_word(continuations, "ordinary") >= RARE
+        total, free = max(kinds.sum(), 1), np.minimum(kinds, 0.75).sum()
+        shared = (np.maximum(kinds - 0.75, 0) + (free if free else total) / size) / total
         self.keys = pairs["key"].to_numpy()
         word, before = self.keys % size, self.keys // size
-        self.log_unseen, self.log_lambda, self.seen = [], [], []
+        own, freed, seen = [], [], []
         for c in ("toxic", "ordinary"):
             d = discounts[c]
-            contexts_of = by_word(continuations, c)
-            total = max(contexts_of.sum(), 1)
-            own = (np.maximum(contexts_of - d, 0)
-                   + (d * (contexts_of > 0).sum() if contexts_of.any() else total) * shared) / total
-            tokens, followers = by_word(contexts, c), by_word(contexts, f"{c}_kinds")
-            freed = np.where(tokens > 0, d * followers / np.maximum(tokens, 1), 1.0)
-            count = pairs[c].to_numpy()
-            seen = (np.maximum(count - d, 0) / np.maximum(tokens[before], 1)
-                    + freed[before] * own[word])
-            self.log_unseen.append(np.log(own))
-            self.log_lambda.append(np.log(freed))
-            self.seen.append(np.log(seen))
-        self.log_own_ratio = (self.log_unseen[0] - self.log_unseen[1]).astype(np.float32)
-        self.log_lambda_ratio = (self.log_lambda[0] - self.log_lambda[1]).astype(np.float32)
-        self.log_seen_ratio = (self.seen[0] - self.seen[1]).astype(np.float32)
-        del self.log_unseen, self.log_lambda, self.seen
+            kinds = by_word(continuations, c)
+            kept = np.where(common, np.maximum(kinds - d, 0), 0)
+            total = max(kinds.sum(), 1)
+            own.append((kept + (total - kept.sum()) * shared) / total)
+            tokens = by_word(contexts, c)
+            freed.append(np.where(tokens > 0, by_word(contexts, f"{c}_freed") / np.maximum(tokens, 1), 1.0))
+            kept = np.maximum(pairs[c].to_numpy() - d, 0) / np.maximum(tokens[before], 1)
+            seen.append(kept + freed[-1][before] * own[-1][word])
+        ratio = [np.log(t / o).astype(np.float32) for t, o in (own, freed, seen)]
+        self.own_ratio, self.freed_ratio, self.seen_ratio = ratio
 
     def features(self, words):
-        """Log-likelihood ratio per word: of the pairs, of the words alone, and of the best window."""
+        """Log-likelihood ratios per word: of the pairs, of the words alone, of the best windows.
+
+        In windows a word counts where it comes first in the text, so that repeating a word is no
+        evidence; the last two features are the salient words, their number and their share.
+        """
         n = len(words)
         if not n:
-            return np.zeros(4)
+            return np.zeros(4 + len(WINDOWS))
         index = word_index(self.vocabulary, words)
         before = np.append(0, index[:-1])
-        single = self.log_own_ratio[index].astype(np.float64)
-        ratio = self.log_lambda_ratio[before] + single
+        single = self.own_ratio[index].astype(np.float64)
+        ratio = self.freed_ratio[before] + single
         if len(self.keys):
             key = before * (len(self.vocabulary) + 1) + index
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            ratio = np.where(self.keys[at] == key, self.log_seen_ratio[at], ratio)
-        # Windows overlap by half; a short text is one window that counts in proportion.
-        sums = np.append(0.0, np.cumsum(single))
-        starts = np.arange(0, max(n - WINDOW // 2, 1), WINDOW // 2)
-        ends = np.minimum(starts + WINDOW, n)
-        best = ((sums[ends] - sums[starts]) / WINDOW).max()
-        return np.array([ratio.mean(), single.mean(), best, np.log1p(n) * best])
+            ratio = np.where(self.keys[at] == key, self.seen_ratio[at], ratio)
+        first = np.zeros(n)
+        at = np.unique(index, return_index=True)[1]
+        first[at] = single[at]
+        salient = (first > SALIENT).sum()
+        sums = np.append(0.0, np.cumsum(first))
+        best = []
+        for window in WINDOWS:
+            # Windows overlap by half; a shorter text is one window that counts in proportion.
+            starts = np.arange(0, max(n - window // 2, 1), max(window // 2, 1))
+            ends = np.minimum(starts + window, n)
+            best.append(((sums[ends] - sums[starts]) / window).max())
+        return np.array([ratio.mean(), single.mean(), *best, np.log1p(salient), salient / n])
 
     def fit_curve(self, rows, labels):
         """Logistic regression of the labels on the features, by Newton's method."""
@@ -221,24 +234,29 @@ def fit(docs, labels, learnable=None, max_words=MAX_WORDS, max_pairs=MAX_PAIRS,
     tokens = checkpointed(labelled_words(docs, labels, learnable, id_col, text_col))
     for_curve = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(CURVE_SHARE)) == 0
     counting = tokens.where(~for_curve)
-    vocabulary = _frequent(_totals(counting, lambda w: w.astype(np.int64)), max_words)["key"]
-    vocabulary = vocabulary.to_numpy().astype(np.uint32)
+    words = checkpointed(_totals(counting, lambda w: w.astype(np.int64)))
+    count = F.col("toxic") + F.col("ordinary")
+    vocabulary = words.where(count >= cutoff(words, max_words)).select("key").toPandas()["key"]
+    vocabulary = np.sort(vocabulary.to_numpy()).astype(np.uint32)
     size = len(vocabulary) + 1
 
     pairs = checkpointed(_totals(counting, lambda w: pair_keys(vocabulary, w)))
     both = ("toxic", "ordinary")
-    kinds = [F.sum((F.col(c) > 0).cast("long")) for c in both]
-    contexts = pairs.groupBy(F.expr(f"key div {size}").alias("word")).agg(
-        *(F.sum(c).alias(c) for c in both), *(k.alias(f"{c}_kinds") for k, c in zip(kinds, both)))
-    continuations = pairs.groupBy((F.col("key") % size).alias("word")).agg(
-        *(k.alias(c) for k, c in zip(kinds, both)), F.count(F.lit(1)).alias("any"))
     once = pairs.agg(*(F.sum((F.col(c) == n).cast("long")).alias(f"{c}{n}")
                        for c in both for n in (1, 2))).first()
     discounts = {c: (once[f"{c}1"] or 1) / ((once[f"{c}1"] or 1) + 2 * (once[f"{c}2"] or 0.25))
                  for c in both}
+    common = count >= cutoff(pairs, max_pairs, RARE)
+    freed = [F.sum(F.when(common, F.least(F.col(c).cast("double"), F.lit(discounts[c])))
+                   .otherwise(F.col(c))).alias(f"{c}_freed") for c in both]
+    contexts = pairs.groupBy(F.expr(f"key div {size}").alias("word")).agg(
+        *(F.sum(c).alias(c) for c in both), *freed)
+    continuations = pairs.groupBy((F.col("key") % size).alias("word")).agg(
+        *(F.sum((F.col(c) > 0).cast("long")).alias(c) for c in both), F.count(F.lit(1)).alias("any"))
     share = tokens.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
-    models = ClassModels(vocabulary, _frequent(pairs, max_pairs), contexts.toPandas(),
-                         continuations.toPandas(), discounts, share or 0.0)
+    models = ClassModels(
+        vocabulary, pairs.where(common).toPandas().sort_values("key", ignore_index=True),
+        contexts.toPandas(), continuations.toPandas(), discounts, share or 0.0)
     sample = (tokens.where(for_curve).orderBy(F.xxhash64(F.lit(13), "doc_id"), "doc_id", "words")
               .limit(CURVE_SAMPLE))
     # The features are made in the tasks; at most CURVE_SAMPLE short rows come back.
