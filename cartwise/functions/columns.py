@@ -38,20 +38,19 @@ def month_start(ts):
     return F.trunc(F.to_date(ts), "month")
 
 
-def settled(total):
-    """A sum of amounts without the last digits, which depend on the order of summation;
-    an exact half is then rounded the same way in every run."""
-    return col(total).cast("decimal(38,4)")
+def exact_sum(amount):
+    """Sum of amounts as decimals of six digits: exact, so independent of the order."""
+    return F.sum(col(amount).try_cast("decimal(28,6)"))
 
 
 def round_half_up(total, digits=0):
-    """SQL rounding of a sum of amounts: half away from zero."""
-    return F.round(settled(total), digits).cast("double")
+    """SQL rounding of an exact sum: half away from zero."""
+    return F.round(total, digits).cast("double")
 
 
 def round_total_half_even(total, digits=0):
-    """A sum of amounts, half to even."""
-    return F.bround(settled(total), digits).cast("double")
+    """An exact sum, half to even."""
+    return F.bround(total, digits).cast("double")
 
 
 def round_half_even(value, digits=0):

@@ -1,26 +1,32 @@
 """Exploratory sales questions over the clean purchases."""
 from pyspark.sql import Window, functions as F
 
-from ..functions.columns import month_start, round_half_up
+from ..functions.columns import exact_sum, month_start, round_half_up
 
 
-def monthly_revenue(clean):
-    return (
-        clean.groupBy(month_start("invoice_date").alias("month"))
-        .agg(
-            round_half_up(F.sum("line_total")).alias("revenue"),
-            F.count_distinct("customer_id").alias("active_customers"),
-            F.count_distinct("invoice").alias("orders"),
-        )
-        .orderBy("month")
+def monthly_revenue(clean, digits=0):
+    """Revenue, active customers and orders per month; digits=None leaves the exact revenue.
+
+    Lines are first added up per (month, customer, invoice), so the distinct counts run over
+    orders and no line is multiplied for them.
+    """
+    orders = clean.groupBy(month_start("invoice_date").alias("month"), "customer_id", "invoice").agg(
+        exact_sum("line_total").alias("order_total"))
+    months = orders.groupBy("month").agg(
+        F.sum("order_total").alias("revenue"),
+        F.count_distinct("customer_id").alias("active_customers"),
+        F.count_distinct("invoice").alias("orders"),
     )
+    if digits is not None:
+        months = months.withColumn("revenue", round_half_up("revenue", digits))
+    return months.orderBy("month")
 
 
 def revenue_by_country(clean):
-    return clean.groupBy("country").agg(
-        F.count_distinct("customer_id").alias("customers"),
-        F.sum("line_total").alias("revenue"),
-    )
+    """Customers and exact revenue per country, added up per customer first."""
+    customers = clean.groupBy("country", "customer_id").agg(exact_sum("line_total").alias("spend"))
+    return customers.groupBy("country").agg(
+        F.count("customer_id").alias("customers"), F.sum("spend").alias("revenue"))
 
 
 def top_countries(clean, n=10):
@@ -42,6 +48,7 @@ def country_revenue_share(clean, n=10):
     everywhere = Window.partitionBy()
     return (
         revenue_by_country(clean)
+        .withColumn("revenue", F.col("revenue").cast("double"))
         .withColumn("revenue_share", F.try_divide("revenue", F.sum("revenue").over(everywhere)))
         .orderBy(F.desc("revenue"), "country")
         .limit(n)

@@ -15,6 +15,9 @@ from .logistic import FrozenLogistic
 from .ranking import shuffled_place
 
 FOLDS = 5
+MAX_CLASSES = 1000
+#: Rows of the training data in one partition; a fit starts a task for each in every step.
+ROWS_PER_PARTITION = 250_000
 LOG_STATEMENT = "SELECT *, {} FROM __THIS__".format(
     ", ".join(f"log1p({name}) AS log_{name}" for name in FEATURE_COLUMNS))
 
@@ -28,12 +31,12 @@ def split_sizes(df, label="churned", test_share=0.2):
     whole = Window.partitionBy()
     classes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).withColumn(
         "total", F.sum("n").over(whole))
-    train = F.col("total") - F.ceil(F.col("total") * F.lit(test_share))
+    train = (F.col("total") - F.ceil(F.col("total") * F.lit(test_share))).cast("decimal(19,0)")
     shared = classes.withColumn("train", train).withColumns({
-        "floor": F.expr("train * n DIV total"),
+        "floor": F.expr("cast(train * n DIV total AS bigint)"),
         "remainder": F.expr("train * n % total"),
     })
-    extra = F.col("train") - F.sum("floor").over(whole)
+    extra = F.col("train").cast("long") - F.sum("floor").over(whole)
     place = F.row_number().over(Window.partitionBy().orderBy(F.desc("remainder"), label))
     return shared.select(
         label, (F.col("n") - F.col("floor") - F.when(place <= extra, 1).otherwise(0)).alias("test_size"))
@@ -41,7 +44,12 @@ def split_sizes(df, label="churned", test_share=0.2):
 
 def stratified_split(df, label="churned", test_share=0.2, seed=42, id_column="customer_id"):
     """(train, test) with the same share of every class in both, and exact sizes."""
-    placed = shuffled_place(df, label, id_column, seed).join(split_sizes(df, label, test_share), label)
+    # One row per class; the limit turns a column that is no class label into an error.
+    sizes = split_sizes(df, label, test_share)
+    sizes = sizes.withColumn("test_size", F.when(
+        F.count(F.lit(1)).over(Window.partitionBy()) <= MAX_CLASSES, F.col("test_size")
+    ).otherwise(F.raise_error(F.lit(f"{label} has more than {MAX_CLASSES} values")).cast("long")))
+    placed = shuffled_place(df, label, id_column, seed).join(F.broadcast(sizes), label)
     in_test = F.col("place") <= F.col("test_size")
     return (placed.where(~in_test).select(df.columns), placed.where(in_test).select(df.columns))
 
@@ -74,12 +82,14 @@ def logistic_regression(rows, c=1.0, max_iter=1000):
     ])
 
 
-def boosted_trees(rounds=300, depth=3, step=0.05, row_share=0.8, column_share=0.8, seed=42):
+def boosted_trees(rounds=300, depth=3, step=0.05, row_share=0.8, column_share=0.8, seed=42,
+                  checkpoint_interval=50):
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol="features"),
         GBTClassifier(labelCol="churned", featuresCol="features", maxIter=rounds, maxDepth=depth,
                       stepSize=step, subsamplingRate=row_share,
-                      featureSubsetStrategy=str(column_share), seed=seed),
+                      featureSubsetStrategy=str(column_share), seed=seed,
+                      checkpointInterval=checkpoint_interval),
     ])
 
 
@@ -148,6 +158,7 @@ def train_and_select(labelled, models=None, folds=FOLDS, seed=42):
     train, test = stratified_split(data, seed=seed)
     train, test = checkpointed(with_folds(train, folds=folds, seed=seed)), checkpointed(test)
     rows = train.count()
+    train, test = sized(train, rows).persist(), sized(test, rows)
 
     def named(scored, name):
         return scored.withColumn("model", F.lit(name))
@@ -159,9 +170,15 @@ def train_and_select(labelled, models=None, folds=FOLDS, seed=42):
         named(out_of_fold(estimator_for, train, folds), name)
         for name, estimator_for in models.items()])
     wide = metrics.compare_models(checkpointed(tested), checkpointed(validated), list(models))
+    train.unpersist()
     return Training(fitted, wide, test)
 
 
+def sized(df, rows):
+    """As many partitions as the rows need: hundreds of steps each start a task per partition."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_PARTITION)))
+
+
 def parameters(model):
     """Parameters of the last stage of a fitted model, as text."""
     stage = model.stages[-1]

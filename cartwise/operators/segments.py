@@ -4,7 +4,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Window, functions as F
 
-from ..functions.columns import ratio, round_half_even, round_total_half_even, sum_of
+from ..functions.columns import exact_sum, ratio, round_half_even, round_total_half_even, sum_of
 from ..schemas import RFM_COLUMNS, SEGMENTS
 from ..staging import checkpointed, run_together
 
@@ -119,8 +119,9 @@ def cluster_profile(clustered):
 def name_segments(profile):
     """Names of exactly four clusters: (cluster, segment).
 
-    The two clusters that bought most recently are active; in each half, the one that
-    spends more gets the better name. The windows run over the four profile rows.
+    Two clusters count as active, those with the fewest days since the last purchase. Within
+    the active and within the other two, the average spend decides which name comes first.
+    The windows run over the four profile rows.
     """
     by_recency = Window.partitionBy().orderBy("recency_days", "cluster")
     by_spend = Window.partitionBy("active").orderBy(F.desc("monetary"), "cluster")
@@ -150,7 +151,12 @@ def assign_segments(clustered):
 
 def segment_customers(clean, k=4, n_init=10, seed=42):
     """RFM, scaling, clustering and naming in one call."""
-    customers = checkpointed(scale_features(rfm(clean)))
+    return segment_rfm(rfm(clean), k, n_init, seed)
+
+
+def segment_rfm(customers, k=4, n_init=10, seed=42):
+    """Scaling, clustering and naming of a table of RFM values."""
+    customers = checkpointed(scale_features(customers))
     model = fit_segments(customers, k, n_init, seed)
     return assign_segments(model.transform(_vectors(customers)).drop("vector"))
 
@@ -163,7 +169,7 @@ def segment_summary(segments):
     summary = segments.where(F.col("segment").isNotNull()).groupBy("segment").agg(
         F.count("customer_id").alias("customers"),
         *[round_half_even(F.avg(c), 1).alias(f"avg_{c}") for c in RFM_COLUMNS],
-        round_total_half_even(F.sum("monetary"), 1).alias("total_revenue"),
+        round_total_half_even(exact_sum("monetary"), 1).alias("total_revenue"),
     )
     total = F.sum("total_revenue").over(Window.partitionBy())
     return summary.withColumn(

@@ -8,18 +8,27 @@ from ..sources import files
 def load(spark, csv_paths, table="raw_transactions"):
     """Merge and dedupe source files into the base table and create the cleaned views.
 
-    Lines that do not fit the source schema are published as rejected_lines.
+    Lines that do not fit the source schema, or whose customer id has a fraction, are
+    published as rejected_lines, the numbers of rows before and after merging as load_report.
     """
-    parts, rejected = files.read_parts(spark, csv_paths)
+    parts, rejected = files.read_parts(spark, csv_paths, whole_columns=files.ID_COLUMNS)
     files.publish(rejected, "rejected_lines")
-    files.create_base_table(files.to_raw_transactions(files.merge_parts(parts)), table)
+    merged, removed = files.merge_parts_counted(parts)
+    files.create_base_table(files.to_raw_transactions(merged), table)
+    rows = files.row_count(spark.table(table)).first()["rows"]
+    report = spark.createDataFrame([(rows + removed(), rows, removed())],
+                                   "rows_before long, rows_after long, rows_removed long")
+    files.publish(report, "load_report")
     cleaning.create_views(spark.table(table))
     return files.row_count(spark.table("clean_transactions"))
 
 
-def segment(spark, table="raw_transactions"):
-    files.publish(segments.segment_customers(cleaning.clean_transactions(spark.table(table))),
-                  "customer_segments")
+def segment(spark, table="raw_transactions", ks=range(2, 9)):
+    """Publish the customers with their segments, and the sweep over numbers of segments."""
+    customers = segments.rfm(cleaning.clean_transactions(spark.table(table)))
+    files.publish(segments.segment_rfm(customers), "customer_segments")
+    published = spark.table("customer_segments").drop("segment")
+    files.publish(segments.choose_k(segments.scale_features(published), ks), "segment_sweep")
     return segments.segment_summary(spark.table("customer_segments"))
 
 
@@ -28,6 +37,9 @@ def train(spark, model_path, table="raw_transactions", home_country=HOME_COUNTRY
     raw = spark.table(table)
     cutoff = features.training_cutoff(cleaning.clean_transactions(raw), raw=raw)
     labelled = features.training_set(features.activity(raw), cutoff, home_country)
+    files.publish(labelled, "training_set")
+    labelled = spark.table("training_set")
+    files.publish(features.churn_rate(labelled), "training_population")
     training = modeling.train_and_select(labelled, models)
     modeling.save_model(training.best, model_path)
     files.publish(training.test, "test_set")
@@ -54,10 +66,14 @@ def explain_model(spark, model_path):
 
 
 def score(spark, model_path, table="raw_transactions", home_country=HOME_COUNTRY):
+    segmented = spark.table("customer_segments")
+    repeated = segments.duplicated_customers(segmented).limit(5).collect()
+    if repeated:
+        raise ValueError(f"customer_segments has several rows for {[r.customer_id for r in repeated]}")
     raw = spark.table(table)
     today = features.data_end(cleaning.clean_transactions(raw), raw)
     scores = scoring.score_customers(
         features.activity(raw), today, modeling.load_model(model_path),
-        spark.table("customer_segments"), home_country)
+        segmented, home_country)
     files.publish(scores, "customer_scores")
     return scoring.segment_risk_matrix(spark.table("customer_scores"))

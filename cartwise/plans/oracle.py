@@ -257,6 +257,11 @@ _FEATURES_OUT = """customer_id, recency_days, frequency, round(monetary, 2) AS m
   round(avg_order_value, 6) AS avg_order_value, tenure_days, distinct_products, orders_last_90d,
   round(cancel_rate, 6) AS cancel_rate, is_uk"""
 
+_DIGITS = {"monetary": 2, "avg_order_value": 6, "cancel_rate": 6}
+_DOUBLES_OUT = "customer_id, " + ", ".join(
+    f"round(CAST({c} AS DOUBLE), {_DIGITS[c]}) AS {c}" if c in _DIGITS else f"CAST({c} AS DOUBLE) AS {c}"
+    for c in FEATURE_COLUMNS)
+
 BASE = [RAW, CLEAN, CANCELLED]
 AT_CUTOFF = [*BASE, DATES, features_ctes("cutoff")]
 AT_END = [*BASE, DATES, features_ctes("data_end")]
@@ -308,7 +313,7 @@ def _tenths(value):
 
     round_even works on the binary value, where 0.55 need not be a half.
     """
-    x = f"CAST({value} AS DECIMAL(38,4)) * 10"
+    x = f"{value} * 10"
     return (f"CAST(CASE WHEN {x} - floor({x}) = 0.5 THEN (CAST(floor({x}) AS BIGINT) + 1) // 2 * 2 "
             f"ELSE CAST(round({x}, 0) AS BIGINT) END AS DOUBLE) / 10")
 
@@ -327,6 +332,14 @@ ORACLE = {name: _query(ctes, body) for name, (ctes, body) in {
     "clean_transactions": (BASE, "SELECT * FROM clean_transactions"),
     "cancellations": (BASE, "SELECT * FROM cancellations"),
     "read_transactions_csv": ([RAW], "SELECT * FROM raw_transactions"),
+    "read_parts": ([RAW, PARTS], "SELECT DISTINCT * FROM parts"),
+    "base_table": ([RAW], "SELECT * FROM raw_transactions"),
+    "append_base_table": ([RAW, PARTS], "SELECT * FROM parts"),
+    "published_table": (TRAINING, f"SELECT {_FEATURES_OUT}, churned FROM training_set"),
+    "read_features": (AT_END, f"SELECT {_DOUBLES_OUT} FROM features"),
+    "sql_views": (BASE, """SELECT country, count(*) AS lines, count(DISTINCT customer_id) AS customers
+      FROM clean_transactions WHERE customer_id IN (SELECT customer_id FROM cancellations)
+      GROUP BY country"""),
     "merge_parts": ([RAW, PARTS], "SELECT DISTINCT * FROM parts"),
     "duplicates_removed": ([RAW, PARTS], """SELECT (SELECT count(*) FROM parts) AS rows_before,
       (SELECT count(*) FROM (SELECT DISTINCT * FROM parts)) AS rows_after,
@@ -342,11 +355,16 @@ ORACLE = {name: _query(ctes, body) for name, (ctes, body) in {
       FILTER (WHERE invoice LIKE 'C%') / count(DISTINCT invoice), 2) AS pct_cancelled_invoices
       FROM raw_transactions"""),
     "monthly_revenue": (BASE, """SELECT CAST(date_trunc('month', invoice_date) AS DATE) AS month,
-      CAST(round(CAST(sum(line_total) AS DECIMAL(38,4)), 0) AS DOUBLE) AS revenue,
+      CAST(round(sum(CAST(line_total AS DECIMAL(28,6))), 0) AS DOUBLE) AS revenue,
       count(DISTINCT customer_id) AS active_customers, count(DISTINCT invoice) AS orders
       FROM clean_transactions GROUP BY 1 ORDER BY 1"""),
+    "monthly_revenue_exact": (BASE, """SELECT CAST(date_trunc('month', invoice_date) AS DATE) AS month,
+      CAST(sum(CAST(line_total AS DECIMAL(28,6))) AS DOUBLE) AS revenue,
+      count(DISTINCT customer_id) AS active_customers, count(DISTINCT invoice) AS orders
+      FROM clean_transactions GROUP BY 1"""),
+    "no_leakage": (AT_CUTOFF, f"SELECT {_FEATURES_OUT} FROM features WHERE false"),
     "top_countries": (BASE, """SELECT country, count(DISTINCT customer_id) AS customers,
-      CAST(round(CAST(sum(line_total) AS DECIMAL(38,4)), 0) AS DOUBLE) AS revenue
+      CAST(round(sum(CAST(line_total AS DECIMAL(28,6))), 0) AS DOUBLE) AS revenue
       FROM clean_transactions GROUP BY country ORDER BY revenue DESC, country LIMIT 10"""),
     "country_revenue_share": (BASE, """SELECT country, count(DISTINCT customer_id) AS customers,
       round(sum(line_total), 2) AS revenue,
@@ -391,15 +409,17 @@ ORACLE = {name: _query(ctes, body) for name, (ctes, body) in {
                    round_even(avg(recency_days), 1) AS avg_recency_days,
                    round_even(avg(frequency), 1) AS avg_frequency,
                    round_even(avg(monetary), 1) AS avg_monetary,
-                   {_tenths('sum(monetary)')} AS total_revenue
+                   {_tenths('sum(CAST(monetary AS DECIMAL(28,6)))')} AS total_revenue
             FROM customer_segments GROUP BY segment) ORDER BY avg_monetary DESC"""),
     "segment_shares": (SEGMENTED, """SELECT segment, customers, round(revenue, 2) AS revenue,
       round(customers / CAST(sum(customers) OVER () AS DOUBLE), 6) AS customer_share,
       round(revenue / sum(revenue) OVER (), 6) AS revenue_share
       FROM (SELECT segment, count(*) AS customers, sum(monetary) AS revenue
             FROM customer_segments GROUP BY segment)"""),
-    "duplicated_customers": ([RAW], """SELECT customer_id, count(*) AS count FROM raw_transactions
+    "duplicated_customers": (SEGMENTED, """SELECT customer_id, count(*) AS count FROM customer_segments
       GROUP BY customer_id HAVING count(*) > 1"""),
+    "repeated_customers": (SEGMENTED, """SELECT customer_id, CAST(2 AS BIGINT) AS count
+      FROM customer_segments WHERE segment = 'Champions'"""),
     "stratified_split": ([*TRAINING, SPLIT], """SELECT customer_id, churned FROM placed
       WHERE place <= test_size"""),
     "split_sizes": ([*TRAINING, SPLIT], """SELECT CASE WHEN place <= test_size THEN 'test' ELSE 'train' END AS part,
@@ -422,7 +442,8 @@ ORACLE = {name: _query(ctes, body) for name, (ctes, body) in {
     "linear_attribution": ([*AT_END, ATTRIBUTION], f"SELECT {_PHI_OUT} FROM attribution"),
     "feature_importance": ([*AT_END, ATTRIBUTION], f"""SELECT feature, round(m, 6) AS mean_abs_shap,
       {case('feature', FEATURE_LABELS)} AS feature_label FROM ({_IMPORTANCE})"""),
-    "riskiest_customer": (CURRENT_SCORES, """SELECT customer_id, risk_level, segment FROM customer_scores
+    "riskiest_customer": (CURRENT_SCORES, """SELECT customer_id, round(churn_probability, 6) AS churn_probability,
+      risk_level, segment FROM customer_scores
       ORDER BY churn_probability DESC, customer_id LIMIT 1"""),
     "riskiest_explained": ([*CURRENT_SCORES, ATTRIBUTION], """SELECT t.customer_id,
       round(t.churn_probability, 6) AS churn_probability, feature, round(value, 6) AS value, round(phi, 6) AS phi
@@ -436,7 +457,7 @@ ORACLE = {name: _query(ctes, body) for name, (ctes, body) in {
       count(*) FILTER (WHERE risk_level = 'Medium') AS "Medium",
       count(*) FILTER (WHERE risk_level = 'Low') AS "Low"
       FROM customer_scores WHERE segment IS NOT NULL GROUP BY segment"""),
-    "validated_features": ([*AT_END, REQUESTS], "SELECT customer_id FROM valid"),
+    "validated_features": ([*AT_END, REQUESTS], f"SELECT {_DOUBLES_OUT} FROM valid"),
     "rejected_features": ([*AT_END, REQUESTS], """SELECT customer_id, concat_ws(',',
       CASE WHEN recency_days < 0 THEN 'recency_days' END, CASE WHEN frequency IS NULL THEN 'frequency' END)
       AS violations FROM requests WHERE recency_days < 0 OR frequency IS NULL"""),

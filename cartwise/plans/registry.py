@@ -3,6 +3,7 @@
 Each one starts from the whole tables. Sums of doubles are rounded here, and only here,
 because their last digits depend on the order of summation.
 """
+import uuid
 from functools import cached_property
 
 from pyspark.sql import functions as F
@@ -18,8 +19,6 @@ from . import frozen
 
 HOME = retail_view.HOME_COUNTRY
 OVERLAP_START, OVERLAP_END = "1998-01-01", "1998-01-10"
-# Rounds of boosting in the registered training queries; the library default is 300.
-QUERY_ROUNDS = 20
 
 
 class Retail:
@@ -128,7 +127,7 @@ class Retail:
 
     @cached_property
     def trained(self):
-        return modeling.train_and_select(self.training, modeling.make_models(QUERY_ROUNDS))
+        return modeling.train_and_select(self.training)
 
 
 def rounded(df, digits=2, *columns):
@@ -169,6 +168,60 @@ def read_transactions_csv(r):
     return files.read_transactions_csv(r.spark, folder)[0]
 
 
+def read_parts(r):
+    """Both slices as source files whose columns come in different orders, read and merged."""
+    folders = []
+    for part in r.parts:
+        folder = new_folder(r.spark, "part")
+        source = part.withColumn("invoice_date", F.date_format("invoice_date", "yyyy-MM-dd HH:mm:ss"))
+        names = {new: old for old, new in COLUMN_NAMES.items()}
+        columns = source.columns if not folders else source.columns[::-1]
+        files.write_files(source.select(columns).withColumnsRenamed(names), folder, "csv")
+        folders.append(folder)
+    parts, _ = files.read_parts(r.spark, folders, whole_columns=files.ID_COLUMNS)
+    return files.to_raw_transactions(files.merge_parts(parts))
+
+
+def _table_name(kind):
+    return f"{kind}_{uuid.uuid4().hex}"
+
+
+def base_table(r):
+    name = _table_name("base")
+    files.create_base_table(r.raw, name)
+    return files.read_table(r.spark, name)
+
+
+def append_base_table(r):
+    name, (first, second) = _table_name("base"), r.parts
+    files.create_base_table(first, name)
+    files.append_to_base_table(second, name)
+    return files.read_table(r.spark, name)
+
+
+def published_table(r):
+    name = _table_name("published")
+    files.publish(r.rfm, name)
+    files.publish(_features_rounded(r.training), name)
+    return files.read_table(r.spark, name)
+
+
+def sql_views(r):
+    """A question in SQL over both views."""
+    cleaning.create_views(r.raw)
+    return r.spark.sql("""SELECT country, count(*) AS lines, count(DISTINCT customer_id) AS customers
+        FROM clean_transactions WHERE customer_id IN (SELECT customer_id FROM cancellations)
+        GROUP BY country""")
+
+
+def read_features(r):
+    """Feature rows written as a file and read back with the declared schema."""
+    folder = new_folder(r.spark, "features")
+    files.write_files(_features_rounded(r.current).select(
+        "customer_id", *[F.col(c).cast("double") for c in FEATURE_COLUMNS]), folder)
+    return files.read_features(r.spark, folder)
+
+
 def stratified_split(r):
     _, test = modeling.stratified_split(checkpointed(r.training))
     return test.select("customer_id", "churned")
@@ -182,9 +235,19 @@ def split_sizes(r):
 
 
 def trained_tree_attribution(r):
-    rows = checkpointed(modeling.as_doubles(r.training))
-    fitted = modeling.boosted_trees(rounds=QUERY_ROUNDS).fit(rows)
-    return explain.tree_attribution(rows, explain.tree_leaves(fitted))
+    """Trees fitted on the training part, explained on the test part."""
+    train, test = modeling.stratified_split(checkpointed(modeling.as_doubles(r.training)))
+    train = checkpointed(train)
+    fitted = modeling.boosted_trees().fit(modeling.sized(train, train.count()))
+    return explain.tree_attribution(test, explain.tree_leaves(fitted))
+
+
+def no_leakage(r):
+    """Features that differ when lines at or after the cutoff are there: must be empty."""
+    past = r.activity.where(F.col("invoice_date") < as_time(r.cutoff))
+    with_future, without = (_features_rounded(features.features_as_of(lines, r.cutoff, HOME))
+                            for lines in (r.activity, past))
+    return with_future.exceptAll(without).unionByName(without.exceptAll(with_future))
 
 
 def riskiest_explained(r):
@@ -199,6 +262,12 @@ TABLE_QUERIES = {
     "clean_transactions": lambda r: r.clean,
     "cancellations": lambda r: r.cancelled,
     "read_transactions_csv": read_transactions_csv,
+    "read_parts": read_parts,
+    "base_table": base_table,
+    "append_base_table": append_base_table,
+    "published_table": published_table,
+    "sql_views": sql_views,
+    "read_features": read_features,
     "merge_parts": lambda r: files.merge_parts(r.parts),
     "duplicates_removed": lambda r: files.duplicates_removed(r.parts),
     "fractional_ids": lambda r: files.fractional_ids(
@@ -208,6 +277,8 @@ TABLE_QUERIES = {
     "cancelled_invoice_share": lambda r: cleaning.cancelled_invoice_share(r.raw),
     # Exploration
     "monthly_revenue": lambda r: exploration.monthly_revenue(r.clean),
+    "monthly_revenue_exact": lambda r: exploration.monthly_revenue(r.clean, digits=None).withColumn(
+        "revenue", F.col("revenue").cast("double")),
     "top_countries": lambda r: exploration.top_countries(r.clean),
     "country_revenue_share": lambda r: rounded(rounded(
         exploration.country_revenue_share(r.clean), 2, "revenue"), 6, "revenue_share"),
@@ -225,8 +296,9 @@ TABLE_QUERIES = {
     "cancelled_orders": lambda r: features.distinct_per_customer(
         r.cancelled.where(F.col("invoice_date") < as_time(r.cutoff)),
         "invoice", "cancelled_orders"),
-    "customer_features": lambda r: _features_rounded(features.build_features(
-        r.clean, r.cancelled, r.cutoff, HOME)),
+    "customer_features": lambda r: _features_rounded(
+        features.features_as_of(r.activity, r.cutoff, HOME)),
+    "no_leakage": no_leakage,
     "churn_labels": lambda r: features.build_labels(
         r.clean, r.past.select("customer_id").distinct(), r.cutoff),
     "training_set": lambda r: _features_rounded(r.training),
@@ -242,9 +314,11 @@ TABLE_QUERIES = {
     "segment_shares": lambda r: rounded(rounded(
         segments.segment_shares(r.segments), 2, "revenue"),
         6, "customer_share", "revenue_share"),
-    "duplicated_customers": lambda r: segments.duplicated_customers(r.raw.select("customer_id")),
+    "duplicated_customers": lambda r: segments.duplicated_customers(r.segments),
+    "repeated_customers": lambda r: segments.duplicated_customers(
+        r.segments.unionByName(r.segments.where("segment = 'Champions'"))),
     "kmeans_segments": lambda r: rounded(segments.segment_customers(r.clean), 2, "monetary"),
-    "choose_k": lambda r: segments.choose_k(segments.scale_features(checkpointed(r.rfm)), n_init=2),
+    "choose_k": lambda r: segments.choose_k(segments.scale_features(checkpointed(r.rfm))),
     # Models
     "stratified_split": stratified_split,
     "split_sizes": split_sizes,
@@ -268,7 +342,8 @@ TABLE_QUERIES = {
     "feature_importance": lambda r: rounded(
         explain.feature_importance(r.attribution), 6, "mean_abs_shap"),
     "riskiest_customer": lambda r: scoring.riskiest_customers(
-        r.scores).select("customer_id", "risk_level", "segment"),
+        r.scores).select("customer_id", F.round("churn_probability", 6).alias("churn_probability"),
+                         "risk_level", "segment"),
     "riskiest_explained": lambda r: rounded(
         riskiest_explained(r), 6, "churn_probability", "value", "phi"),
     "frozen_tree_attribution": lambda r: rounded(
@@ -278,8 +353,7 @@ TABLE_QUERIES = {
     # Scoring
     "score_customers": lambda r: _scores_rounded(r.scores),
     "segment_risk_matrix": lambda r: scoring.segment_risk_matrix(r.scores),
-    "validated_features": lambda r: scoring.validate_features(
-        r.requests)[0].select("customer_id"),
+    "validated_features": lambda r: _features_rounded(scoring.validate_features(r.requests)[0]),
     "rejected_features": lambda r: scoring.validate_features(
         r.requests)[1].select(
             "customer_id", F.array_join("violations", ",").alias("violations")),

@@ -13,7 +13,8 @@ RAW_TRANSACTIONS = T.StructType([
     T.StructField("country", T.StringType()),
 ])
 
-# Source files carry ids as floats ("1234.0") because of the empty values.
+# Source files carry ids as floats ("1234.0") because of the empty values. They are read as
+# decimals: a double cannot hold every id.
 SOURCE_FILE = T.StructType([
     T.StructField("Invoice", T.StringType()),
     T.StructField("StockCode", T.StringType()),
@@ -21,7 +22,7 @@ SOURCE_FILE = T.StructType([
     T.StructField("Quantity", T.IntegerType()),
     T.StructField("InvoiceDate", T.TimestampNTZType()),
     T.StructField("Price", T.DoubleType()),
-    T.StructField("Customer ID", T.DoubleType()),
+    T.StructField("Customer ID", T.DecimalType(38, 6)),
     T.StructField("Country", T.StringType()),
 ])
 

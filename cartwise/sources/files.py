@@ -1,16 +1,21 @@
 """Reading transaction and feature files, and writing tables."""
 from functools import reduce
 
-from pyspark.sql import Observation, functions as F
+from pyspark.sql import Observation, functions as F, types as T
 
 from ..schemas import COLUMN_NAMES, FEATURES, MISSING_TOKENS, RAW_TRANSACTIONS, SOURCE_FILE
 
 CORRUPT = "corrupt_record"
+ID_COLUMNS = ("Customer ID",)
 
 
-def read_csv(spark, paths, schema, timestamp_format=None, missing_tokens=MISSING_TOKENS):
+def read_csv(spark, paths, schema, timestamp_format=None, missing_tokens=MISSING_TOKENS,
+             whole_columns=(), multi_line=False):
     """CSV with declared types: (good rows, lines that do not fit the schema).
 
+    whole_columns hold numbers that must not have a fraction. multi_line reads records with
+    quoted line breaks, at the price of one task per file.
+
     Everything is read as text first, so that every spelling of "missing" becomes null
     before the types are applied. A value that fails its cast sends the line to the rejects.
     Times are ISO texts unless a pattern is given.
@@ -20,6 +25,7 @@ def read_csv(spark, paths, schema, timestamp_format=None, missing_tokens=MISSING
         spark.read.schema(", ".join(columns))
         .option("header", True).option("enforceSchema", False).option("escape", '"')
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+        .option("multiLine", multi_line)
         .csv(paths)
     )
 
@@ -34,16 +40,35 @@ def read_csv(spark, paths, schema, timestamp_format=None, missing_tokens=MISSING
         return present(field.name).try_cast(field.dataType)
 
     failed = F.array_compact(F.array(*[
-        F.when(present(f.name).isNotNull() & typed(f).isNull(), F.lit(f.name))
+        F.when(present(f.name).isNotNull() & (typed(f).isNull() | (
+            ~_integral(typed(f)) if f.name in whole_columns else F.lit(False))), F.lit(f.name))
         for f in schema.fields]))
     bad = F.col(CORRUPT).isNotNull() | (F.size(failed) > 0)
     good = text.where(~bad).select(*[typed(f).alias(f.name) for f in schema.fields])
     return good, text.where(bad).withColumn("failed_columns", failed)
 
 
+def _header(spark, path):
+    """Column names of a file (or of the files of a folder), as its first line has them."""
+    return tuple(spark.read.option("header", True).option("escape", '"').csv(path).columns)
+
+
 def read_parts(spark, paths, schema=SOURCE_FILE, **options):
-    """One table per file (a period, or a sheet of the source workbook), and all rejects."""
-    both = [read_csv(spark, [path], schema, **options) for path in paths]
+    """Tables of the files (periods, or sheets of the source workbook), and all rejects.
+
+    Files with the same header are read together, by one plan whatever their number; each
+    order of columns is one table, aligned by name.
+    """
+    like = {}
+    for path in paths:
+        like.setdefault(_header(spark, path), []).append(path)
+    fields = {f.name: f for f in schema.fields}
+    both = []
+    for names, own in like.items():
+        if sorted(names) != sorted(fields):
+            raise ValueError(f"the header of {own[0]} is {names}, expected {tuple(fields)} in any order")
+        good, bad = read_csv(spark, own, T.StructType([fields[n] for n in names]), **options)
+        both.append((good.select(*fields), bad.select(*fields, CORRUPT, "failed_columns")))
     return [good for good, _ in both], union_parts([bad for _, bad in both])
 
 
@@ -83,12 +108,18 @@ def _integral(value):
     return value == F.floor(value)
 
 
+def _as_decimal(df, column):
+    """Exact value of an id; null and NaN are both missing."""
+    value = F.col(f"`{column}`")
+    return F.nullif(value.cast("string"), F.lit("NaN")).cast("decimal(38,6)")
+
+
 def integral_ids(df, column="customer_id"):
     """Ids read as floats to nullable longs; a fractional id is an error, not a truncation."""
-    value = F.col(f"`{column}`").cast("double")
+    value = _as_decimal(df, column)
     return df.withColumn(
         column,
-        F.when(value.isNull() | F.isnan(value), F.lit(None).cast("long"))
+        F.when(value.isNull(), F.lit(None).cast("long"))
         .when(_integral(value), value.cast("long"))
         .otherwise(F.raise_error(F.concat(F.lit(f"{column} is not integral: "),
                                           value.cast("string"))).cast("long")),
@@ -97,8 +128,8 @@ def integral_ids(df, column="customer_id"):
 
 def fractional_ids(df, column="customer_id"):
     """Rows whose id is not integral, to be set aside before integral_ids."""
-    value = F.col(f"`{column}`").cast("double")
-    return df.where(value.isNotNull() & ~F.isnan(value) & ~_integral(value))
+    value = _as_decimal(df, column)
+    return df.where(value.isNotNull() & ~_integral(value))
 
 
 def to_raw_transactions(source):
@@ -108,8 +139,11 @@ def to_raw_transactions(source):
 
 
 def read_transactions_csv(spark, paths, **options):
-    """Base-table rows and rejected lines of source-format CSV files."""
-    good, bad = read_csv(spark, paths, SOURCE_FILE, **options)
+    """Base-table rows and rejected lines of source-format CSV files.
+
+    A fractional customer id sends its line to the rejects.
+    """
+    good, bad = read_csv(spark, paths, SOURCE_FILE, whole_columns=ID_COLUMNS, **options)
     return to_raw_transactions(good), bad
 
 
@@ -123,41 +157,50 @@ def write_files(df, path, file_format="parquet"):
     return writer.option("header", True).csv(path) if file_format == "csv" else writer.parquet(path)
 
 
-def read_jdbc(spark, url, query, **options):
+def read_jdbc(spark, url, query, single_task=False, **options):
     """Result of a query in an external database (needs its JDBC driver on the classpath).
 
     Give partitionColumn, lowerBound, upperBound and numPartitions (with dbtable) for a
-    parallel read.
+    parallel read; a read by one task must be asked for.
     """
+    if not single_task and "partitionColumn" not in options:
+        raise ValueError("give partition options for a parallel read, or single_task=True")
     reader = spark.read.format("jdbc").option("url", url)
     if "dbtable" not in options:
         reader = reader.option("query", query)
     return reader.options(**options).load()
 
 
-# Lines of one order are next to each other, and a hot date or invoice is still divided.
+# Lines of one order are next to each other within a file.
 CLUSTERING = ("invoice_date", "invoice", "stock_code")
+ROWS_PER_FILE = 20_000_000
 
 
-def _write_lines(df, name, mode, files):
+def _write_lines(df, name, mode):
+    """Deal lines out by month in partitions of the advisory size, sorted within a file.
+
+    The rebalancing exchange reads nothing twice, divides a hot month and joins small ones, so
+    the number of files follows the amount of data.
+    """
     lines = df.to(RAW_TRANSACTIONS)
-    ranged = (lines.repartitionByRange(files, *CLUSTERING) if files
-              else lines.repartitionByRange(*CLUSTERING))
-    ranged.sortWithinPartitions(*CLUSTERING).write.mode(mode).saveAsTable(name)
+    month = F.date_format("invoice_date", "yyyyMM")
+    (lines.withColumn("month", month).hint("rebalance", "month").drop("month")
+     .sortWithinPartitions(*CLUSTERING)
+     .write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE).saveAsTable(name))
 
 
-def create_base_table(df, name="raw_transactions", files=None):
+def create_base_table(df, name="raw_transactions"):
     """Create the typed base table, replacing an old one.
 
     The lines are clustered by date once here. Date filters then skip files and row groups,
     and grouping lines by order is almost finished before any shuffle.
     """
-    _write_lines(df, name, "overwrite", files)
+    _write_lines(df, name, "overwrite")
 
 
-def append_to_base_table(df, name="raw_transactions", files=None):
+def append_to_base_table(df, name="raw_transactions"):
     """Append rows; names and types must fit the declared schema."""
-    _write_lines(df, name, "append", files)
+    _write_lines(df, name, "append")
 
 
 def publish(df, name):

@@ -1,4 +1,5 @@
 """Where intermediate results that are read many times are kept."""
+import re
 import tempfile
 import uuid
 from multiprocessing.pool import ThreadPool
@@ -9,15 +10,21 @@ from pyspark import inheritable_thread_target
 def shared_folder(spark):
     """Folder every executor can reach, as named by spark.checkpoint.dir.
 
-    Only a session without that setting (a local test) gets a folder of its own.
+    Without that setting only a local master, where driver and executors are one process,
+    gets a folder of its own; on a cluster it is an error.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="cartwise-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or own_folder(sc.master))
     return sc.getCheckpointDir()
 
 
+def own_folder(master):
+    if not re.fullmatch(r"local(\[[^]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+    return tempfile.mkdtemp(prefix="cartwise-")
+
+
 def checkpointed(df):
     """Compute once and keep the rows in the shared folder.
 

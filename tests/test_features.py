@@ -7,44 +7,54 @@ from cartwise.plans.registry import over_folder
 from cartwise.schemas import FEATURE_COLUMNS
 
 CUTOFF = "2011-06-01"
+OWN_CUTOFF = "2019-03-16"
 
 
 @pytest.fixture(scope="module")
 def purchases(spark):
+    """Customer 10 buys before, on and after the cutoff, 20 only long before, 30 only after."""
     return frames.purchases(spark, [
-        (1, "A1", "2011-01-10", 100.0),
-        (1, "A2", "2011-05-20", 50.0),
-        (1, "A3", "2011-07-01", 999.0),
-        (2, "B1", "2010-12-01", 30.0),
+        (10, "P1", "2018-03-16", 12.5),
+        (10, "P2", "2019-03-15", 7.5),
+        (10, "P2", "2019-03-15", 2.0),
+        (10, "P3", "2019-03-16", 400.0),
+        (20, "Q1", "2018-12-16", 64.0),
+        (20, "Q2", "2018-12-15", 16.0),
+        (30, "R1", "2019-06-14", 5.0),
     ])
 
 
 @pytest.fixture(scope="module")
 def cancelled(spark):
-    return frames.cancellations(spark, [(1, "C1", "2011-02-01")])
-
-
-def test_purchases_after_the_cutoff_do_not_count(purchases, cancelled):
-    rows = frames.by_customer(features.build_features(purchases, cancelled, CUTOFF))
-    assert rows[1]["monetary"] == 150.0
-    assert rows[1]["frequency"] == 2
-
-
-def test_recency_recent_orders_and_cancel_rate(purchases, cancelled):
-    rows = frames.by_customer(features.build_features(purchases, cancelled, CUTOFF))
-    assert rows[1]["recency_days"] == 12
-    assert rows[1]["orders_last_90d"] == 1
-    assert rows[1]["cancel_rate"] == 0.5
-    assert rows[2]["cancel_rate"] == 0
-    assert rows[2]["orders_last_90d"] == 0
-    assert rows[1]["tenure_days"] == 142
-    assert rows[1]["avg_order_value"] == 75.0
-
-
-def test_label_looks_only_at_the_window(spark, purchases):
-    customers = spark.createDataFrame([(1,), (2,)], "customer_id long")
-    rows = frames.by_customer(features.build_labels(purchases, customers, CUTOFF))
-    assert (rows[1]["churned"], rows[2]["churned"]) == (0, 1)
+    return frames.cancellations(spark, [
+        (20, "C7", "2019-01-05"), (20, "C8", "2019-01-06"), (20, "C8", "2019-01-06"),
+        (20, "C9", "2019-03-16"), (30, "C1", "2019-01-01")])
+
+
+def test_features_of_each_customer(purchases, cancelled):
+    rows = frames.by_customer(features.build_features(purchases, cancelled, OWN_CUTOFF))
+    assert set(rows) == {10, 20}
+    wanted = {
+        10: dict(recency_days=1, frequency=2, monetary=22.0, avg_order_value=11.0, tenure_days=365,
+                 orders_last_90d=1.0, cancel_rate=0.0),
+        20: dict(recency_days=90, frequency=2, monetary=80.0, avg_order_value=40.0, tenure_days=91,
+                 orders_last_90d=1.0, cancel_rate=1.0),
+    }
+    for customer, values in wanted.items():
+        assert {c: rows[customer][c] for c in values} == values
+
+
+def test_later_lines_change_nothing(purchases, cancelled):
+    early = F.col("invoice_date") < F.lit(OWN_CUTOFF).cast("timestamp_ntz")
+    both = (features.build_features(purchases, cancelled, OWN_CUTOFF),
+            features.build_features(purchases.where(early), cancelled.where(early), OWN_CUTOFF))
+    assert both[0].exceptAll(both[1]).count() == both[1].exceptAll(both[0]).count() == 0
+
+
+def test_label_counts_purchases_on_the_cutoff_and_in_90_days_after(spark, purchases):
+    customers = spark.createDataFrame([(10,), (20,), (30,)], "customer_id long")
+    rows = frames.by_customer(features.build_labels(purchases, customers, OWN_CUTOFF))
+    assert {c: r["churned"] for c, r in rows.items()} == {10: 0, 20: 1, 30: 1}
 
 
 def test_schema_and_column_order(purchases, cancelled):

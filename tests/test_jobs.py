@@ -21,14 +21,21 @@ def test_from_files_to_dashboard_tables(spark, sf_dir, tmp_path):
     assert loaded["rows"] == retail.clean.count()
     assert spark.table("raw_transactions").count() == retail.raw.count()
 
-    summary = jobs.segment(spark)
+    report = spark.table("load_report").first()
+    assert report["rows_before"] - report["rows_removed"] == report["rows_after"] == retail.raw.count()
+    assert report["rows_removed"] > 0
+
+    summary = jobs.segment(spark, ks=(2, 3))
     assert summary.count() == 4
+    assert [r["k"] for r in spark.table("segment_sweep").orderBy("k").collect()] == [2, 3]
     assert spark.table("customer_segments").count() == retail.clean.select("customer_id").distinct().count()
 
     model_path = str(tmp_path / "model")
     models = modeling.make_models(rounds=3)
     training = jobs.train(spark, model_path, home_country=HOME, models=models)
     assert training.best_name in models
+    population = spark.table("training_population").first()
+    assert population["customers"] > 0 and 0 < population["churn_rate"] < 1
     assert spark.table("model_metrics").count() == 12
     assert spark.table("training_runs").count() == 2
     assert spark.table("test_set").count() == training.test.count()

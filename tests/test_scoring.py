@@ -80,6 +80,16 @@ def test_riskiest_takes_the_first_of_equals(spark):
     assert [r["customer_id"] for r in scoring.riskiest_customers(scores, 2).collect()] == [4, 9]
 
 
+def test_totals_are_exact_and_rounded_once(spark):
+    amounts = spark.createDataFrame([(2.49996,), (0.0,), (float("nan"),), (None,)], "a double")
+    total = amounts.agg(columns.exact_sum("a").alias("t")).select(
+        columns.round_half_up("t"), columns.round_total_half_even("t"), columns.round_half_up("t", 4))
+    assert tuple(total.first()) == (2.0, 2.0, 2.5)
+    many = spark.range(3000).selectExpr("if(id % 3 = 0, 1e9, if(id % 3 = 1, -1e9, 0.1D)) AS a")
+    orders = [many.orderBy("a"), many.orderBy(F.desc("a")), many.repartition(5)]
+    assert {str(df.agg(columns.exact_sum("a")).first()[0]) for df in orders} == {"100.000000"}
+
+
 def test_rounding_rules(spark):
     df = spark.createDataFrame([(2.5, 0.125)], "a double, b double")
     assert tuple(df.select(

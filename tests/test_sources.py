@@ -3,7 +3,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import frames
-from cartwise import schemas
+from cartwise import schemas, staging
 from cartwise.sources import files
 
 HEADER = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n"
@@ -47,6 +47,49 @@ def test_other_header_is_refused(spark, tmp_path):
         files.read_transactions_csv(spark, [path])[0].collect()
 
 
+def test_large_and_fractional_ids(spark, tmp_path):
+    path = write(tmp_path, "a.csv",
+                 "1,A,d,1,2009-12-01 07:45:00,1.0,9007199254740993.0,X",
+                 "2,A,d,1,2009-12-01 07:45:00,1.0,9007199254740992,X",
+                 "3,A,d,1,2009-12-01 07:45:00,1.0,17.5,X")
+    rows, bad = files.read_transactions_csv(spark, [path])
+    assert sorted(r["customer_id"] for r in rows.collect()) == [9007199254740992, 9007199254740993]
+    assert [(r["Invoice"], r["failed_columns"]) for r in bad.collect()] == [("3", ["Customer ID"])]
+
+
+def test_parts_with_columns_in_another_order(spark, tmp_path):
+    one = write(tmp_path, "1.csv", "1,A,d,1,2010-12-01 07:45:00,1.5,5,X")
+    two = write(tmp_path, "2.csv", "X,1,A,d,1,2010-12-02 07:45:00,2.5,6",
+                header="Country,Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID\n")
+    same = write(tmp_path, "3.csv", "3,A,d,1,2010-12-03 07:45:00,3.5,7,X")
+    parts, rejected = files.read_parts(spark, [one, two, same])
+    assert len(parts) == 2 and rejected.count() == 0
+    got = files.to_raw_transactions(files.merge_parts(parts)).collect()
+    assert sorted((r["invoice"], r["price"], r["customer_id"], r["country"]) for r in got) == [
+        ("1", 1.5, 5, "X"), ("1", 2.5, 6, "X"), ("3", 3.5, 7, "X")]
+    other = write(tmp_path, "4.csv", "1,2", header="a,b\n")
+    with pytest.raises(ValueError, match="header"):
+        files.read_parts(spark, [other])
+
+
+def test_quoted_line_breaks_as_an_option(spark, tmp_path):
+    path = write(tmp_path, "a.csv", '1,A,"two\nlines",1,2010-12-01 07:45:00,1.0,5,X')
+    rows, bad = files.read_transactions_csv(spark, [path], multi_line=True)
+    assert [r["description"] for r in rows.collect()] == ["two\nlines"] and bad.count() == 0
+
+
+def test_jdbc_reads_need_partitions_or_a_switch(spark):
+    with pytest.raises(ValueError, match="single_task"):
+        files.read_jdbc(spark, "jdbc:none", "SELECT 1")
+
+
+def test_shared_folder_is_asked_for_on_a_cluster():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.own_folder("spark://somewhere:7077")
+    for master in ("local", "local[8]", "local[*]"):
+        assert staging.own_folder(master)
+
+
 def test_parts_are_merged_without_copies(spark, tmp_path):
     line = "1,A,d,1,2010-12-01 07:45:00,1.0,,X"
     one = write(tmp_path, "1.csv", line, line, "2,A,d,1,2010-12-01 07:45:00,1.0,5,X")
@@ -73,12 +116,28 @@ def test_ids_must_be_integral(spark):
     got = files.integral_ids(ids)
     assert got.dtypes == [("customer_id", "bigint")]
     assert sorted(r[0] or 0 for r in got.collect()) == [0, 0, 1234]
+    exact = spark.createDataFrame([("9007199254740993.0",), ("9007199254740992",)], "customer_id string")
+    assert [r[0] for r in files.integral_ids(exact).collect()] == [9007199254740993, 9007199254740992]
     broken = spark.createDataFrame([(1234.5,), (7.0,)], "customer_id double")
     assert [r[0] for r in files.fractional_ids(broken).collect()] == [1234.5]
     with pytest.raises(PySparkException, match="not integral"):
         files.integral_ids(broken).collect()
 
 
+def test_a_hot_month_is_divided(spark):
+    lines = frames.raw(spark, [("1", "A", "d", 1, "2011-01-01", 1.0, 1, "X")])
+    many = spark.range(0, 60_000, 1, 8).crossJoin(lines).withColumn(
+        "invoice_date", F.expr("timestampadd(SECOND, id % 1000, invoice_date)")).withColumn(
+        "invoice", F.sha2(F.col("id").cast("string"), 256)).drop("id")
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        files.create_base_table(many, "hot_t")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    assert spark.table("hot_t").count() == 60_000 and len(spark.table("hot_t").inputFiles()) > 2
+
+
 def test_base_table_create_and_append(spark):
     rows = frames.raw(spark, [("1", "A", "d", 1, "2011-01-01", 1.0, 1, "X")])
     files.create_base_table(rows, "base_t")
