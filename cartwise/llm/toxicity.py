@@ -9,7 +9,8 @@ in both classes. A document is compared by its length-normalised log-likelihoods
 its most toxic windows; a logistic curve fitted on a bounded sample of labelled documents that were
 not counted makes a probability of that.
 
-Counting is distributed and covers everything; what reaches the driver and the tasks is bounded: the
+Counting is distributed and covers everything. Labels are broadcast up to a checked number, which
+spares the shuffle of the texts; beyond it texts and labels are joined by a shuffle. What reaches the driver and the tasks is bounded: the
 `max_words` most frequent words (others are one unknown word) and the `max_pairs` most frequent pairs
 (others back off). Which counts suffice is found from a histogram, so that ties stay or go together.
 
@@ -30,7 +31,9 @@ from .common import blocks, id_and_text
 
 THRESHOLD = 0.7
 MAX_WORDS = 1 << 17
-MAX_PAIRS = 1 << 20
+MAX_PAIRS = 1 << 18
+#: Labels up to this number are broadcast (some 64 MB); with more the texts are shuffled to them.
+BROADCAST_LABELS = 2_000_000
 #: Expressions seen less often than this, over both classes, share one probability.
 RARE = 6
 #: Words in the windows that are compared by themselves.
@@ -219,6 +222,8 @@ def labelled_words(docs, labels, learnable=None, id_col="doc_id", text_col="text
     known = (labels.select(F.col(id_col).alias("doc_id"), F.col("toxic").alias("label"))
              .where(condition).where("doc_id is not null and label is not null")
              .groupBy("doc_id").agg(F.max(F.col("label").cast("int") > 0).alias("toxic")))
+    if known.count() <= BROADCAST_LABELS:
+        known = F.broadcast(known)
 
     @F.pandas_udf("binary")
     def packed(texts: pd.Series) -> pd.Series:
