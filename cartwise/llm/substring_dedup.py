@@ -1,14 +1,16 @@
 """Substring deduplication by content-defined chunks.
 
-A gear hash rolls over the bytes of a text and a chunk ends where its lowest bits are zero, so chunk
+A gear hash rolls over the bytes of a text and a chunk ends where it falls below a bound, so chunk
 boundaries depend on the 32 bytes before them only: text inserted elsewhere shifts no chunk. Chunks
-are compared by a 128-bit digest. Of equal chunks the first (smallest id, then position) is the
-original. A run of consecutive repeated chunks with at least `min_words` words is a repeated span;
-shorter ones (common phrases, single lines) are left alone. Every distinct chunk stays somewhere.
-
-Spans count characters and never begin or end within a word if there is white space in them. Null
-text counts as empty. Rows with the same id and text are one document. Null ids come last. Documents
-without a repeated span have no row; an empty table gives an empty result.
+are compared by a 128-bit digest, and the document with the smallest id that has a chunk is its
+original. A run of consecutive chunks with originals in other documents and at least `min_words`
+words is a repeated span; shorter ones (common phrases, single lines) are left alone, and so are
+repetitions within a document. Every distinct chunk stays somewhere.
+
+Spans count characters; when they are taken out, no word is cut if there is white space in them. Null
+text counts as empty. Rows with the same id count as one document; rows that repeat an id with its
+text have their spans once. A null id is never an original if another document has the chunk.
+Documents without a repeated span have no row; an empty table gives an empty result.
 """
 import hashlib
 import re
@@ -21,10 +23,10 @@ from pyspark.sql import functions as F
 
 from .common import id_and_text
 
-#: A chunk ends with probability 1 / 2**CUT_BITS at each byte beyond the least length.
-CUT_BITS = 5
-LEAST, MOST = 16, 256
-MIN_WORDS = 20
+#: A chunk ends with probability 1 / CUT_EVERY at each byte beyond the least length.
+CUT_EVERY = 24
+LEAST, MOST = 12, 256
+MIN_WORDS = 16
 _WINDOW = 32
 #: Chunks that a text may have; place = TEXTS * hash of the text + number of the chunk.
 TEXTS = 1 << 40
@@ -46,14 +48,14 @@ def gear(data):
     return h
 
 
-def chunk_ends(data, cut_bits=CUT_BITS, least=LEAST, most=MOST):
+def chunk_ends(data, cut_every=CUT_EVERY, least=LEAST, most=MOST):
     """Ends of the chunks of a UTF-8 text, at character boundaries only."""
     n = len(data)
     if not n:
         return []
     whole = np.append((data[1:] & 0xC0) != 0x80, True)  # the next byte begins a character
     # The highest bits of the hash have seen the whole window.
-    cut = np.flatnonzero(whole & (gear(data) >> np.uint32(32 - cut_bits) == 0)) + 1
+    cut = np.flatnonzero(whole & (gear(data) < np.uint32((1 << 32) // cut_every))) + 1
     ends, start = [], 0
     for end in [*cut.tolist(), n]:
         while end - start > most:
@@ -134,12 +136,14 @@ def repeated_spans(docs, min_words=MIN_WORDS, id_col="doc_id", text_col="text"):
     first_id is the smallest of the documents that hold the originals, first_ids has all of them.
     """
     parts = chunks(docs, id_col, text_col)
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "place")
-    first = (parts.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("d1", "d2", "first"))
-    repeated = (parts.join(first, ["d1", "d2"]).where(place != F.col("first"))
-                .select("doc_id", "place", "start", "end", "words",
-                        F.col("first.doc_id").alias("first_id")).distinct())
+    # Numeric minima are summed up before the shuffle, however often a chunk occurs.
+    first = (parts.groupBy("d1", "d2").agg(
+        F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"),
+        F.max(F.col("doc_id").isNull().cast("int")).alias("nulls"))
+        .where("last_id > first_id OR nulls = 1 AND first_id IS NOT NULL")
+        .select("d1", "d2", "first_id"))
+    repeated = (parts.join(first, ["d1", "d2"]).where("NOT doc_id <=> first_id")
+                .select("doc_id", "place", "start", "end", "words", "first_id").distinct())
     # Consecutive chunks have the same distance between their place and their rank.
     order = Window.partitionBy("doc_id").orderBy("place")
     return (repeated.withColumn("run", F.col("place") - F.row_number().over(order))
