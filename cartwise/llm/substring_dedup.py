@@ -164,6 +164,8 @@ def without(text, spans):
         if end < len(text) and not text[end].isspace():
             while end > start and not text[end - 1].isspace():
                 end -= 1
+        if 0 < start < end < len(text) and not (text[start - 1].isspace() or text[end].isspace()):
+            start += text[start].isspace()  # one space stays between what is joined
         kept.append(text[at:start])
         at = max(at, end)
     return "".join([*kept, text[at:]])
@@ -182,10 +184,10 @@ def remove_repeats(docs, min_words=MIN_WORDS, id_col="doc_id", text_col="text"):
 
     @F.udf("string", useArrow=True)
     def cleaned(text, found):
-        return without(text, [(s["start"], s["end"]) for s in found])
+        return without(text, [(s["start"], s["end"]) for s in found]) if found else text
 
-    text = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(cleaned(text_col, "__spans"))
-    return (numbered.join(spans, same, "left").withColumn(text_col, text).select(docs.columns))
+    return (numbered.join(spans, same, "left")
+            .withColumn(text_col, cleaned(text_col, "__spans")).select(docs.columns))
 
 
 def op2_substring_dedup(spark, sf_dir):
