@@ -24,7 +24,7 @@ from .common import blocks, id_and_text
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 #: Words kept in the memory of a Python worker before it starts afresh.
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 1_000_000
 #: Characters of several documents that are encoded together.
 GROUP_CHARS = 1 << 19
 
