@@ -59,7 +59,7 @@ def test_odd_rows(spark, module, column):
     rows = [(i, words(30, i) + (" bad ###" * 30 if i % 2 else "")) for i in range(40)]
     rows += [(50, None), (51, ""), (None, "x"), (1, rows[1][1]), (52, words(20_000))]
     docs = documents(spark, rows)
-    marks = labels(spark, [(i, i % 2 == 0, i % 2) for i in range(40)] + [(1, None, None), (99, 1, 1), (None, 0, 1)])
+    marks = labels(spark, [(i, 1 - i % 2, i % 2) for i in range(40)] + [(1, None, None), (99, 1, 1), (None, 0, 1)])
     scored = ((lambda m: quality.score(m, F.col("text"))) if module is quality else
               (lambda m: toxicity.score(spark, m, F.col("text"))))
     full = docs.select("doc_id", scored(module.fit(docs, marks)).alias("score"))
@@ -106,17 +106,33 @@ def test_held_out_labels_do_not_matter(spark):
         assert a == b
 
 
-def test_kneser_ney_probabilities_add_up(spark):
+def test_rare_expressions_have_one_probability(spark):
+    often, rare = "often often often often often often often", "rare"
+    docs = documents(spark, [(0, f"{often} {rare}"), (1, "other words " * 9), (2, "more")])
+    models = toxicity.fit(docs, labels(spark, [(0, 1, 1), (1, 1, 0), (2, 1, 0)]), max_words=4, max_pairs=2)
+    assert len(models.vocabulary) <= 4 and len(models.keys) <= 2
+    index = toxicity.word_index(models.vocabulary, toxicity.word_hashes(f"{rare} unseen"))
+    assert np.allclose(models.own_ratio[index], models.own_ratio[index][0])
+
+
+def test_cutoff_keeps_at_most_so_many(spark):
+    counts = [1] * 50 + [3] * 7 + [900] * 2 + [5000, 6000, 100_000]
+    totals = spark.createDataFrame([(i, c, 0) for i, c in enumerate(counts)], "key long, toxic long, ordinary long")
+    for most in (0, 1, 2, 3, 5, 11, 12, 61, 62, 100):
+        for least in (1, 4):
+            at = toxicity.cutoff(totals, most, least)
+            assert at >= least and sum(c >= at for c in counts) <= most
+    assert toxicity.cutoff(totals, 12) == 2 and toxicity.cutoff(totals, 62) == 1
+
+
+def test_kneser_ney_probabilities_add_up(spark, monkeypatch):
     """Rebuild both models from their definition on a small corpus and compare the ratios."""
+    monkeypatch.setattr(toxicity, "RARE", 1)
+    monkeypatch.setattr(toxicity, "CURVE_SHARE", 1 << 40)
     texts = ["a b a c", "b a b b", "c c a d a", "d a b"]
     docs = documents(spark, list(enumerate(texts)))
     marks = labels(spark, [(0, 1, 1), (1, 1, 0), (2, 1, 1), (3, 1, 0)])
-    old = toxicity.CURVE_SHARE
-    toxicity.CURVE_SHARE = 1 << 40
-    try:
-        models = toxicity.fit(docs, marks)
-    finally:
-        toxicity.CURVE_SHARE = old
+    models = toxicity.fit(docs, marks)
     index = {w: int(toxicity.word_index(models.vocabulary, toxicity.word_hashes(w))[0]) for w in "abcd"}
     assert sorted(index.values()) == [1, 2, 3, 4]
     pairs = {1: {}, 0: {}}
