@@ -12,6 +12,15 @@ def id_and_text(docs, id_col="doc_id", text_col="text"):
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def apart(totals):
+    """Totals per key in partitions of their own, for a join of rows with them on that key.
+
+    Where the join takes totals straight from their aggregation, a hot key's rows must follow into one
+    task; with an exchange on both sides adaptive execution divides them.
+    """
+    return totals.hint("rebalance")
+
+
 def blocks(text, size=1 << 19):
     """The text in parts of about `size` characters, cut before white space only.
 

@@ -8,6 +8,7 @@ are summed before the shuffle and the join may split a hot key.
 from pyspark.sql import functions as F
 
 from ..staging import checkpointed
+from .common import apart
 
 
 def components(links):
@@ -21,10 +22,10 @@ def components(links):
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.join(least, "u").where("v > u and v <> m")
+        large = (both.join(apart(least), "u").where("v > u and v <> m")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
+        small = large.join(apart(least), "u")
         edges = (small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         edges, after = _settled(edges)

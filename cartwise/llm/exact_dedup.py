@@ -20,8 +20,8 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from ..staging import new_folder
-from .common import id_and_text
+from ..staging import checkpointed, new_folder
+from .common import apart, id_and_text
 
 CAPACITY = 16_384
 MAX_DEPTH = 12
@@ -55,7 +55,7 @@ def build_index(docs, folder, capacity=CAPACITY, id_col="doc_id", text_col="text
     text = normalised(F.col("text"))
     rows = id_and_text(docs, id_col, text_col).select(
         "doc_id", "text", F.xxhash64(text).alias("h"), F.sha2(text, 256).alias("text_sha256"))
-    entries = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    entries = checkpointed(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")))
     table = F.broadcast(directory(entries, capacity))  # at most 2**MAX_DEPTH rows
     placed = (
         rows.join(entries, "h")
@@ -81,7 +81,7 @@ def decide(docs, capacity=CAPACITY, id_col="doc_id", text_col="text"):
     shared = index.where("n > 1")
     chains = shared.groupBy("bucket", "h", "text").agg(
         F.min(order).alias("first"), F.count(F.lit(1)).alias("group_size"))
-    chained = shared.join(chains, ["bucket", "h", "text"]).select(
+    chained = shared.join(apart(chains), ["bucket", "h", "text"]).select(
         "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("first.row")).alias("kept"), "text_sha256", "h")
     return reduce(lambda a, b: a.unionByName(b), [single, chained])

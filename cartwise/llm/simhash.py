@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ..staging import checkpointed
-from .common import blocks, id_and_text
+from .common import apart, blocks, id_and_text
 from .components import components
 
 BITS = 64
@@ -90,7 +90,7 @@ def tiles(bucketed, tile=TILE):
     parts = F.ceil(F.col("n") / tile).cast("int")
     part = F.pmod(F.xxhash64("fp"), parts).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    return (bucketed.join(sizes, ["which", "key"])
+    return (bucketed.join(apart(sizes), ["which", "key"])
             .select("which", "key", "fp", parts.alias("parts"), part.alias("part"))
             .select("which", "key", "fp", "part", other.alias("other"))
             .select("which", "key", F.least("part", "other").alias("i"),
@@ -200,7 +200,7 @@ def groups(docs, shingle=SHINGLE, radius=RADIUS, tile=TILE, id_col="doc_id", tex
     of_fp = distinct.join(stars, "fp", "left").select(
         "fp", "first_id", F.coalesce("component", "fp").alias("root"))
     smallest = of_fp.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    ids = of_fp.join(smallest, "root").select("fp", "component_id")
+    ids = of_fp.join(apart(smallest), "root").select("fp", "component_id")
     return hashed.join(ids, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 

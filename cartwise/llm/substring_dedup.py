@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import id_and_text
+from .common import apart, id_and_text
 
 #: A chunk ends with probability 1 / CUT_EVERY at each byte beyond the least length.
 CUT_EVERY = 24
@@ -142,7 +142,7 @@ def repeated_spans(docs, min_words=MIN_WORDS, id_col="doc_id", text_col="text"):
         F.max(F.col("doc_id").isNull().cast("int")).alias("nulls"))
         .where("last_id > first_id OR nulls = 1 AND first_id IS NOT NULL")
         .select("d1", "d2", "first_id"))
-    repeated = (parts.join(first, ["d1", "d2"]).where("NOT doc_id <=> first_id")
+    repeated = (parts.join(apart(first), ["d1", "d2"]).where("NOT doc_id <=> first_id")
                 .select("doc_id", "place", "start", "end", "words", "first_id").distinct())
     # Consecutive chunks have the same distance between their place and their rank.
     order = Window.partitionBy("doc_id").orderBy("place")
