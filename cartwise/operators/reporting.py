@@ -80,8 +80,8 @@ def sliced(df, **slicers):
 SEGMENT_MEASURES = {
     "customers": "count(*)",
     "revenue": "sum(monetary)",
-    "revenue_share": "try_divide(sum(monetary), double({revenue}))",
-    "customer_share": "try_divide(double(count(*)), double({customers}))",
+    "revenue_share": "sum(monetary)",
+    "customer_share": "count(*)",
     "avg_days_since_last_order": "avg(recency_days)",
     "avg_orders": "avg(frequency)",
     "avg_spend": "avg(monetary)",
@@ -89,14 +89,15 @@ SEGMENT_MEASURES = {
 
 
 def segment_measures(segments, names, by=(), segment_slicer=None):
-    """Chosen segment measures, for the whole table or per group."""
-    totals = {}
-    if any(name.endswith("_share") for name in names):
-        row = segments.selectExpr("count(*) AS customers", "sum(monetary) AS revenue").first()
-        totals = {name: "NULL" if value is None else repr(value)
-                  for name, value in row.asDict().items()}
-    return sliced(segments, segment=segment_slicer).groupBy(*by).agg(
-        *[F.expr(SEGMENT_MEASURES[n].format(**totals)).alias(n) for n in names])
+    """Chosen segment measures, for the whole table or per group.
+
+    Shares divide by the total of all segments, a scalar subquery within the plan.
+    """
+    measured = sliced(segments, segment=segment_slicer).groupBy(*by).agg(
+        *[F.expr(SEGMENT_MEASURES[n]).alias(n) for n in names])
+    return measured.withColumns({
+        n: ratio(n, segments.agg(F.expr(SEGMENT_MEASURES[n])).scalar())
+        for n in names if n.endswith("_share")})
 
 
 def segment_kpis(segments, segment_slicer=None):

@@ -16,7 +16,7 @@ def rfm(clean, last_day=None):
 
     Lines are added up to orders first, so the heaviest customer is spread over the
     tasks and the count of distinct invoices becomes a plain count. Without a given last
-    day, the customers are kept and their latest date is used: the lines are read once.
+    day, the latest date of the customers is used, a scalar subquery over the same exchange.
     """
     orders = clean.groupBy("customer_id", "invoice").agg(
         F.max("invoice_date").alias("last_line"), F.sum("line_total").alias("order_total"))
@@ -26,11 +26,12 @@ def rfm(clean, last_day=None):
         F.sum("order_total").alias("monetary"),
     )
     if last_day is None:
-        customers = checkpointed(customers)
-        last_day = customers.agg(F.max("last_date")).first()[0]
+        last_day = customers.agg(F.max("last_date")).scalar()
+    else:
+        last_day = F.lit(last_day).cast("date")
     return customers.select(
         "customer_id",
-        (F.date_diff(F.lit(last_day).cast("date"), "last_date") + 1).alias("recency_days"),
+        (F.date_diff(last_day, "last_date") + 1).alias("recency_days"),
         "frequency",
         "monetary",
     )

@@ -4,7 +4,7 @@ Each one starts from the whole tables. Sums of doubles are rounded here, and onl
 because their last digits depend on the order of summation.
 """
 import uuid
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.sql import functions as F
 
@@ -27,9 +27,10 @@ class Retail:
     All of them are lazy except the two dates, which are read once when first used.
     """
 
-    def __init__(self, raw):
+    def __init__(self, raw, folder=None):
         self.spark = raw.sparkSession
         self.raw = raw
+        self.folder = folder
 
     @cached_property
     def clean(self):
@@ -96,6 +97,11 @@ class Retail:
         return scoring.score_customers(
             self.activity, self.today, frozen.model(), self.segments, HOME)
 
+    @cached_property
+    def risks(self):
+        """Current customers scored, for measures that show no segment."""
+        return scoring.score_customers(self.activity, self.today, frozen.model(), None, HOME)
+
     @cached_property
     def folded(self):
         return modeling.with_folds(checkpointed(self.training))
@@ -127,7 +133,10 @@ class Retail:
 
     @cached_property
     def trained(self):
-        return modeling.train_and_select(self.training)
+        """Fitted once per session and folder: two queries show it, and it takes hundreds of steps."""
+        if self.folder is None:
+            return modeling.train_and_select(self.training)
+        return _trained(self.spark, self.folder)
 
 
 def rounded(df, digits=2, *columns):
@@ -374,7 +383,7 @@ TABLE_QUERIES = {
     "spend_scatter": lambda r: rounded(rounded(
         reporting.spend_scatter(r.segments), 2, "monetary"), 6, "log_monetary"),
     "risk_kpis": lambda r: rounded(rounded(
-        reporting.risk_kpis(r.scores), 2, "revenue_at_risk"), 6, "high_risk_share"),
+        reporting.risk_kpis(r.risks), 2, "revenue_at_risk"), 6, "high_risk_share"),
     "sliced_risk_kpis": lambda r: rounded(rounded(reporting.risk_measures(
         r.scores, segment_slicer=["Champions", "Promising"], risk_slicer=["Low", "Medium"]),
         2, "revenue_at_risk"), 6, "high_risk_share", "avg_churn_probability"),
@@ -385,7 +394,7 @@ TABLE_QUERIES = {
     "probability_bands": lambda r: reporting.probability_bands(r.scores),
     "action_list": lambda r: _action_rounded(reporting.action_list(r.scores)),
     "action_kpis": lambda r: rounded(
-        reporting.action_kpis(r.scores), 2, "revenue_at_risk"),
+        reporting.action_kpis(r.risks), 2, "revenue_at_risk"),
     "model_kpis": lambda r: rounded(
         reporting.model_kpis(metrics.metrics_long(r.comparison)), 6,
         "selected_test_roc_auc", "selected_recall", "selected_precision", "cv_roc_auc_gain"),
@@ -410,7 +419,12 @@ TABLE_QUERIES = {
 
 
 def over_folder(spark, sf_dir):
-    return Retail(retail_view.raw_transactions(spark, sf_dir))
+    return Retail(retail_view.raw_transactions(spark, sf_dir), sf_dir)
+
+
+@lru_cache(maxsize=1)
+def _trained(spark, sf_dir):
+    return modeling.train_and_select(over_folder(spark, sf_dir).training)
 
 
 def _over_folder(query):

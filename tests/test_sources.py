@@ -128,7 +128,7 @@ def test_a_hot_month_is_divided(spark):
     lines = frames.raw(spark, [("1", "A", "d", 1, "2011-01-01", 1.0, 1, "X")])
     many = spark.range(0, 60_000, 1, 8).crossJoin(lines).withColumn(
         "invoice_date", F.expr("timestampadd(SECOND, id % 1000, invoice_date)")).withColumn(
-        "invoice", F.sha2(F.col("id").cast("string"), 256)).drop("id")
+        "invoice", F.sha2(F.col("id").cast("string"), 256)).drop("id").repartition(8)
     old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
     try:
