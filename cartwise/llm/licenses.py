@@ -67,8 +67,11 @@ SPELLINGS = [
 def canonical(text):
     """The canonical form of a text column."""
     lowered = F.lower(text)
-    # Lines that begin with a copyright mark; (?d) lets lines end with a line feed only.
-    kept = F.regexp_replace(lowered, r"(?md)^[ \t]*(?:copyright|\(c\)|©)[^\n]*", "")
+    # Lines that begin with a copyright mark; (?d) lets lines end with a line feed only. Most texts
+    # hold no such mark at all and are spared the search.
+    marked = lowered.contains("copyright") | lowered.contains("(c)") | lowered.contains("©")
+    kept = F.when(marked, F.regexp_replace(
+        lowered, r"(?md)^[ \t]*(?:copyright|\(c\)|©)[^\n]*", "")).otherwise(lowered)
     spelt = F.replace(kept, F.lit("&"), F.lit("and"))
     bare = F.regexp_replace(spelt, r"[\x00-/:-@\[-`{-\x7f]+", "")
     for one, other in [(_bare(a), _bare(b)) for a, b in SPELLINGS]:
@@ -81,9 +84,8 @@ def _bare(word):
 
 
 def digest(text):
-    """Digest of the canonical form; null if nothing is left."""
-    form = canonical(text)
-    return F.when(form != "", F.sha2(form, 256))
+    """Digest of the canonical form, never null: a join then needs no filter that computes it again."""
+    return F.coalesce(F.sha2(canonical(F.coalesce(text, F.lit(""))), 256), F.lit(""))
 
 
 def catalogue(spark, known=None):
@@ -94,8 +96,8 @@ def catalogue(spark, known=None):
         raise ValueError(f"the catalogue may hold {MAX_CATALOGUE} texts, it has {len(names)}")
     rows = [F.struct(F.lit(n).alias("license"), F.lit(t).alias("text")) for n, t in names]
     return (spark.range(1).select(F.inline(F.array(*rows)))
-            .select(digest(F.col("text")).alias("digest"), "license")
-            .where("digest is not null").groupBy("digest").agg(F.min("license").alias("license")))
+            .where(canonical(F.col("text")) != "")
+            .select(digest(F.col("text")).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license")))
 
 
 def scan(docs, known=None, id_col="doc_id", text_col="text"):
