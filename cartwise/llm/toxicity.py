@@ -9,10 +9,13 @@ in both classes. A document is compared by its length-normalised log-likelihoods
 its most toxic windows; a logistic curve fitted on a bounded sample of labelled documents that were
 not counted makes a probability of that.
 
-Counting is distributed and covers everything. Labels are broadcast up to a checked number, which
-spares the shuffle of the texts; beyond it texts and labels are joined by a shuffle. What reaches the driver and the tasks is bounded: the
-`max_words` most frequent words (others are one unknown word) and the `max_pairs` most frequent pairs
-(others back off). Which counts suffice is found from a histogram, so that ties stay or go together.
+Counting is distributed and covers everything: all words and pairs, however many, are counted in Spark
+tables. Labels are broadcast up to a checked number, which spares the shuffle of the texts; beyond it
+texts and labels are joined by a shuffle. The driver and the tasks get the words and pairs that are not
+rare. That loses nothing: a rare expression has the shared probability, for which only the numbers of
+distinct words and pairs matter, and those are whole. What is sent grows with the input, without a cap;
+`max_words` and `max_pairs` set one where memory is short (others share a probability or back off; the
+least count is found from a histogram, so that ties stay or go together).
 
 Null and empty texts have no words and get the score of a ratio of zero. Repeated documents count and
 are scored each; of repeated labels of a document the highest counts, null labels are not used.
@@ -26,12 +29,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from ..staging import checkpointed
+from ..staging import checkpointed, new_folder
 from .common import blocks, id_and_text
 
 THRESHOLD = 0.7
-MAX_WORDS = 1 << 17
-MAX_PAIRS = 1 << 18
 #: Labels up to this number are broadcast (some 64 MB); with more the texts are shuffled to them.
 BROADCAST_LABELS = 2_000_000
 #: Expressions seen less often than this, over both classes, share one probability.
@@ -43,6 +44,7 @@ SALIENT = 3.0
 #: Labelled documents for the curve; one in CURVE_SHARE is kept out of the counts for it.
 CURVE_SAMPLE, CURVE_SHARE = 6000, 5
 MEMORY_WORDS = 400_000
+_ROWS = 1 << 20
 _WORD = re.compile(r"[^\W_]+")
 _memory = {}
 
@@ -70,17 +72,17 @@ def counted(keys, toxic):
     total = np.bincount(at, minlength=len(distinct))
     of_toxic = np.bincount(at[toxic], minlength=len(distinct))
     return pa.RecordBatch.from_arrays(
-        [pa.array(distinct.astype(np.int64)), pa.array(of_toxic.astype(np.int64)),
+        [pa.array(distinct), pa.array(of_toxic.astype(np.int64)),
          pa.array((total - of_toxic).astype(np.int64))], ["key", "toxic", "ordinary"])
 
 
-def _totals(tokens, keys_of):
-    """Totals of the keys over all rows (toxic, words): partial in the tasks, then summed."""
+def _totals(tokens):
+    """Totals of all pairs over all rows (toxic, words): partial in the tasks, then summed."""
     def run(batches):
         keys, toxic, held = [], [], 0
         for batch in batches:
             for label, words in zip(batch.column("toxic"), batch.column("words")):
-                keys.append(keys_of(np.frombuffer(words.as_py(), np.uint32)))
+                keys.append(hash_pairs(np.frombuffer(words.as_py(), np.uint32)))
                 toxic.append(np.full(len(keys[-1]), bool(label.as_py())))
                 held += len(keys[-1])
                 if held > 1 << 21:
@@ -120,45 +122,58 @@ def word_index(vocabulary, words):
     return np.where(vocabulary[at] == words, at + 1, 0).astype(np.int64)
 
 
-def pair_keys(vocabulary, words):
-    """Key of each word with the one before; the first word follows the unknown word."""
-    index = word_index(vocabulary, words)
-    before = np.append(0, index[:-1])[:len(index)]
-    return before * (len(vocabulary) + 1) + index
+def hash_pairs(words):
+    """Each word with the one before, as 64 bits; the first word follows 0, which is no word."""
+    before = np.append(np.uint32(0), words[:-1])[:len(words)]
+    return (before.astype(np.uint64) << np.uint64(32) | words).view(np.int64)
 
 
 class ClassModels:
-    """The two smoothed models as arrays, and the curve."""
-
-    def __init__(self, vocabulary, pairs, contexts, continuations, discounts, share):
-        """pairs: the totals that are not rare. contexts and continuations: by word, see fit()."""
-        size = len(vocabulary) + 1
-        self.vocabulary, self.share, self.curve = vocabulary, share, None
-
-        def by_word(frame, column):
-            out = np.zeros(size)
-            out[frame["word"].to_numpy()] = frame[column].to_numpy()
-            return out
-
-        kinds = by_word(continuations, "any")
-        common = by_word(continuations, "toxic") + by_word(continuations, "ordinary") >= RARE
-        total, free = max(kinds.sum(), 1), np.minimum(kinds, 0.75).sum()
-        shared = (np.maximum(kinds - 0.75, 0) + (free if free else total) / size) / total
-        self.keys = pairs["key"].to_numpy()
-        word, before = self.keys % size, self.keys // size
-        own, freed, seen = [], [], []
-        for c in ("toxic", "ordinary"):
-            d = discounts[c]
-            kinds = by_word(continuations, c)
-            kept = np.where(common, np.maximum(kinds - d, 0), 0)
-            total = max(kinds.sum(), 1)
+    """The two smoothed models as arrays, and the curve.
+
+    Arrays by word have the words that are not rare in the order of `vocabulary`, from place 1. Place 0
+    stands for every other word: they have one probability in common, whether seen or not.
+    """
+
+    def __init__(self, words, pairs, kinds, discounts, share):
+        """words and pairs: what is not rare, see fit(). kinds: numbers of distinct pairs and words."""
+        words = words.sort_by("word")
+        self.vocabulary = words["word"].to_numpy().astype(np.uint32)
+        self.share, self.curve = share, None
+        size = len(self.vocabulary) + 1
+
+        def by_word(column):
+            return np.append(0.0, words[column].to_numpy())
+
+        total = max(kinds["any"], 1)
+        free = 0.75 * kinds["words"]
+        shared = (np.maximum(by_word("any") - 0.75, 0) + (free or total) / (kinds["words"] + 1)) / total
+        own, freed, tokens, both = [], [], [], ("toxic", "ordinary")
+        for c in both:
+            kept = np.maximum(by_word(f"{c}_kinds") - discounts[c], 0)
+            total = max(kinds[c], 1)
             own.append((kept + (total - kept.sum()) * shared) / total)
-            tokens = by_word(contexts, c)
-            freed.append(np.where(tokens > 0, by_word(contexts, f"{c}_freed") / np.maximum(tokens, 1), 1.0))
-            kept = np.maximum(pairs[c].to_numpy() - d, 0) / np.maximum(tokens[before], 1)
-            seen.append(kept + freed[-1][before] * own[-1][word])
-        ratio = [np.log(t / o).astype(np.float32) for t, o in (own, freed, seen)]
-        self.own_ratio, self.freed_ratio, self.seen_ratio = ratio
+            tokens.append(by_word(f"{c}_tokens"))
+            tokens[-1][0] = kinds[f"{c}_starts"]
+            spare = by_word(f"{c}_freed")
+            spare[0] = kinds[f"{c}_starts_freed"]
+            freed.append(np.where(tokens[-1] > 0, spare / np.maximum(tokens[-1], 1), 1.0))
+        self.own_ratio = np.log(own[0] / own[1]).astype(np.float32)
+        # The last place is the context of a rare word: all of its pairs are rare and free.
+        self.freed_ratio = np.append(np.log(freed[0] / freed[1]), 0).astype(np.float32)
+        # A pair that is not rare has words that are not rare, or begins a text: place 0 as context.
+        keys, ratio = np.empty(len(pairs), np.int64), np.empty(len(pairs), np.float32)
+        for at in range(0, len(pairs), _ROWS):
+            part = pairs.slice(at, _ROWS)
+            key = part["key"].to_numpy().view(np.uint64)
+            word = word_index(self.vocabulary, (key & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+            before = word_index(self.vocabulary, (key >> np.uint64(32)).astype(np.uint32))
+            seen = [np.maximum(part[c].to_numpy() - discounts[c], 0) / np.maximum(tokens[i][before], 1)
+                    + freed[i][before] * own[i][word] for i, c in enumerate(both)]
+            keys[at:at + _ROWS] = before * size + word
+            ratio[at:at + _ROWS] = np.log(seen[0] / seen[1])
+        order = np.argsort(keys)
+        self.keys, self.seen_ratio = keys[order], ratio[order]
 
     def features(self, words):
         """Log-likelihood ratios per word: of the pairs, of the words alone, of the best windows.
@@ -170,7 +185,7 @@ class ClassModels:
         if not n:
             return np.zeros(4 + len(WINDOWS))
         index = word_index(self.vocabulary, words)
-        before = np.append(0, index[:-1])
+        before = np.append(0, np.where(index[:-1] == 0, -1, index[:-1]))
         single = self.own_ratio[index].astype(np.float64)
         ratio = self.freed_ratio[before] + single
         if len(self.keys):
@@ -233,35 +248,45 @@ def labelled_words(docs, labels, learnable=None, id_col="doc_id", text_col="text
             .select("doc_id", "toxic", packed("text").alias("words")))
 
 
-def fit(docs, labels, learnable=None, max_words=MAX_WORDS, max_pairs=MAX_PAIRS, id_col="doc_id",
-        text_col="text"):
-    """Both models counted over all labelled documents that may be learned from, with the curve."""
-    tokens = checkpointed(labelled_words(docs, labels, learnable, id_col, text_col))
-    for_curve = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(CURVE_SHARE)) == 0
-    counting = tokens.where(~for_curve)
-    words = checkpointed(_totals(counting, lambda w: w.astype(np.int64)))
-    count = F.col("toxic") + F.col("ordinary")
-    vocabulary = words.where(count >= cutoff(words, max_words)).select("key").toPandas()["key"]
-    vocabulary = np.sort(vocabulary.to_numpy()).astype(np.uint32)
-    size = len(vocabulary) + 1
-
-    pairs = checkpointed(_totals(counting, lambda w: pair_keys(vocabulary, w)))
+def _models(tokens, share, max_words=None, max_pairs=None):
+    """Both models counted over all rows of tokens, without a curve."""
+    spark = tokens.sparkSession
+    folder = new_folder(spark, "pairs")
+    _totals(tokens).write.parquet(folder)
+    pairs = spark.read.parquet(folder)
     both = ("toxic", "ordinary")
-    once = pairs.agg(*(F.sum((F.col(c) == n).cast("long")).alias(f"{c}{n}")
-                       for c in both for n in (1, 2))).first()
+    count = F.col("toxic") + F.col("ordinary")
+    once = pairs.agg(
+        F.count(F.lit(1)).alias("any"), *(F.sum((F.col(c) > 0).cast("long")).alias(c) for c in both),
+        *(F.sum((F.col(c) == n).cast("long")).alias(f"{c}{n}") for c in both for n in (1, 2))).first()
     discounts = {c: (once[f"{c}1"] or 1) / ((once[f"{c}1"] or 1) + 2 * (once[f"{c}2"] or 0.25))
                  for c in both}
-    common = count >= cutoff(pairs, max_pairs, RARE)
-    freed = [F.sum(F.when(common, F.least(F.col(c).cast("double"), F.lit(discounts[c])))
+    # Every occurrence of a word is the second of one pair, so these are the totals of words.
+    words = checkpointed(pairs.groupBy(F.expr("key & 4294967295").alias("word")).agg(
+        *(F.sum(c).alias(c) for c in both), F.count(F.lit(1)).alias("any"),
+        *(F.sum((F.col(c) > 0).cast("long")).alias(f"{c}_kinds") for c in both)))
+    least_word = cutoff(words, max_words, RARE) if max_words else RARE
+    # A pair is at most as frequent as its words: none is kept without both words.
+    least = max(cutoff(pairs, max_pairs, RARE) if max_pairs else RARE, least_word)
+    freed = [F.sum(F.when(count >= least, F.least(F.col(c).cast("double"), F.lit(discounts[c])))
                    .otherwise(F.col(c))).alias(f"{c}_freed") for c in both]
-    contexts = pairs.groupBy(F.expr(f"key div {size}").alias("word")).agg(
-        *(F.sum(c).alias(c) for c in both), *freed)
-    continuations = pairs.groupBy((F.col("key") % size).alias("word")).agg(
-        *(F.sum((F.col(c) > 0).cast("long")).alias(c) for c in both), F.count(F.lit(1)).alias("any"))
+    contexts = checkpointed(pairs.groupBy(F.expr("shiftrightunsigned(key, 32)").alias("word")).agg(
+        *(F.sum(c).alias(f"{c}_tokens") for c in both), *freed))
+    start = contexts.where("word = 0").first()
+    kinds = {"any": once["any"], "words": words.count(), **{c: once[c] or 0 for c in both},
+             **{f"{c}_starts": start[f"{c}_tokens"] if start else 0 for c in both},
+             **{f"{c}_starts_freed": start[f"{c}_freed"] if start else 0 for c in both}}
+    known = words.where(count >= least_word).drop(*both).join(contexts, "word", "left").na.fill(0)
+    return ClassModels(known.toArrow(), pairs.where(count >= least).toArrow(), kinds, discounts, share)
+
+
+def fit(docs, labels, learnable=None, max_words=None, max_pairs=None, id_col="doc_id",
+        text_col="text"):
+    """Both models counted over all labelled documents that may be learned from, with the curve."""
+    tokens = checkpointed(labelled_words(docs, labels, learnable, id_col, text_col))
+    for_curve = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(CURVE_SHARE)) == 0
     share = tokens.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
-    models = ClassModels(
-        vocabulary, pairs.where(common).toPandas().sort_values("key", ignore_index=True),
-        contexts.toPandas(), continuations.toPandas(), discounts, share or 0.0)
+    models = _models(tokens.where(~for_curve), share or 0.0, max_words, max_pairs)
     sample = (tokens.where(for_curve).orderBy(F.xxhash64(F.lit(13), "doc_id"), "doc_id", "words")
               .limit(CURVE_SAMPLE))
     # The features are made in the tasks; at most CURVE_SAMPLE short rows come back.

@@ -163,3 +163,11 @@ def test_kneser_ney_probabilities_add_up(spark, monkeypatch):
         w = [index[x] for x in text.split()]
         want = np.mean([np.log(p[1, u, v] / p[0, u, v]) for u, v in zip([0, *w], w)])
         assert models.features(toxicity.word_hashes(text))[0] == pytest.approx(want, abs=1e-5)
+
+
+def test_words_and_pairs_have_no_cap(spark):
+    rows = [(n, " ".join(f"w{n // 3 * 1000 + i}" for i in range(1000)) + " ") for n in range(3 * 170)]
+    docs = documents(spark, [(n, t * 4) for n, t in rows])
+    marks = labels(spark, [(n, 1, n // 3 % 2) for n, _ in rows])
+    models = toxicity.fit(docs, marks)
+    assert len(models.vocabulary) > 1 << 17 and len(models.keys) > 1 << 17
