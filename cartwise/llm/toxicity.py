@@ -6,8 +6,8 @@ what is freed goes to the class's continuation counts (in how many contexts a wo
 those are discounted again in favour of continuation counts shared by both classes. An expression
 seen fewer than RARE times is discounted wholly, so rare words and pairs have the shared probability
 in both classes. A document is compared by its length-normalised log-likelihoods, as a whole and by
-its most toxic windows; a logistic curve fitted on a bounded sample of labelled documents that were
-not counted makes a probability of that.
+its most toxic windows; a logistic curve makes a probability of that. It is fitted on a bounded sample
+of labelled documents, compared by models of their own that do not count them.
 
 Counting is distributed and covers everything: all words and pairs, however many, are counted in Spark
 tables. Labels are broadcast up to a checked number, which spares the shuffle of the texts; beyond it
@@ -41,7 +41,7 @@ RARE = 6
 WINDOWS = (8, 32, 128)
 #: Log-likelihood ratio from which a word is salient: twenty times as likely in toxic documents.
 SALIENT = 3.0
-#: Labelled documents for the curve; one in CURVE_SHARE is kept out of the counts for it.
+#: Labelled documents for the curve, of one in CURVE_SHARE; the models it is fitted on do not count them.
 CURVE_SAMPLE, CURVE_SHARE = 6000, 5
 MEMORY_WORDS = 400_000
 _ROWS = 1 << 20
@@ -66,33 +66,37 @@ def word_hashes(text):
     return np.concatenate(out)
 
 
-def counted(keys, toxic):
-    """(key, toxic, ordinary) totals of integer keys."""
+COUNTS = ("toxic", "ordinary", "toxic_out", "ordinary_out")
+
+
+def counted(keys, toxic, left_out):
+    """(key, toxic, ordinary, toxic_out, ordinary_out) totals of integer keys; the last two are the parts
+    of the first two that are left out for the curve."""
     distinct, at = np.unique(keys, return_inverse=True)
-    total = np.bincount(at, minlength=len(distinct))
-    of_toxic = np.bincount(at[toxic], minlength=len(distinct))
+    masks = (toxic, ~toxic, toxic & left_out, ~toxic & left_out)
     return pa.RecordBatch.from_arrays(
-        [pa.array(distinct), pa.array(of_toxic.astype(np.int64)),
-         pa.array((total - of_toxic).astype(np.int64))], ["key", "toxic", "ordinary"])
+        [pa.array(distinct), *(pa.array(np.bincount(at[m], minlength=len(distinct)).astype(np.int64))
+                               for m in masks)], ["key", *COUNTS])
 
 
 def _totals(tokens):
-    """Totals of all pairs over all rows (toxic, words): partial in the tasks, then summed."""
+    """Totals of all pairs over all rows (toxic, words, left_out): partial in the tasks, then summed."""
     def run(batches):
-        keys, toxic, held = [], [], 0
+        parts, held = [], 0
         for batch in batches:
-            for label, words in zip(batch.column("toxic"), batch.column("words")):
-                keys.append(hash_pairs(np.frombuffer(words.as_py(), np.uint32)))
-                toxic.append(np.full(len(keys[-1]), bool(label.as_py())))
-                held += len(keys[-1])
+            for label, out, words in zip(*(batch.column(c) for c in ("toxic", "left_out", "words"))):
+                keys = hash_pairs(np.frombuffer(words.as_py(), np.uint32))
+                parts.append((keys, np.full(len(keys), bool(label.as_py())),
+                              np.full(len(keys), bool(out.as_py()))))
+                held += len(keys)
                 if held > 1 << 21:
-                    yield counted(np.concatenate(keys), np.concatenate(toxic))
-                    keys, toxic, held = [], [], 0
-        if keys:
-            yield counted(np.concatenate(keys), np.concatenate(toxic))
+                    yield counted(*map(np.concatenate, zip(*parts)))
+                    parts, held = [], 0
+        if parts:
+            yield counted(*map(np.concatenate, zip(*parts)))
 
-    return (tokens.mapInArrow(run, "key long, toxic long, ordinary long")
-            .groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
+    return (tokens.mapInArrow(run, ", ".join(f"{c} long" for c in ("key", *COUNTS)))
+            .groupBy("key").agg(*(F.sum(c).alias(c) for c in COUNTS)))
 
 
 def cutoff(totals, most, least=1):
@@ -176,14 +180,14 @@ class ClassModels:
         self.keys, self.seen_ratio = keys[order], ratio[order]
 
     def features(self, words):
-        """Log-likelihood ratios per word: of the pairs, of the words alone, of the best windows.
+        """Log-likelihood ratios per word: of the pairs, of the words alone, of the best windows of both.
 
-        In windows a word counts where it comes first in the text, so that repeating a word is no
+        In windows a word or pair counts where it comes first in the text, so that repeating it is no
         evidence; the last two features are the salient words, their number and their share.
         """
         n = len(words)
         if not n:
-            return np.zeros(4 + len(WINDOWS))
+            return np.zeros(4 + 2 * len(WINDOWS))
         index = word_index(self.vocabulary, words)
         before = np.append(0, np.where(index[:-1] == 0, -1, index[:-1]))
         single = self.own_ratio[index].astype(np.float64)
@@ -192,17 +196,20 @@ class ClassModels:
             key = before * (len(self.vocabulary) + 1) + index
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             ratio = np.where(self.keys[at] == key, self.seen_ratio[at], ratio)
-        first = np.zeros(n)
+        first = np.zeros((2, n))
         at = np.unique(index, return_index=True)[1]
-        first[at] = single[at]
-        salient = (first > SALIENT).sum()
-        sums = np.append(0.0, np.cumsum(first))
+        first[0, at] = single[at]
+        at = np.unique(before * (len(self.vocabulary) + 1) + index, return_index=True)[1]
+        first[1, at] = ratio[at]
+        salient = (first[0] > SALIENT).sum()
         best = []
-        for window in WINDOWS:
-            # Windows overlap by half; a shorter text is one window that counts in proportion.
-            starts = np.arange(0, max(n - window // 2, 1), max(window // 2, 1))
-            ends = np.minimum(starts + window, n)
-            best.append(((sums[ends] - sums[starts]) / window).max())
+        for values in first:
+            sums = np.append(0.0, np.cumsum(values))
+            for window in WINDOWS:
+                # Windows overlap by half; a shorter text is one window that counts in proportion.
+                starts = np.arange(0, max(n - window // 2, 1), max(window // 2, 1))
+                ends = np.minimum(starts + window, n)
+                best.append(((sums[ends] - sums[starts]) / window).max())
         return np.array([ratio.mean(), single.mean(), *best, np.log1p(salient), salient / n])
 
     def fit_curve(self, rows, labels):
@@ -248,12 +255,8 @@ def labelled_words(docs, labels, learnable=None, id_col="doc_id", text_col="text
             .select("doc_id", "toxic", packed("text").alias("words")))
 
 
-def _models(tokens, share, max_words=None, max_pairs=None):
-    """Both models counted over all rows of tokens, without a curve."""
-    spark = tokens.sparkSession
-    folder = new_folder(spark, "pairs")
-    _totals(tokens).write.parquet(folder)
-    pairs = spark.read.parquet(folder)
+def _models(pairs, share, max_words=None, max_pairs=None):
+    """Both models from the totals of all pairs, without a curve."""
     both = ("toxic", "ordinary")
     count = F.col("toxic") + F.col("ordinary")
     once = pairs.agg(
@@ -282,15 +285,29 @@ def _models(tokens, share, max_words=None, max_pairs=None):
 
 def fit(docs, labels, learnable=None, max_words=None, max_pairs=None, id_col="doc_id",
         text_col="text"):
-    """Both models counted over all labelled documents that may be learned from, with the curve."""
+    """Both models counted over all labelled documents that may be learned from, with the curve.
+
+    The curve is fitted on models that leave out the documents it is fitted on; those that are kept
+    count them as well.
+    """
     tokens = checkpointed(labelled_words(docs, labels, learnable, id_col, text_col))
+    share = tokens.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
+    order = F.xxhash64(F.lit(13), "doc_id")
     for_curve = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(CURVE_SHARE)) == 0
-    share = tokens.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
-    models = _models(tokens.where(~for_curve), share or 0.0, max_words, max_pairs)
-    sample = (tokens.where(for_curve).orderBy(F.xxhash64(F.lit(13), "doc_id"), "doc_id", "words")
-              .limit(CURVE_SAMPLE))
+    sample = tokens.where(for_curve).orderBy(order, "doc_id", "words").limit(CURVE_SAMPLE)
+    # Rows of one id are left out together, whether or not all of them are in the sample.
+    last = sample.agg(F.max(order)).first()[0]
+    left_out = F.lit(False) if last is None else for_curve & (order <= last)
+    folder = new_folder(docs.sparkSession, "pairs")
+    _totals(tokens.withColumn("left_out", left_out)).write.parquet(folder)
+    totals = docs.sparkSession.read.parquet(folder)
+    models = _models(totals, share, max_words, max_pairs)
+    if last is None:
+        return models
+    rest = totals.select("key", *((F.col(c) - F.col(f"{c}_out")).alias(c) for c in ("toxic", "ordinary")))
+    without = _models(rest.where("toxic + ordinary > 0"), share, max_words, max_pairs)
     # The features are made in the tasks; at most CURVE_SAMPLE short rows come back.
-    held = docs.sparkSession.sparkContext.broadcast(models)
+    held = docs.sparkSession.sparkContext.broadcast(without)
 
     @F.pandas_udf("array<double>")
     def features(words: pd.Series) -> pd.Series:
@@ -298,6 +315,7 @@ def fit(docs, labels, learnable=None, max_words=None, max_pairs=None, id_col="do
 
     rows = sample.select("doc_id", "toxic", features("words").alias("x")).collect()
     rows.sort(key=lambda r: (r.doc_id, r.x))
+    held.destroy()
     return models.fit_curve([r.x for r in rows], [r.toxic for r in rows])
 
 

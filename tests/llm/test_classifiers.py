@@ -171,3 +171,24 @@ def test_words_and_pairs_have_no_cap(spark):
     marks = labels(spark, [(n, 1, n // 3 % 2) for n, _ in rows])
     models = toxicity.fit(docs, marks)
     assert len(models.vocabulary) > 1 << 17 and len(models.keys) > 1 << 17
+
+
+def test_counts_cover_every_label(spark):
+    rows = [(n, f"{'own' + str(n)} " * 12 + words(20, n)) for n in range(60)]
+    models = toxicity.fit(documents(spark, rows), labels(spark, [(n, 1, n % 2) for n, _ in rows]))
+    index = toxicity.word_index(models.vocabulary, toxicity.word_hashes(" ".join(f"own{n}" for n in range(60))))
+    assert (index > 0).all() and models.curve is not None
+
+
+def test_words_are_rare_by_occurrences_and_pairs_count_in_windows(spark):
+    rows = [(n, f"{words(6, n)} {'sour' if n % 2 else 'ripe'} {'apple' if n % 4 < 2 else 'melon'} "
+                f"{'kiwi' if n % 4 in (0, 3) else 'plum'} ") for n in range(80)]
+    models = toxicity.fit(documents(spark, [(n, t * 3) for n, t in rows]),
+                          labels(spark, [(n, 1, n % 2) for n, _ in rows]))
+    at = {w: int(toxicity.word_index(models.vocabulary, toxicity.word_hashes(w))[0]) for w in ("melon", "sour")}
+    assert min(at.values()) > 0
+    other = models.features(toxicity.word_hashes("melon sour"))
+    pair = models.features(toxicity.word_hashes("sour melon"))
+    singles = len(toxicity.WINDOWS)
+    assert np.allclose(other[2:2 + singles], pair[2:2 + singles])
+    assert not np.allclose(other[2 + singles:-2], pair[2 + singles:-2])
