@@ -9,8 +9,9 @@ words is a repeated span; shorter ones (common phrases, single lines) are left a
 repetitions within a document. Every distinct chunk stays somewhere.
 
 Spans count characters; when they are taken out, no word is cut if there is white space in them. Null
-text counts as empty. Rows with the same id count as one document; rows that repeat an id with its
-text have their spans once. A null id is never an original if another document has the chunk.
+text counts as empty. Rows with the same id count as one document, whose texts are told apart by a
+64-bit hash; rows that repeat an id with its text have their spans once. Every row with a null id is a
+document of its own, and an original only of chunks that no document with an id has.
 Documents without a repeated span have no row; an empty table gives an empty result.
 """
 import hashlib
@@ -22,16 +23,18 @@ import xxhash
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import apart, id_and_text
+from ..staging import checkpointed
+from .common import apart
 
 #: A chunk ends with probability 1 / CUT_EVERY at each byte beyond the least length.
 CUT_EVERY = 24
 LEAST, MOST = 12, 256
 MIN_WORDS = 16
 _WINDOW = 32
-#: Chunks that a text may have; place = TEXTS * hash of the text + number of the chunk.
-TEXTS = 1 << 40
 _ROWS = 1 << 15
+#: Parts of an extent; length and words are at most MOST.
+START, LENGTH, WORDS = ("cast(shiftright(extent, 18) as int)", "(shiftright(extent, 9) & 511)",
+                        "cast(extent & 511 as int)")
 _EDGE_SPACE = re.compile(r"\s")
 
 _GEAR = np.array([int.from_bytes(hashlib.blake2b(bytes([b]), digest_size=4).digest(), "little")
@@ -72,13 +75,12 @@ def chunk_ends(data, cut_every=CUT_EVERY, least=LEAST, most=MOST):
 
 
 def chunks(docs, id_col="doc_id", text_col="text"):
-    """Chunks of every document: doc_id, place, start and length (in characters), words, d1, d2.
+    """Chunks of every document: doc_id, text_number, extent, d1, d2.
 
-    place numbers the chunks of a text from TEXTS times a hash of it, so that texts that share an
-    id are told apart.
+    extent has start and length (in characters) and words in one number, see START, LENGTH and WORDS.
     """
-    rows = id_and_text(docs, id_col, text_col)
-    rows = rows.withColumn("text_number", text_number(F.col("text")))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col("__text_number").alias("text_number"),
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def of_text(text):
@@ -113,43 +115,60 @@ def chunks(docs, id_col="doc_id", text_col="text"):
         document = np.repeat(np.arange(len(out)), sizes)
         digests = np.concatenate(digests)
         columns = [
-            np.concatenate([n * TEXTS + np.arange(s) for n, s in zip(numbers, sizes)]),
-            np.concatenate([c[:-1] for c in chars]).astype(np.int32),
-            np.concatenate([np.diff(c) for c in chars]).astype(np.int32),
-            np.concatenate(words).astype(np.int32),
+            np.array(numbers, np.int64)[document],
+            np.concatenate([c[:-1].astype(np.int64) << 18 | np.diff(c) << 9 | w
+                            for c, w in zip(chars, words)]),
             np.ascontiguousarray(digests[:, 0]), digests[:, 1].astype(np.int32)]
         return pa.RecordBatch.from_arrays(
             [pa.array(ids, kind).take(pa.array(document)), *map(pa.array, columns)],
-            ["doc_id", "place", "start", "length", "words", "d1", "d2"])
+            ["doc_id", "text_number", "extent", "d1", "d2"])
 
-    return rows.mapInArrow(run, f"doc_id {id_type}, place long, start int, length int, words int, "
-                                "d1 long, d2 int")
+    return rows.mapInArrow(run, f"doc_id {id_type}, text_number long, extent long, d1 long, d2 int")
 
 
-def text_number(text):
-    """A small hash of the text, only to tell apart texts that share an id."""
-    return F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(1 << 16))
+def numbered(docs, id_col="doc_id", text_col="text"):
+    """The rows with __text_number, which tells apart the texts of an id: a hash of the text.
+
+    A row without an id is a document of its own and has the number of its place. Places are not the same
+    whenever rows are read again, so these rows are kept.
+    """
+    nameless = (docs.where(F.col(id_col).isNull())
+                .withColumn("__text_number", F.monotonically_increasing_id()))
+    named = docs.withColumn("__text_number", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    if nameless.isEmpty():
+        return named
+    return named.where(F.col(id_col).isNotNull()).unionByName(checkpointed(nameless))
 
 
 def repeated_spans(docs, min_words=MIN_WORDS, id_col="doc_id", text_col="text"):
     """Spans to remove: doc_id, text_number, start, end, words, first_id, first_ids.
 
-    first_id is the smallest of the documents that hold the originals, first_ids has all of them.
+    first_id is the smallest of the documents that hold the originals, first_ids has all of them; an
+    original without an id is null in the one and missing in the other.
     """
-    parts = chunks(docs, id_col, text_col)
+    return _spans(numbered(docs, id_col, text_col), min_words, id_col, text_col)
+
+
+def _spans(rows, min_words, id_col, text_col):
+    parts = chunks(rows, id_col, text_col)
     # Numeric minima are summed up before the shuffle, however often a chunk occurs.
+    place = F.when(F.col("doc_id").isNull(), F.col("text_number"))
     first = (parts.groupBy("d1", "d2").agg(
         F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"),
-        F.max(F.col("doc_id").isNull().cast("int")).alias("nulls"))
-        .where("last_id > first_id OR nulls = 1 AND first_id IS NOT NULL")
-        .select("d1", "d2", "first_id"))
-    repeated = (parts.join(apart(first), ["d1", "d2"]).where("NOT doc_id <=> first_id")
-                .select("doc_id", "place", "start", (F.col("start") + F.col("length")).alias("end"),
-                        "words", "first_id").distinct())
-    # Consecutive chunks have the same distance between their place and their rank.
-    order = Window.partitionBy("doc_id").orderBy("place")
-    return (repeated.withColumn("run", F.col("place") - F.row_number().over(order))
-            .groupBy("doc_id", F.expr(f"place div {TEXTS}").alias("text_number"), "run")
+        F.min(place).alias("first_place"), F.max(place).alias("last_place"))
+        .where("last_id > first_id OR first_id IS NOT NULL AND first_place IS NOT NULL "
+               "OR first_id IS NULL AND last_place > first_place")
+        .select("d1", "d2", "first_id", "first_place"))
+    repeated = (parts.join(apart(first), ["d1", "d2"])
+                .where("NOT doc_id <=> first_id OR doc_id IS NULL AND text_number <> first_place")
+                .select("doc_id", "text_number", F.expr(START).alias("start"),
+                        F.expr(f"{START} + {LENGTH}").cast("int").alias("end"),
+                        F.expr(WORDS).alias("words"), "first_id").distinct())
+    # Of consecutive chunks the start less the length of all before is the same.
+    order = (Window.partitionBy("doc_id", "text_number").orderBy("start")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (repeated.withColumn("run", F.col("end") - F.sum(F.col("end") - F.col("start")).over(order))
+            .groupBy("doc_id", "text_number", "run")
             .agg(F.min("start").alias("start"), F.max("end").alias("end"),
                  F.sum("words").alias("words"), F.min("first_id").alias("first_id"),
                  F.array_sort(F.collect_set("first_id")).alias("first_ids"))
@@ -178,17 +197,17 @@ def remove_repeats(docs, min_words=MIN_WORDS, id_col="doc_id", text_col="text"):
 
     Null texts stay null.
     """
-    spans = (repeated_spans(docs, min_words, id_col, text_col)
+    rows = numbered(docs, id_col, text_col)
+    spans = (_spans(rows, min_words, id_col, text_col)
              .groupBy(F.col("doc_id").alias("__id"), F.col("text_number").alias("__number"))
              .agg(F.collect_list(F.struct("start", "end")).alias("__spans")))
-    numbered = docs.withColumn("__own_number", text_number(F.col(text_col)))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own_number") == F.col("__number"))
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text_number") == F.col("__number"))
 
     @F.udf("string", useArrow=True)
     def cleaned(text, found):
         return without(text, [(s["start"], s["end"]) for s in found]) if found else text
 
-    return (numbered.join(spans, same, "left")
+    return (rows.join(spans, same, "left")
             .withColumn(text_col, cleaned(text_col, "__spans")).select(docs.columns))
 
 

@@ -94,3 +94,26 @@ def test_spans_by_brute_force(spark, sf_dir):
         want |= {(i, *p) for p in places}
     got = {(r.doc_id, r.start, r.length) for r in sd.op2_substring_dedup(spark, sf_dir).collect()}
     assert got == want
+
+
+def test_texts_of_one_id_are_told_apart(spark):
+    """Of 700 texts of an id some have equal 16-bit hashes; each has a passage of document 1 elsewhere."""
+    passage = words(60, 1)
+    texts = [f"{words(20 + i % 90, 1000 + i)} {passage} {words(12, 5000 + i)}" for i in range(700)]
+    docs = documents(spark, [(1, passage), *((2, t) for t in texts)])
+    spans = sd.repeated_spans(docs).collect()
+    assert len({r.text_number for r in spans}) == len(texts) == len(spans)
+    kept = [r.text.split() for r in sd.remove_repeats(docs).where("doc_id = 2").collect()]
+    own = [{*t.split()} - {*passage.split()} for t in texts]
+    assert sorted(map(sorted, ({*k} - {*passage.split()} for k in kept))) == sorted(map(sorted, own))
+    assert sum(map(len, kept)) < sum(len(t.split()) for t in texts) - sd.MIN_WORDS * len(texts)
+
+
+def test_rows_without_id_are_documents(spark):
+    passage, whole = words(60, 1), words(80, 2)
+    rows = [(None, f"{words(30, 3)} {passage}"), (None, f"{passage} {words(30, 4)}"), (None, whole), (None, whole)]
+    docs = documents(spark, rows)
+    assert sum(r.first_id is None for r in sd.repeated_spans(docs).collect()) == 2
+    texts = [r.text for r in sd.remove_repeats(docs).collect()]
+    assert len(texts) == 4 and texts.count(whole) == 1 and "" in texts
+    assert sorted(len(t.split()) > 80 for t in texts if t not in ("", whole)) == [False, True]
