@@ -1,14 +1,16 @@
 """Licence scan by canonical digests.
 
 An entire text is brought to a canonical form and looked up among the digests of known licences:
-copyright lines go, case goes, white space and ASCII punctuation go, and spellings that count as the
+copyright statements go, case goes, white space and punctuation go, and spellings that count as the
 same word are made one. A document is looked up as a whole, and so is each of its lines, since a
 notice is a text of one line. The catalogue is checked to be small and broadcast; nothing is shuffled.
 
 Null and empty texts, and units whose canonical form is empty, match nothing. A result row is one
 match: line 0 is the whole text. Repeated documents match each. Null ids are kept.
 """
+import re
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -55,6 +57,33 @@ FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE
 ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""],
 }
 
+_CLAUSE_3 = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+             "endorse or promote products derived from this software without specific prior written "
+             "permission.")
+
+
+def _variants(text):
+    """The text with and without its first paragraph (the title), and with and without its appendix."""
+    whole = [text]
+    if (end := re.search(r"END OF TERMS AND CONDITIONS", text)):
+        whole += [text[:end.start()], text[:end.end()]]
+    return [v for t in whole for v in (t, t.strip().partition("\n\n")[2])]
+
+
+def full_texts():
+    """Entire licences of the folder licence_texts, in their usual variants."""
+    known = {f.stem: f.read_text("utf-8") for f in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))}
+    bsd = known["BSD-2-Clause"]
+    known["BSD-3-Clause"] = bsd.replace("THIS SOFTWARE IS", f"{_CLAUSE_3}\n\nTHIS SOFTWARE IS", 1)
+    texts = {name: _variants(text) for name, text in known.items()}
+    for name in ("BSD-2-Clause", "BSD-3-Clause"):
+        body = known[name][known[name].index("Redistribution and use"):]
+        texts[name] += [body, f"All rights reserved.\n{body}"]
+    for name in ("MIT", "ISC"):
+        texts[name] = [v for t in KNOWN[name] for v in _variants(t)]
+    return texts
+
+
 # Spellings that count as the same, second becomes first, without spaces.
 SPELLINGS = [
     ("license", "licence"), ("licensed", "licenced"), ("sublicense", "sub-license"),
@@ -64,16 +93,21 @@ SPELLINGS = [
 ]
 
 
+#: A copyright mark followed by (c), a year or a placeholder; the sign alone is enough.
+STATEMENT = (r"(?md)^[ \t#*/;!-]*(?:©|copyright[ \t:]*(?:\(c\)|©|[0-9]{4}|[<\[{])"
+             r"|\(c\)[ \t]*(?:copyright|[0-9]{4}|[<\[{]))[^\n]*")
+
+
 def canonical(text):
     """The canonical form of a text column."""
     lowered = F.lower(text)
-    # Lines that begin with a copyright mark; (?d) lets lines end with a line feed only. Most texts
+    # Lines that are a copyright statement; (?d) lets lines end with a line feed only. Most texts
     # hold no such mark at all and are spared the search.
     marked = lowered.contains("copyright") | lowered.contains("(c)") | lowered.contains("©")
     kept = F.when(marked, F.regexp_replace(
-        lowered, r"(?md)^[ \t]*(?:copyright|\(c\)|©)[^\n]*", "")).otherwise(lowered)
+        lowered, STATEMENT, "")).otherwise(lowered)
     spelt = F.replace(kept, F.lit("&"), F.lit("and"))
-    bare = F.regexp_replace(spelt, r"[\x00-/:-@\[-`{-\x7f]+", "")
+    bare = F.regexp_replace(spelt, r"[\x00-/:-@\[-`{-\x7f\p{P}\p{Z}\p{Cf}]+", "")
     for one, other in [(_bare(a), _bare(b)) for a, b in SPELLINGS]:
         bare = F.replace(bare, F.lit(other), F.lit(one))
     return bare
@@ -90,7 +124,9 @@ def digest(text):
 
 def catalogue(spark, known=None):
     """(digest, license) of the known texts, each digest once (the first name by order)."""
-    known = KNOWN if known is None else known
+    if known is None:
+        full = full_texts()
+        known = {name: KNOWN.get(name, []) + full.get(name, []) for name in {**KNOWN, **full}}
     names = [(name, text) for name, texts in known.items() for text in texts]
     if len(names) > MAX_CATALOGUE:
         raise ValueError(f"the catalogue may hold {MAX_CATALOGUE} texts, it has {len(names)}")

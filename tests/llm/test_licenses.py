@@ -20,3 +20,13 @@ def test_own_catalogue(spark):
     assert [(r.license) for r in licenses.catalogue(spark, known).collect()] == ["A"]
     got = licenses.scan(documents(spark, [(1, "My, own, terms")]), known).collect()
     assert sorted((r.line, r.license) for r in got) == [(0, "A"), (1, "A")]
+
+
+def test_full_texts_rewrapped_and_quoted(spark):
+    full = licenses.full_texts()
+    mit = licenses.KNOWN["MIT"][0]
+    wrapped = mit.replace("AUTHORS OR COPYRIGHT HOLDERS", "AUTHORS OR\nCOPYRIGHT HOLDERS")
+    rows = [(1, wrapped), (2, mit.replace('"', "\u201d")), (3, mit.partition("\n\n")[2])]
+    rows += [(10 + n, " \n".join(full[name][0].split("\n"))) for n, name in enumerate(sorted(full))]
+    got = {r.doc_id: r.license for r in licenses.scan(documents(spark, rows)).where("line = 0").collect()}
+    assert got == {1: "MIT", 2: "MIT", 3: "MIT", **{10 + n: name for n, name in enumerate(sorted(full))}}
