@@ -30,6 +30,8 @@ GROUP_CHARS = 1 << 19
 
 # Control characters that Python's split() takes for white space and the tokenizer does not.
 _NOT_SPACE = "\x1c\x1d\x1e\x1f"
+#: What the tokenizer drops between words: the only places where a long text may be cut.
+_DROPPED = re.compile(r"[^\S\x1c-\x1f]")
 _NO_RANK = np.iinfo(np.int64).max
 
 
@@ -187,7 +189,7 @@ class Encoder:
             if len(text) > GROUP_CHARS:
                 yield from self.encode_words(group)
                 group, chars = [], 0
-                yield b"".join(self.encode_words([self.words_of(b)])[0] for b in blocks(text))
+                yield b"".join(self.encode_words([self.words_of(b)])[0] for b in blocks(text, space=_DROPPED))
                 continue
             group.append(self.words_of(text))
             chars += len(text)

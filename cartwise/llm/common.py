@@ -4,6 +4,8 @@ import re
 from pyspark.sql import functions as F
 
 _SPACE = re.compile(r"\s")
+#: White space where a contract means ASCII white space only.
+ASCII_SPACE = re.compile(r"[\x20\x09-\x0D]")
 
 
 def id_and_text(docs, id_col="doc_id", text_col="text"):
@@ -21,15 +23,15 @@ def apart(totals):
     return totals.hint("rebalance")
 
 
-def blocks(text, size=1 << 19):
+def blocks(text, size=1 << 19, space=_SPACE):
     """The text in parts of about `size` characters, cut before white space only.
 
-    Bounds the memory of what is derived from a very long text. A run without any white
-    space is never cut.
+    Bounds the memory of what is derived from a very long text. `space` is what separates words
+    for the caller; a run without any is never cut.
     """
     start = 0
     while len(text) - start > size:
-        cut = _SPACE.search(text, start + size)
+        cut = space.search(text, start + size)
         if cut is None:
             break
         yield text[start:cut.start()]

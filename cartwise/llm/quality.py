@@ -8,12 +8,13 @@ from document labels alone which passages matter, and the weighted mean of the p
     score = sigmoid(c . sum(a h) + d)
 
 The model is fitted on the driver from the passages of a bounded sample of labelled documents
-(`sample`, by default 4,000, those with the lowest hash of their id); scoring runs in the tasks,
-document by document, long texts block by block.
+(`sample`, by default 4,000, those with the lowest hash of their id; of texts that share an id one, and
+of a text at most FIT_PASSAGES passages, spread evenly over it); scoring runs in the tasks, document by
+document and over all passages, long texts block by block.
 
 Null and empty texts are one passage of zeros and get its score. Labels that are null or belong to
 no document are not used; of repeated labels of a document the highest counts; repeated documents
-are scored each. Without any label every score is 0.5, with labels of one kind it is that label.
+are scored each and learned from once. Without any label every score is 0.5, with labels of one kind it is that label.
 """
 import numpy as np
 import pandas as pd
@@ -24,6 +25,8 @@ from .common import blocks, id_and_text
 SAMPLE = 4000
 THRESHOLD = 0.3
 PASSAGE_WORDS = 64
+#: Passages of a document that the fit looks at; with SAMPLE it bounds what the driver gets (some 150 MB).
+FIT_PASSAGES = 128
 HASHED = 64
 _KINDS = 8
 FEATURES = _KINDS + 5 + HASHED
@@ -74,6 +77,11 @@ def _block(text):
     return out.astype(np.float32)
 
 
+def spread(bag, most):
+    """At most `most` rows of the bag, at even distances."""
+    return bag if len(bag) <= most else bag[np.linspace(0, len(bag) - 1, most).round().astype(int)]
+
+
 class AttentionModel:
     """Gated attention over bags of passages, fitted with Adam on the whole sample."""
 
@@ -166,10 +174,12 @@ def fit(docs, labels, learnable=None, sample=SAMPLE, id_col="doc_id", text_col="
 
     @F.pandas_udf("binary")
     def encoded(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: passages(t).tobytes())
+        return texts.map(lambda t: spread(passages(t), FIT_PASSAGES).tobytes())
 
-    rows = (id_and_text(docs, id_col, text_col).join(chosen, "doc_id")
-            .select("doc_id", "label", encoded("text").alias("bag")).collect())
+    # However often an id occurs, one of its texts is learned from: the one with the smallest hash.
+    one = (id_and_text(docs, id_col, text_col).join(chosen, "doc_id").groupBy("doc_id", "label")
+           .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first")))
+    rows = one.select("doc_id", "label", encoded("first.text").alias("bag")).collect()
     rows.sort(key=lambda r: (r.doc_id, bytes(r.bag)))
     bags = [np.frombuffer(r.bag, np.float32).reshape(-1, FEATURES) for r in rows]
     return AttentionModel().fit(bags, [r.label for r in rows])

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ..staging import checkpointed
-from .common import apart, blocks, id_and_text
+from .common import ASCII_SPACE, apart, blocks, id_and_text
 from .components import components
 
 BITS = 64
@@ -46,7 +46,7 @@ def fingerprint(text, shingle=SHINGLE):
     """
     counts, total, carried = np.zeros(BITS, np.int64), 0, []
     digest = xxhash.xxh64_digest
-    for block in blocks(text):
+    for block in blocks(text, space=ASCII_SPACE):
         words = carried + block.encode().lower().split()
         if len(words) >= shingle:
             runs = zip(*(words[i:] for i in range(shingle)))

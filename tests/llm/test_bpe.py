@@ -37,6 +37,13 @@ def test_small_memory_and_long_texts(library):
     same(library, [long, "short", long[:1000]], bpe.Encoder(bpe.WORD_BPE, memory_words=50))
 
 
+@pytest.mark.parametrize("piece", ["!\x1c!", "!\x1f?", "aB\u00a0c!", "x\u0085y ", "a\u3000'b", "e\u2028\u0301", "日本\x1dé "])
+def test_long_texts_are_cut_only_where_the_tokenizer_cuts(library, piece):
+    text = piece * (bpe.GROUP_CHARS * 5 // 4 // len(piece))
+    assert len(text) > bpe.GROUP_CHARS
+    same(library, [text], bpe.Encoder(bpe.WORD_BPE))
+
+
 def test_rows(spark, library):
     rows = [(1, "Hello World"), (1, "Hello World"), (None, "x"), (3, None), (4, "")]
     got = bpe.encode(documents(spark, rows)).collect()

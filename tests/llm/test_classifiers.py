@@ -45,6 +45,39 @@ def test_gradient_is_that_of_differences():
         assert (values[0] - values[1]) / 2e-5 == pytest.approx(np.ravel(gradient[name])[i], abs=1e-6)
 
 
+def test_scores_by_the_formula_document_by_document():
+    """h = tanh(Wx + b), gated attention, weighted mean, score: one passage after another."""
+    own = np.random.RandomState(5)
+    bags = [own.rand(n, quality.FEATURES).astype(np.float32) for n in (1, 9, 2, 30, 5)]
+    model = quality.AttentionModel().fit(bags, [0, 1, 1, 0, 1], steps=20)
+    p = {k: np.asarray(v, float) for k, v in model.weights.items()}
+    for bag, got in zip(bags, model.scores(bags)):
+        hidden, strength = [], []
+        for passage in bag:
+            x = (passage - model.mean) / model.scale
+            h = np.tanh(p["W"].T @ x + p["b"])
+            hidden.append(h)
+            strength.append(p["w"] @ (np.tanh(p["V"].T @ h) / (1 + np.exp(-(p["U"].T @ h)))))
+        attention = np.exp(strength) / np.exp(strength).sum()
+        logit = p["c"] @ sum(a * h for a, h in zip(attention, hidden)) + p["d"] + model.offset
+        assert got == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-4)
+
+
+def test_a_repeated_id_is_learned_from_once(spark, monkeypatch):
+    rows = [(1, words(40, i)) for i in range(300)] + [(2, words(60_000)), (3, words(20))]
+    seen = []
+    plain = quality.AttentionModel.fit
+    monkeypatch.setattr(quality.AttentionModel, "fit",
+                        lambda self, bags, marks, **k: seen.append((bags, marks)) or plain(self, bags, marks, **k))
+    quality.fit(documents(spark, rows), labels(spark, [(1, 1, 0), (2, 0, 0), (3, 1, 0)]))
+    (bags, marks), = seen
+    assert len(bags) == 3 and sorted(marks) == [0, 1, 1]
+    assert max(map(len, bags)) == quality.FIT_PASSAGES
+    one = min((r.h, r.text) for r in documents(spark, rows).where("doc_id = 1")
+              .select(F.xxhash64("text").alias("h"), "text").collect())[1]
+    assert np.array_equal(bags[0], quality.passages(one))
+
+
 def test_passages_cover_the_whole_text():
     assert quality.passages("").shape == (1, quality.FEATURES) == quality.passages(" \n").shape
     assert len(quality.passages(words(1000))) == 16

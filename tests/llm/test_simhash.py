@@ -102,3 +102,11 @@ def test_whole_table(spark, sf_dir):
            for r in simhash.op6_simhash(spark, sf_dir).collect()}
     want = plain_components(fps)
     assert got == {i: (f, want[i]) for i, f in fps.items()}
+
+
+def test_long_texts_with_spaces_that_separate_no_words():
+    """Only ASCII white space separates words, also where a long text is cut."""
+    for piece in ("aB c!", "x\u0085　y ", "!\x1c!", "q  \x1f\n"):
+        text = " ".join([piece * (200_000 // len(piece))] * 4)
+        assert len(text) > 1 << 19
+        assert int.from_bytes(simhash.fingerprint(text), "big") == plain_fingerprint(text)
