@@ -44,12 +44,14 @@ def explain_riskiest(scores, attribution, n=1):
 
 
 def tree_leaves(model):
-    """Leaves of a fitted boosted-tree pipeline as arrays.
+    """Leaves of fitted boosted trees as arrays.
 
     For every leaf: its weighted value and, for each feature on its path, the interval that
     leads to it and the share of training rows that took those branches. The size depends on
     the model only: at most 2^depth leaves per tree.
     """
+    if hasattr(model, "leaves"):
+        return model.leaves()
     booster = model.stages[-1]
     leaves = []
 

@@ -5,12 +5,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Window, functions as F
+from pyspark.sql import SparkSession, Window, functions as F
 
 from ..schemas import FEATURE_COLUMNS, METRIC_LABELS
 from ..sources.files import union_parts
 from ..staging import checkpointed, run_together
-from . import metrics
+from . import boosting, metrics
 from .logistic import FrozenLogistic
 from .ranking import shuffled_place
 
@@ -84,6 +84,7 @@ def logistic_regression(rows, c=1.0, max_iter=1000):
 
 def boosted_trees(rounds=300, depth=3, step=0.05, row_share=0.8, column_share=0.8, seed=42,
                   checkpoint_interval=50):
+    """First-order boosted trees as a pipeline; make_models takes those of boosting.py."""
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol="features"),
         GBTClassifier(labelCol="churned", featuresCol="features", maxIter=rounds, maxDepth=depth,
@@ -93,11 +94,35 @@ def boosted_trees(rounds=300, depth=3, step=0.05, row_share=0.8, column_share=0.
     ])
 
 
+def estimated(estimator_for):
+    """Way to fit a pipeline: the full fit, and one for each fold, all at the same time.
+
+    estimator_for: function from the number of training rows to an unfitted estimator.
+    """
+    def fit(train, folds):
+        rows = train.count()
+        full, validated = run_together(train.sparkSession, lambda work: work(), [
+            lambda: estimator_for(rows).fit(train), lambda: out_of_fold(estimator_for, train, folds)])
+        return full, validated
+
+    return fit
+
+
+def boosted(settings=boosting.Settings()):
+    """Way to fit boosted trees: one run grows the trees of all folds and of the full fit."""
+    def fit(train, folds):
+        models, blocks = boosting.fit(train, settings, fold_column="fold", folds=folds)
+        return models[-1], boosting.out_of_fold(blocks, folds + 1)
+
+    return fit
+
+
 def make_models(rounds=300):
-    """Name -> function from the number of training rows to an unfitted estimator."""
+    """Name -> function of (training rows with their fold, folds) that gives the model fitted on all rows
+    and every row's probability by the model that did not see its fold."""
     return {
-        "logistic_regression": logistic_regression,
-        "boosted_trees": lambda rows: boosted_trees(rounds),
+        "logistic_regression": estimated(logistic_regression),
+        "boosted_trees": boosted(boosting.Settings(rounds=rounds)),
     }
 
 
@@ -113,7 +138,7 @@ def with_probability(model, features):
 
     The log-scaled logistic model is evaluated as column expressions, without a call per row.
     """
-    if isinstance(model, FrozenLogistic):
+    if isinstance(model, (FrozenLogistic, boosting.Trees)):
         return model.with_probability(features)
     if _is_log_logistic(model):
         return FrozenLogistic.from_fitted(model).with_probability(features)
@@ -163,12 +188,13 @@ def train_and_select(labelled, models=None, folds=FOLDS, seed=42):
     def named(scored, name):
         return scored.withColumn("model", F.lit(name))
 
-    fitted = dict(zip(models, run_together(spark, lambda m: models[m](rows).fit(train), models)))
+    both = dict(zip(models, run_together(spark, lambda m: models[m](train, folds), models)))
+    fitted = {name: model for name, (model, _) in both.items()}
     tested = union_parts([
         named(with_probability(model, test), name) for name, model in fitted.items()])
     validated = union_parts([
-        named(out_of_fold(estimator_for, train, folds), name)
-        for name, estimator_for in models.items()])
+        named(scored.select("fold", "churned", "churn_probability"), name)
+        for name, (_, scored) in both.items()])
     wide = metrics.compare_models(checkpointed(tested), checkpointed(validated), list(models))
     train.unpersist()
     return Training(fitted, wide, test)
@@ -181,6 +207,8 @@ def sized(df, rows):
 
 def parameters(model):
     """Parameters of the last stage of a fitted model, as text."""
+    if isinstance(model, boosting.Trees):
+        return model.parameters()
     stage = model.stages[-1]
     return {p.name: str(v) for p, v in stage.extractParamMap().items()}
 
@@ -199,8 +227,17 @@ def training_runs(training):
 
 
 def save_model(model, path):
-    model.write().overwrite().save(path)
+    spark, trees = SparkSession.active(), isinstance(model, boosting.Trees)
+    if trees:
+        model.save(spark, f"{path}/model")
+    else:
+        model.write().overwrite().save(f"{path}/model")
+    kind = spark.createDataFrame([("trees" if trees else "pipeline",)], "kind string")
+    kind.write.mode("overwrite").parquet(f"{path}/kind")
 
 
 def load_model(path):
-    return PipelineModel.load(path)
+    spark = SparkSession.active()
+    if spark.read.parquet(f"{path}/kind").first()["kind"] == "trees":
+        return boosting.Trees.load(spark, f"{path}/model")
+    return PipelineModel.load(f"{path}/model")

@@ -1,12 +1,11 @@
 """RFM profile, scaling, clustering and named segments."""
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Window, functions as F
 
 from ..functions.columns import exact_sum, ratio, round_half_even, round_total_half_even, sum_of
 from ..schemas import RFM_COLUMNS, SEGMENTS
-from ..staging import checkpointed, run_together
+from ..staging import checkpointed
+from . import clustering
 
 SCALED_COLUMNS = tuple(f"{c}_scaled" for c in RFM_COLUMNS)
 
@@ -77,40 +76,27 @@ def _vectors(df, columns=SCALED_COLUMNS):
 
 
 def fit_segments(scaled_rfm, k=4, n_init=10, seed=42, max_iter=300):
-    """Best of n_init KMeans runs by total squared distance.
+    """Best of n_init KMeans runs by total squared distance; all runs step together.
 
     A run stops once the centres move by less than 1e-4 in total squared distance.
-    The runs share one cached set of vectors. Pass a checkpointed table: a lost block is
-    then read again instead of being computed from the invoice lines.
     """
-    vectors = _vectors(scaled_rfm).persist()
-    try:
-        models = run_together(
-            scaled_rfm.sparkSession,
-            lambda i: KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=(1e-4 / k) ** 0.5,
-                             featuresCol="vector", predictionCol="cluster").fit(vectors),
-            range(n_init))
-    finally:
-        vectors.unpersist()
-    return min(models, key=lambda model: model.summary.trainingCost)
+    models, blocks = clustering.fit(scaled_rfm, [k], SCALED_COLUMNS, n_init, seed, max_iter)
+    blocks.unpersist()
+    return models[k]
 
 
 def choose_k(scaled_rfm, ks=range(2, 9), n_init=10, seed=42):
-    """(k, inertia, silhouette) for each k.
+    """(k, inertia, silhouette, silhouette_error) for each k, from one set of steps for all of them.
 
-    The silhouette uses squared Euclidean distances, which need one pass over the data;
-    the plain Euclidean one needs all pairs of rows.
+    The silhouette is the plain Euclidean one; the mean over all pairs is within the error.
     """
-    spark = scaled_rfm.sparkSession
-    customers = checkpointed(scaled_rfm)
-    silhouette = ClusteringEvaluator(featuresCol="vector", predictionCol="cluster",
-                                     metricName="silhouette")
-    rows = []
-    for k in ks:
-        model = fit_segments(customers, k, n_init, seed)
-        labelled = model.transform(_vectors(customers))
-        rows.append((k, float(model.summary.trainingCost), float(silhouette.evaluate(labelled))))
-    return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
+    customers, ks = checkpointed(scaled_rfm), list(ks)
+    models, blocks = clustering.fit(customers, ks, SCALED_COLUMNS, n_init, seed)
+    found = clustering.silhouettes(customers, blocks, [models[k].centres for k in ks], SCALED_COLUMNS)
+    blocks.unpersist()
+    rows = [(k, float(models[k].cost), *map(float, s)) for k, s in zip(ks, found)]
+    return scaled_rfm.sparkSession.createDataFrame(
+        rows, "k int, inertia double, silhouette double, silhouette_error double")
 
 
 def cluster_profile(clustered):
@@ -159,7 +145,7 @@ def segment_rfm(customers, k=4, n_init=10, seed=42):
     """Scaling, clustering and naming of a table of RFM values."""
     customers = checkpointed(scale_features(customers))
     model = fit_segments(customers, k, n_init, seed)
-    return assign_segments(model.transform(_vectors(customers)).drop("vector"))
+    return assign_segments(model.transform(customers))
 
 
 def segment_summary(segments):

@@ -51,7 +51,7 @@ def train(spark, model_path, table="raw_transactions", home_country=HOME_COUNTRY
 
 def attribution(model, rows):
     """Attribution by the kind of the fitted model."""
-    if hasattr(model.stages[-1], "trees"):
+    if hasattr(model, "leaves") or hasattr(model.stages[-1], "trees"):
         return explain.tree_attribution(rows, explain.tree_leaves(model))
     return explain.linear_attribution(rows, FrozenLogistic.from_fitted(model))
 

@@ -1,4 +1,5 @@
 """Plain SQL for the registered queries, to check them on the same tables in another engine."""
+from ..operators import boosting
 from ..schemas import (EXCLUDED_CODES, FEATURE_COLUMNS, FEATURE_LABELS, METRIC_LABELS, MODEL_LABELS,
                        RFM_COLUMNS, RISK_LEVELS, SEGMENTS, SPANISH)
 from . import frozen
@@ -308,6 +309,90 @@ _IMPORTANCE = "SELECT feature, avg(abs(phi)) AS m FROM attribution GROUP BY feat
 _SEGMENT_TOTALS = "(SELECT count(*) FROM customer_segments)", "(SELECT sum(monetary) FROM customer_segments)"
 
 
+_POINTS = (f"points AS (SELECT customer_id, " + ", ".join(
+    f"{_z(c, frozen.RFM_MEANS, frozen.RFM_STDS)} AS {c}" for c in RFM_COLUMNS) + " FROM rfm)")
+
+
+def _squared(a, b):
+    return " + ".join(f"power({a}.{c} - {b}.{c}, 2)" for c in RFM_COLUMNS)
+
+
+ASSIGNED = """centres AS (SELECT * FROM (VALUES {values}) v(k, cluster, {columns})),
+assigned AS (
+  SELECT c.k, c.cluster, p.*, {squared} AS near FROM points p CROSS JOIN centres c
+  QUALIFY row_number() OVER (PARTITION BY c.k, p.customer_id ORDER BY near, c.cluster) = 1)""".format(
+    values=", ".join(f"({k}, {i}, {', '.join(f'{x!r}::DOUBLE' for x in frozen.CENTRES[i])})"
+                     for k in (2, 3, 4) for i in range(k)),
+    columns=", ".join(RFM_COLUMNS), squared=_squared("p", "c"))
+
+_STEP = """SELECT c.k, c.cluster, count(a.customer_id) AS customers, {means},
+  (SELECT round(sum(near), 3) FROM assigned b WHERE b.k = c.k) AS cost
+FROM centres c LEFT JOIN assigned a ON a.k = c.k AND a.cluster = c.cluster
+GROUP BY c.k, c.cluster""".format(means=", ".join(
+    f"round(coalesce(avg(a.{c}), any_value(c.{c})), 5) AS {c}" for c in RFM_COLUMNS))
+
+_SILHOUETTE = f"""SELECT k, round(avg(CASE WHEN inside IS NULL OR outside IS NULL THEN 0
+    WHEN greatest(inside, outside) = 0 THEN 0 ELSE (outside - inside) / greatest(inside, outside) END), 2)
+  AS silhouette, true AS close
+FROM (
+  SELECT k, customer_id, max(total / nullif(n - 1, 0)) FILTER (own) AS inside, min(total / n) FILTER (NOT own) AS outside
+  FROM (SELECT a.k, a.customer_id, a.cluster = b.cluster AS own, count(*) AS n,
+               sum(sqrt({_squared("a", "b")})) AS total
+        FROM assigned a JOIN assigned b ON a.k = b.k GROUP BY a.k, a.customer_id, a.cluster, b.cluster)
+  GROUP BY k, customer_id)
+GROUP BY k"""
+
+
+def boosting_round():
+    """(ctes, body): one tree over training_set with the draws of the first round, level by level."""
+    settings = boosting.Settings(rounds=1)
+    draws = boosting.Draws(settings, len(FEATURE_COLUMNS))
+    (chosen, a, b), = draws.rounds
+    columns = [FEATURE_COLUMNS[i] for i in chosen]
+    steps = ", ".join(repr(i / settings.bins) for i in range(1, settings.bins))
+    unit = f"{1 << boosting.UNIT_BITS}.0::DOUBLE"
+    ctes = [
+        "edges AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY edge) - 1 AS cut FROM ("
+        + " UNION ".join(f"SELECT {text(c)} AS feature, {i} AS place, "
+                         f"unnest(quantile_disc({c}::DOUBLE, [{steps}])) AS edge FROM training_set"
+                         for i, c in enumerate(columns)) + "))",
+        "share AS (SELECT 1 / (1 + exp(-ln(sum(churned) / (count(*) - sum(churned))))) AS p FROM training_set)",
+        f"""n0 AS (SELECT t.*, 0 AS node, round((p - churned) * {unit})::BIGINT AS g,
+          round(p * (1 - p) * {unit})::BIGINT AS h FROM training_set t, share
+          WHERE ({a} * (('0x' || substr(md5(customer_id::VARCHAR), 1, 8))::BIGINT % {boosting.PRIME}) + {b})
+                % {boosting.PRIME} < {draws.below})"""]
+    out = []
+    for level in range(settings.depth + 1):
+        ctes.append(f"t{level} AS (SELECT node, sum(g) AS g, sum(h) AS h FROM n{level} GROUP BY node)")
+        out.append(f"SELECT t.node, b.feature, b.edge, b.gain, t.g / {unit} AS g, t.h / {unit} AS h FROM t{level} t "
+                   + (f"LEFT JOIN b{level} b ON b.node = t.node" if level < settings.depth else
+                      "LEFT JOIN (SELECT NULL::VARCHAR AS feature, NULL::DOUBLE AS edge, NULL::DOUBLE AS gain) b ON true"))
+        if level == settings.depth:
+            break
+        values = " UNION ALL ".join(f"SELECT node, {text(c)} AS feature, {c}::DOUBLE AS x, g, h FROM n{level}"
+                                    for c in columns)
+        ctes += [
+            f"""c{level} AS (SELECT node, feature, place, cut, edge,
+                sum(CASE WHEN x <= edge THEN g ELSE 0 END) AS gl, sum(CASE WHEN x <= edge THEN h ELSE 0 END) AS hl
+                FROM ({values}) JOIN edges USING (feature) GROUP BY ALL)""",
+            f"""s{level} AS (SELECT c.node, feature, place, cut, edge, gl / {unit} AS gl, hl / {unit} AS hl,
+                (t.g - gl) / {unit} AS gr, (t.h - hl) / {unit} AS hr, t.g / {unit} AS g, t.h / {unit} AS h
+                FROM c{level} c JOIN t{level} t ON t.node = c.node)""",
+            f"""b{level} AS (SELECT * FROM (
+                  SELECT *, gl * gl / (hl + {settings.penalty}) + gr * gr / (hr + {settings.penalty})
+                            - g * g / (h + {settings.penalty}) AS gain
+                  FROM s{level} WHERE hl >= {settings.least_weight} AND hr >= {settings.least_weight}
+                  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, place, cut) = 1)
+                WHERE gain > 1e-6)""",
+            f"""n{level + 1} AS (SELECT n.* REPLACE (2 * n.node + 1 + CASE WHEN CASE b.feature
+                {" ".join(f"WHEN {text(c)} THEN n.{c}::DOUBLE" for c in columns)} END <= b.edge THEN 0 ELSE 1 END
+                AS node) FROM n{level} n JOIN b{level} b ON b.node = n.node)"""]
+    body = f"""SELECT node::INTEGER AS node, feature, round(edge, 4) AS threshold,
+      round(-g / (h + {settings.penalty}) * {settings.rate}, 7) AS value, round(h, 4) AS cover,
+      round(coalesce(gain, 0), 4) AS gain FROM ({" UNION ALL ".join(out)})"""
+    return [*TRAINING, *ctes], body
+
+
 def _tenths(value):
     """Half-even rounding to one digit in decimal arithmetic: 0.25 -> 0.2, 0.35 -> 0.4.
 
@@ -393,6 +478,9 @@ ORACLE = {name: _query(ctes, body) for name, (ctes, body) in {
     "churn_labels": ([*AT_CUTOFF, LABELLED], """SELECT f.customer_id,
       CAST(CASE WHEN l.customer_id IS NULL THEN 1 ELSE 0 END AS INTEGER) AS churned
       FROM features f LEFT JOIN later l ON l.customer_id = f.customer_id"""),
+    "kmeans_step": ([*BASE, RFM, _POINTS, ASSIGNED], _STEP),
+    "silhouette": ([*BASE, RFM, _POINTS, ASSIGNED], _SILHOUETTE),
+    "boosting_round": boosting_round(),
     "training_set": (TRAINING, f"SELECT {_FEATURES_OUT}, churned FROM training_set"),
     "churn_rate": (TRAINING, """SELECT count(*) AS customers, round(avg(churned), 6) AS churn_rate
       FROM training_set"""),

@@ -4,12 +4,13 @@ Each one starts from the whole tables. Sums of doubles are rounded here, and onl
 because their last digits depend on the order of summation.
 """
 import uuid
-from functools import cached_property, lru_cache
+from functools import cached_property
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_time
-from ..operators import (cleaning, explain, exploration, features, metrics, modeling, reporting,
+from ..operators import (boosting, cleaning, clustering, explain, exploration, features, metrics, modeling, reporting,
                          scoring, segments)
 from ..schemas import COLUMN_NAMES, FEATURE_COLUMNS, RFM_COLUMNS, SPANISH
 from ..sources import files, retail_view
@@ -27,10 +28,9 @@ class Retail:
     All of them are lazy except the two dates, which are read once when first used.
     """
 
-    def __init__(self, raw, folder=None):
+    def __init__(self, raw):
         self.spark = raw.sparkSession
         self.raw = raw
-        self.folder = folder
 
     @cached_property
     def clean(self):
@@ -133,10 +133,7 @@ class Retail:
 
     @cached_property
     def trained(self):
-        """Fitted once per session and folder: two queries show it, and it takes hundreds of steps."""
-        if self.folder is None:
-            return modeling.train_and_select(self.training)
-        return _trained(self.spark, self.folder)
+        return modeling.train_and_select(self.training)
 
 
 def rounded(df, digits=2, *columns):
@@ -246,9 +243,43 @@ def split_sizes(r):
 def trained_tree_attribution(r):
     """Trees fitted on the training part, explained on the test part."""
     train, test = modeling.stratified_split(checkpointed(modeling.as_doubles(r.training)))
-    train = checkpointed(train)
-    fitted = modeling.boosted_trees().fit(modeling.sized(train, train.count()))
-    return explain.tree_attribution(test, explain.tree_leaves(fitted))
+    (fitted,), _ = boosting.fit(checkpointed(train))
+    return explain.tree_attribution(test, fitted.leaves())
+
+
+def boosting_round(r):
+    """The first tree on all labelled customers, node by node."""
+    settings = boosting.Settings(rounds=1)
+    (fitted,), _ = boosting.fit(checkpointed(modeling.as_doubles(r.training)), settings)
+    nodes = rounded(fitted.table(r.spark).drop("tree"), 4, "threshold", "gain", "cover")
+    return rounded(nodes, 7, "value")
+
+
+def scaled_by_frozen(r):
+    return checkpointed(segments.scaled(r.rfm, RFM_COLUMNS, frozen.RFM_MEANS, frozen.RFM_STDS))
+
+
+def kmeans_step(r):
+    """One step of several KMeans runs from fixed centres: cluster sizes, new centres and the cost before."""
+    blocks, _ = clustering.blocks_of(scaled_by_frozen(r), segments.SCALED_COLUMNS)
+    runs = [np.array(frozen.CENTRES[:k]) for k in (2, 3, 4)]
+    rows = [(len(n), i, int(n[i]), *map(float, moved[i]), float(cost))
+            for n, moved, cost in clustering.step(blocks, runs) for i in range(len(n))]
+    blocks.unpersist()
+    names = ", ".join(f"{c} double" for c in RFM_COLUMNS)
+    found = r.spark.createDataFrame(rows, f"k int, cluster int, customers long, {names}, cost double")
+    return rounded(rounded(found, 5, *RFM_COLUMNS), 3, "cost")
+
+
+def silhouette(r):
+    """Plain Euclidean silhouette of the customers under fixed centres."""
+    customers = scaled_by_frozen(r)
+    blocks, _ = clustering.blocks_of(customers, segments.SCALED_COLUMNS)
+    runs = [np.array(frozen.CENTRES[:k]) for k in (2, 3, 4)]
+    found = clustering.silhouettes(customers, blocks, runs, segments.SCALED_COLUMNS)
+    blocks.unpersist()
+    rows = [(len(c), float(s), error < 0.005) for c, (s, error) in zip(runs, found)]
+    return rounded(r.spark.createDataFrame(rows, "k int, silhouette double, close boolean"), 2, "silhouette")
 
 
 def no_leakage(r):
@@ -327,6 +358,8 @@ TABLE_QUERIES = {
     "repeated_customers": lambda r: segments.duplicated_customers(
         r.segments.unionByName(r.segments.where("segment = 'Champions'"))),
     "kmeans_segments": lambda r: rounded(segments.segment_customers(r.clean), 2, "monetary"),
+    "kmeans_step": kmeans_step,
+    "silhouette": silhouette,
     "choose_k": lambda r: segments.choose_k(segments.scale_features(checkpointed(r.rfm))),
     # Models
     "stratified_split": stratified_split,
@@ -334,6 +367,7 @@ TABLE_QUERIES = {
     "stratified_folds": lambda r: r.folded.select("customer_id", "churned", "fold"),
     "frozen_scores": lambda r: rounded(r.scored, 6, "churn_probability").select(
         "customer_id", "churned", "churn_probability"),
+    "boosting_round": boosting_round,
     "train_and_select": lambda r: r.trained.metrics_table(),
     "training_runs": lambda r: modeling.training_runs(r.trained).drop("recorded_at"),
     "roc_auc": lambda r: rounded(metrics.roc_auc(r.scored), 6, "roc_auc"),
@@ -419,12 +453,7 @@ TABLE_QUERIES = {
 
 
 def over_folder(spark, sf_dir):
-    return Retail(retail_view.raw_transactions(spark, sf_dir), sf_dir)
-
-
-@lru_cache(maxsize=1)
-def _trained(spark, sf_dir):
-    return modeling.train_and_select(over_folder(spark, sf_dir).training)
+    return Retail(retail_view.raw_transactions(spark, sf_dir))
 
 
 def _over_folder(query):

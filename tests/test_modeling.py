@@ -102,7 +102,7 @@ def test_training_selects_records_and_saves(spark, customers, tmp_path):
     assert sum(r["customers"] for r in cells) == training.test.count()
 
     runs = {r["model"]: r for r in modeling.training_runs(training).collect()}
-    assert runs["boosted_trees"]["params"]["maxIter"] == "5"
+    assert runs["boosted_trees"]["params"]["rounds"] == "5"
     assert runs["logistic_regression"]["metrics"]["cv_roc_auc"] == wide["logistic_regression"]["cv_roc_auc"]
     assert len({r["run_id"] for r in runs.values()}) == 2
 
