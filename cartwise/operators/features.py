@@ -117,6 +117,10 @@ def _facts(lines, cutoff, label_days):
 
 
 def _customers(lines, cutoff, home_country, recent_days, label_days):
+    return customers_of(_facts(lines, cutoff, label_days), cutoff, home_country, recent_days)
+
+
+def customers_of(facts, cutoff, home_country, recent_days):
     """One row per customer with a purchase before the cutoff: features and label.
 
     The home country wins ties against names after it and loses them against names before it.
@@ -124,7 +128,7 @@ def _customers(lines, cutoff, home_country, recent_days, label_days):
     def aggregate(expression, name):
         return F.expr(expression).alias(name)
 
-    facts = _facts(lines, cutoff, label_days).withColumns({
+    facts = facts.withColumns({
         "recent": F.col("order_date") >= cutoff - days(recent_days),
         "home": F.when(F.col("key") == home_country, 0).when(F.col("key") < home_country, -1).otherwise(1),
     })

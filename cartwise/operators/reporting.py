@@ -7,7 +7,7 @@ slicer; shares divide by the total of the whole table, so their total ignores ev
 """
 from pyspark.sql import functions as F
 
-from ..functions.columns import lookup, position, probability_band, ratio
+from ..functions.columns import exact_sum, lookup, position, probability_band, ratio
 from ..schemas import FEATURE_LABELS, RISK_LEVELS, SEGMENTS, SPANISH
 
 ACTION_COLUMNS = ("customer_id", "segment", "churn_probability", "recency_days", "frequency",
@@ -165,6 +165,49 @@ def probability_bands(scores, segment_slicer=None, risk_slicer=None, label="risk
     return chosen.groupBy(*keys).agg(F.count(F.lit(1)).alias("customers")).orderBy(*keys)
 
 
+# Measure cube
+
+CUBE = ("segment", "risk_level", "probability_band")
+
+
+def risk_cube(scores):
+    """Customers, spend and summed probability per segment, risk level and probability band.
+
+    A row for each combination that occurs, a few dozen at most whatever the number of customers. Every
+    measure of the risk page follows from sums of these rows, for any slicers.
+    """
+    return (scores.withColumn("probability_band", probability_band("churn_probability")).groupBy(*CUBE)
+            .agg(F.count(F.lit(1)).alias("customers"), exact_sum("monetary").alias("monetary"),
+                 F.sum("churn_probability").alias("probability")))
+
+
+def cube_measures(cube, by=(), segment_slicer=None, risk_slicer=None):
+    """The measures of risk_measures, from the cube."""
+    in_context = F.lit(True) if risk_slicer is None else F.coalesce(
+        F.col("risk_level").isin(*risk_slicer), F.lit(False))
+    high = F.col("risk_level") == "High"
+
+    def total(column, condition):
+        return F.sum(F.when(condition, F.col(column)))
+
+    def customers(condition):
+        return F.coalesce(total("customers", condition), F.lit(0))
+
+    return sliced(cube, segment=segment_slicer).groupBy(*by).agg(
+        customers(in_context).alias("customers_scored"), customers(high).alias("high_risk_customers"),
+        ratio(customers(high), customers(in_context)).alias("high_risk_share"),
+        total("monetary", high).cast("double").alias("revenue_at_risk"),
+        ratio(total("probability", in_context), customers(in_context)).alias("avg_churn_probability"))
+
+
+def cube_totals(cube):
+    """Measures for every set of the three columns at once; `level` tells which are summed over (bit set)."""
+    return cube.cube(*CUBE).agg(
+        F.grouping_id(*CUBE).alias("level"), F.sum("customers").alias("customers"),
+        F.sum("monetary").cast("double").alias("revenue"),
+        ratio(F.sum("probability"), F.sum("customers")).alias("avg_churn_probability"))
+
+
 # Action page
 
 def action_list(scores, limit=None, segment_slicer=None):

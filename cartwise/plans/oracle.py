@@ -393,6 +393,9 @@ def boosting_round():
     return [*TRAINING, *ctes], body
 
 
+_EXACT = "round(CAST(sum(CAST({} AS DECIMAL(28,6))) AS DOUBLE), 2)"
+
+
 def _tenths(value):
     """Half-even rounding to one digit in decimal arithmetic: 0.25 -> 0.2, 0.35 -> 0.4.
 
@@ -417,8 +420,11 @@ ORACLE = {name: _query(ctes, body) for name, (ctes, body) in {
     "clean_transactions": (BASE, "SELECT * FROM clean_transactions"),
     "cancellations": (BASE, "SELECT * FROM cancellations"),
     "read_transactions_csv": ([RAW], "SELECT * FROM raw_transactions"),
+    "read_quoted_breaks": ([RAW], """SELECT * REPLACE ('a "b",' || chr(10) || description || chr(10) || chr(10) || ',"'
+      AS description) FROM raw_transactions"""),
     "read_parts": ([RAW, PARTS], "SELECT DISTINCT * FROM parts"),
     "base_table": ([RAW], "SELECT * FROM raw_transactions"),
+    "two_way_table": ([RAW], "SELECT * FROM raw_transactions"),
     "append_base_table": ([RAW, PARTS], "SELECT * FROM parts"),
     "published_table": (TRAINING, f"SELECT {_FEATURES_OUT}, churned FROM training_set"),
     "read_features": (AT_END, f"SELECT {_DOUBLES_OUT} FROM features"),
@@ -426,6 +432,7 @@ ORACLE = {name: _query(ctes, body) for name, (ctes, body) in {
       FROM clean_transactions WHERE customer_id IN (SELECT customer_id FROM cancellations)
       GROUP BY country"""),
     "merge_parts": ([RAW, PARTS], "SELECT DISTINCT * FROM parts"),
+    "append_overlapping": ([RAW, PARTS], "SELECT DISTINCT * FROM parts"),
     "duplicates_removed": ([RAW, PARTS], """SELECT (SELECT count(*) FROM parts) AS rows_before,
       (SELECT count(*) FROM (SELECT DISTINCT * FROM parts)) AS rows_after,
       (SELECT count(*) FROM parts) - (SELECT count(*) FROM (SELECT DISTINCT * FROM parts)) AS rows_removed"""),
@@ -443,6 +450,14 @@ ORACLE = {name: _query(ctes, body) for name, (ctes, body) in {
       CAST(round(sum(CAST(line_total AS DECIMAL(28,6))), 0) AS DOUBLE) AS revenue,
       count(DISTINCT customer_id) AS active_customers, count(DISTINCT invoice) AS orders
       FROM clean_transactions GROUP BY 1 ORDER BY 1"""),
+    "sales_rollup": (BASE, f"""SELECT CAST(date_trunc('month', invoice_date) AS DATE) AS month, country,
+      count(DISTINCT customer_id) AS customers, count(DISTINCT invoice) AS orders, {_EXACT.format("line_total")} AS revenue
+      FROM clean_transactions GROUP BY 1, 2"""),
+    "rolling_sales": (BASE, f"""SELECT CAST(date_trunc('month', invoice_date) + to_months(later) AS DATE) AS until,
+      count(DISTINCT customer_id) AS customers, count(DISTINCT invoice) AS orders, {_EXACT.format("line_total")} AS revenue
+      FROM clean_transactions, (VALUES (0), (1), (2)) l(later)
+      WHERE date_trunc('month', invoice_date) + to_months(later)
+            <= (SELECT date_trunc('month', max(invoice_date)) FROM clean_transactions) GROUP BY 1"""),
     "monthly_revenue_exact": (BASE, """SELECT CAST(date_trunc('month', invoice_date) AS DATE) AS month,
       CAST(sum(CAST(line_total AS DECIMAL(28,6))) AS DOUBLE) AS revenue,
       count(DISTINCT customer_id) AS active_customers, count(DISTINCT invoice) AS orders
@@ -475,6 +490,7 @@ ORACLE = {name: _query(ctes, body) for name, (ctes, body) in {
     "distinct_products": (AT_CUTOFF, "SELECT customer_id, n AS distinct_products FROM products"),
     "cancelled_orders": (AT_CUTOFF, "SELECT customer_id, n AS cancelled_orders FROM cancels"),
     "customer_features": (AT_CUTOFF, f"SELECT {_FEATURES_OUT} FROM features"),
+    "features_by_batch": (AT_CUTOFF, f"SELECT {_FEATURES_OUT} FROM features"),
     "churn_labels": ([*AT_CUTOFF, LABELLED], """SELECT f.customer_id,
       CAST(CASE WHEN l.customer_id IS NULL THEN 1 ELSE 0 END AS INTEGER) AS churned
       FROM features f LEFT JOIN later l ON l.customer_id = f.customer_id"""),
@@ -551,6 +567,10 @@ ORACLE = {name: _query(ctes, body) for name, (ctes, body) in {
       AS violations FROM requests WHERE recency_days < 0 OR frequency IS NULL"""),
     "predict_batch": ([*AT_END, REQUESTS], _PREDICT),
     "predict_stream": ([*AT_END, REQUESTS], _PREDICT),
+    "stream_both": ([*AT_END, REQUESTS], f"""SELECT *, NULL::VARCHAR AS violations FROM ({_PREDICT})
+      UNION ALL SELECT customer_id, NULL::DOUBLE, NULL::BOOLEAN, concat_ws(',',
+      CASE WHEN recency_days < 0 THEN 'recency_days' END, CASE WHEN frequency IS NULL THEN 'frequency' END)
+      FROM requests WHERE recency_days < 0 OR frequency IS NULL"""),
     "segment_kpis": (SEGMENTED, """SELECT count(*) AS customers, round(sum(monetary), 2) AS revenue,
       round(avg(monetary), 4) AS avg_spend, round(avg(frequency), 4) AS avg_orders FROM customer_segments"""),
     "shares_by_segment": ([*SEGMENTED, _REPORTED_SEGMENTS], f"""SELECT segment_order, segment,
@@ -571,6 +591,19 @@ ORACLE = {name: _query(ctes, body) for name, (ctes, body) in {
       count(*) FILTER (WHERE risk_level = 'High') AS high_risk_customers,
       round(count(*) FILTER (WHERE risk_level = 'High') / CAST(count(*) AS DOUBLE), 6) AS high_risk_share,
       round(sum(monetary) FILTER (WHERE risk_level = 'High'), 2) AS revenue_at_risk FROM customer_scores"""),
+    "risk_cube": (CURRENT_SCORES, f"""SELECT segment, risk_level, probability_band,
+      GROUPING(segment, risk_level, probability_band) AS level, count(*) AS customers,
+      {_EXACT.format("monetary")} AS revenue, round(avg(churn_probability), 6) AS avg_churn_probability
+      FROM (SELECT *, floor(churn_probability * 10) / 10.0 AS probability_band FROM customer_scores)
+      GROUP BY CUBE (segment, risk_level, probability_band)"""),
+    "cube_slices": (CURRENT_SCORES, f"""SELECT segment,
+      count(*) FILTER (WHERE risk_level IN ('Low', 'High')) AS customers_scored,
+      count(*) FILTER (WHERE risk_level = 'High') AS high_risk_customers,
+      round(count(*) FILTER (WHERE risk_level = 'High')
+        / CAST(count(*) FILTER (WHERE risk_level IN ('Low', 'High')) AS DOUBLE), 6) AS high_risk_share,
+      {_EXACT.format("CASE WHEN risk_level = 'High' THEN monetary END")} AS revenue_at_risk,
+      round(avg(churn_probability) FILTER (WHERE risk_level IN ('Low', 'High')), 6) AS avg_churn_probability
+      FROM customer_scores WHERE segment IN ('Champions', 'Promising', 'Lost') GROUP BY segment"""),
     "sliced_risk_kpis": (CURRENT_SCORES, """SELECT
       count(*) FILTER (WHERE risk_level IN ('Low', 'Medium')) AS customers_scored,
       count(*) FILTER (WHERE risk_level = 'High') AS high_risk_customers,

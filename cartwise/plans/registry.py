@@ -10,10 +10,10 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_time
-from ..operators import (boosting, cleaning, clustering, explain, exploration, features, metrics, modeling, reporting,
-                         scoring, segments)
+from ..operators import (boosting, cleaning, clustering, explain, exploration, facts, features, metrics,
+                         modeling, reporting, scoring, segments)
 from ..schemas import COLUMN_NAMES, FEATURE_COLUMNS, RFM_COLUMNS, SPANISH
-from ..sources import files, retail_view
+from ..sources import files, incremental, retail_view
 from ..staging import checkpointed, new_folder
 from ..streaming import scoring as streaming
 from . import frozen
@@ -77,14 +77,13 @@ class Retail:
 
     @cached_property
     def clustered(self):
-        """RFM with the nearest frozen centre; kept, because naming reads it twice."""
+        """RFM with the nearest frozen centre. Naming reads it twice, over the same exchange."""
         scaled = segments.scaled(self.rfm, RFM_COLUMNS, frozen.RFM_MEANS, frozen.RFM_STDS)
-        return checkpointed(segments.nearest_centre(scaled, frozen.CENTRES))
+        return segments.nearest_centre(scaled, frozen.CENTRES)
 
     @cached_property
     def segments(self):
-        """Kept, like the published table that the dashboard reads."""
-        return checkpointed(segments.assign_segments(self.clustered))
+        return segments.assign_segments(self.clustered)
 
     @cached_property
     def scored(self):
@@ -165,6 +164,18 @@ def predict_stream(r):
     return _predictions(r.spark.read.parquet(output))
 
 
+def stream_both(r):
+    """Predictions and rejected requests of one stream that comes in two halves."""
+    inbox, good, bad, state = (new_folder(r.spark, n) for n in ("requests", "predictions", "rejects", "state"))
+    for half in (0, 1):
+        r.requests.where(F.col("customer_id") % 2 == half).write.mode("append").parquet(inbox)
+        stream = streaming.read_feature_stream(r.spark, inbox)
+        streaming.start_both(stream, frozen.model(), good, bad, state).awaitTermination()
+    rejected = streaming.read_batches(r.spark, bad)
+    return _predictions(streaming.read_batches(r.spark, good)).unionByName(rejected.select(
+        "customer_id", F.array_join("violations", ",").alias("violations")), allowMissingColumns=True)
+
+
 def read_transactions_csv(r):
     """The raw lines written as source files and read back with declared types."""
     folder = new_folder(r.spark, "source")
@@ -174,6 +185,18 @@ def read_transactions_csv(r):
     return files.read_transactions_csv(r.spark, folder)[0]
 
 
+def read_quoted_breaks(r):
+    """The raw lines as source files with line breaks and quotes in the descriptions, read by parts of files."""
+    folder = new_folder(r.spark, "source")
+    source = r.raw.withColumns({
+        "invoice_date": F.date_format("invoice_date", "yyyy-MM-dd HH:mm:ss"),
+        "description": F.concat(F.lit('a "b",\n'), "description", F.lit('\n\n,"'))})
+    names = {new: old for old, new in COLUMN_NAMES.items()}
+    # The source format doubles the quotes within a cell.
+    source.withColumnsRenamed(names).write.option("header", True).option("escape", '"').csv(folder)
+    return files.read_transactions_csv(r.spark, folder, multi_line="parallel")[0]
+
+
 def read_parts(r):
     """Both slices as source files whose columns come in different orders, read and merged."""
     folders = []
@@ -195,21 +218,50 @@ def _table_name(kind):
 def base_table(r):
     name = _table_name("base")
     files.create_base_table(r.raw, name)
-    return files.read_table(r.spark, name)
+    return files.taken(name, r.spark)
+
+
+def two_way_table(r):
+    name = _table_name("base")
+    files.create_two_way_table(r.raw, name)
+    return files.taken(name, r.spark)
 
 
 def append_base_table(r):
     name, (first, second) = _table_name("base"), r.parts
     files.create_base_table(first, name)
     files.append_to_base_table(second, name)
-    return files.read_table(r.spark, name)
+    return files.taken(name, r.spark)
+
+
+def append_overlapping(r):
+    """A second period that overlaps the loaded one: only lines that are not there are added."""
+    name, (first, second) = _table_name("base"), r.parts
+    incremental.create_filtered_table(first.dropDuplicates(), name)
+    incremental.append_new_lines(second, name)
+    r.spark.sql(f"DROP TABLE {incremental.filter_name(name)}")
+    return files.taken(name, r.spark)
+
+
+def features_by_batch(r):
+    """Features as of the cutoff from facts that three batches of lines were added to."""
+    name, date = _table_name("facts"), F.col("invoice_date")
+    edges = [None, "1994-01-01", "1997-01-01", None]
+    for low, high in zip(edges, edges[1:]):
+        batch = r.activity
+        batch = batch if low is None else batch.where(date >= as_time(low))
+        batch = batch if high is None else batch.where(date < as_time(high))
+        facts.add_batch(batch, name)
+    facts.compact(r.spark, name)
+    return _features_rounded(facts.features_from(files.taken(name, r.spark), r.cutoff, HOME))
 
 
 def published_table(r):
     name = _table_name("published")
     files.publish(r.rfm, name)
     files.publish(_features_rounded(r.training), name)
-    return files.read_table(r.spark, name)
+    files.publish(r.spark.table(name).where("customer_id IS NOT NULL"), name)  # from the table itself
+    return files.taken(name, r.spark)
 
 
 def sql_views(r):
@@ -302,9 +354,12 @@ TABLE_QUERIES = {
     "clean_transactions": lambda r: r.clean,
     "cancellations": lambda r: r.cancelled,
     "read_transactions_csv": read_transactions_csv,
+    "read_quoted_breaks": read_quoted_breaks,
     "read_parts": read_parts,
     "base_table": base_table,
+    "two_way_table": two_way_table,
     "append_base_table": append_base_table,
+    "append_overlapping": append_overlapping,
     "published_table": published_table,
     "sql_views": sql_views,
     "read_features": read_features,
@@ -319,6 +374,11 @@ TABLE_QUERIES = {
     "monthly_revenue": lambda r: exploration.monthly_revenue(r.clean),
     "monthly_revenue_exact": lambda r: exploration.monthly_revenue(r.clean, digits=None).withColumn(
         "revenue", F.col("revenue").cast("double")),
+    "sales_rollup": lambda r: rounded(exploration.distinct_sales(
+        exploration.sales_rollup(r.clean), ("month", "country")).withColumn("revenue", F.col("revenue").cast("double")),
+        2, "revenue"),
+    "rolling_sales": lambda r: rounded(exploration.rolling_sales(
+        exploration.sales_rollup(r.clean)).withColumn("revenue", F.col("revenue").cast("double")), 2, "revenue"),
     "top_countries": lambda r: exploration.top_countries(r.clean),
     "country_revenue_share": lambda r: rounded(rounded(
         exploration.country_revenue_share(r.clean), 2, "revenue"), 6, "revenue_share"),
@@ -338,6 +398,7 @@ TABLE_QUERIES = {
         "invoice", "cancelled_orders"),
     "customer_features": lambda r: _features_rounded(
         features.features_as_of(r.activity, r.cutoff, HOME)),
+    "features_by_batch": features_by_batch,
     "no_leakage": no_leakage,
     "churn_labels": lambda r: features.build_labels(
         r.clean, r.past.select("customer_id").distinct(), r.cutoff),
@@ -403,6 +464,7 @@ TABLE_QUERIES = {
     "predict_batch": lambda r: _predictions(scoring.predict(
         r.requests, frozen.model())),
     "predict_stream": predict_stream,
+    "stream_both": stream_both,
     # Dashboard
     "segment_kpis": lambda r: rounded(rounded(
         reporting.segment_kpis(r.segments), 2, "revenue"), 4, "avg_spend", "avg_orders"),
@@ -421,6 +483,11 @@ TABLE_QUERIES = {
     "sliced_risk_kpis": lambda r: rounded(rounded(reporting.risk_measures(
         r.scores, segment_slicer=["Champions", "Promising"], risk_slicer=["Low", "Medium"]),
         2, "revenue_at_risk"), 6, "high_risk_share", "avg_churn_probability"),
+    "risk_cube": lambda r: rounded(rounded(
+        reporting.cube_totals(reporting.risk_cube(r.scores)), 2, "revenue"), 6, "avg_churn_probability"),
+    "cube_slices": lambda r: rounded(rounded(reporting.cube_measures(
+        reporting.risk_cube(r.scores), ("segment",), ["Champions", "Promising", "Lost"], ["Low", "High"]),
+        2, "revenue_at_risk"), 6, "high_risk_share", "avg_churn_probability"),
     "customers_by_segment_and_risk": lambda r: reporting.customers_by_segment_and_risk(
         r.scores),
     "avg_probability_by_segment": lambda r: rounded(

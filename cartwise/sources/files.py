@@ -4,6 +4,8 @@ from functools import reduce
 from pyspark.sql import Observation, functions as F, types as T
 
 from ..schemas import COLUMN_NAMES, FEATURES, MISSING_TOKENS, RAW_TRANSACTIONS, SOURCE_FILE
+from ..staging import checkpointed
+from .quoted import read_quoted_csv
 
 CORRUPT = "corrupt_record"
 ID_COLUMNS = ("Customer ID",)
@@ -14,20 +16,23 @@ def read_csv(spark, paths, schema, timestamp_format=None, missing_tokens=MISSING
     """CSV with declared types: (good rows, lines that do not fit the schema).
 
     whole_columns hold numbers that must not have a fraction. multi_line reads records with
-    quoted line breaks, at the price of one task per file.
+    quoted line breaks: True by one task per file, "parallel" by as many tasks as the files have parts.
 
     Everything is read as text first, so that every spelling of "missing" becomes null
     before the types are applied. A value that fails its cast sends the line to the rejects.
     Times are ISO texts unless a pattern is given.
     """
     columns = [f"`{f.name}` STRING" for f in schema.fields] + [f"{CORRUPT} STRING"]
-    text = (
-        spark.read.schema(", ".join(columns))
-        .option("header", True).option("enforceSchema", False).option("escape", '"')
-        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        .option("multiLine", multi_line)
-        .csv(paths)
-    )
+    if multi_line == "parallel":
+        text = read_quoted_csv(spark, paths, [f.name for f in schema.fields], CORRUPT)
+    else:
+        text = (
+            spark.read.schema(", ".join(columns))
+            .option("header", True).option("enforceSchema", False).option("escape", '"')
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .option("multiLine", multi_line)
+            .csv(paths)
+        )
 
     def present(name):
         value = F.col(f"`{name}`")
@@ -198,14 +203,71 @@ def create_base_table(df, name="raw_transactions"):
     _write_lines(df, name, "overwrite")
 
 
+def interleaved(first, second, bits):
+    """Bits of two numbers below 2^bits in turn, the highest of the first in front."""
+    key = F.lit(0).cast("long")
+    for i in range(bits):
+        for number, place in ((second, 2 * i), (first, 2 * i + 1)):
+            bit = F.shiftright(number.cast("long"), i).bitwiseAND(F.lit(1).cast("long"))
+            key = key.bitwiseOR(F.shiftleft(bit, place))
+    return key
+
+
+def create_two_way_table(df, name="raw_transactions", bits=10):
+    """Create the base table in an order that serves filters by date and filters by customer alike.
+
+    Dates and customer ids are cut into 2^bits steps each, whose bits are interleaved; lines are dealt out and
+    sorted by that key, so a file, and a row group in it, holds a short range of both. Lines without
+    a customer come as if they had the smallest id. The loads by month stay cheaper: this one reads the lines
+    twice and an append needs a new load.
+    """
+    lines = df.to(RAW_TRANSACTIONS)
+    seconds = F.unix_seconds(F.col("invoice_date").cast("timestamp"))
+    ends = lines.select(seconds.alias("t"), "customer_id").agg(
+        *[f(c).alias(f"{n}_{c}") for c in ("t", "customer_id") for n, f in (("min", F.min), ("max", F.max))]).first()
+
+    def steps(value, column):
+        low, high = ends[f"min_{column}"], ends[f"max_{column}"]
+        if low is None or low == high:
+            return F.lit(0)
+        place = F.floor((value - low) / ((high - low + 1) / (1 << bits)))
+        return F.coalesce(F.least(place, F.lit((1 << bits) - 1)), F.lit(0))
+
+    key = interleaved(steps(seconds, "t"), steps(F.col("customer_id"), "customer_id"), bits)
+    (lines.withColumn("z", key).repartitionByRange("z", *CLUSTERING).sortWithinPartitions("z", *CLUSTERING).drop("z")
+     .write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).saveAsTable(name))
+
+
+def files_that_may_hold(table, column, low, high):
+    """(files whose values reach into the range, files): what a filter on the column has to open."""
+    ends = table.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(column).alias("low"), F.max(column).alias("high"))
+    reached = (F.col("high") >= F.lit(low)) & (F.col("low") <= F.lit(high))
+    return ends.agg(F.count_if(reached).alias("reached"), F.count(F.lit(1)).alias("files"))
+
+
 def append_to_base_table(df, name="raw_transactions"):
     """Append rows; names and types must fit the declared schema."""
     _write_lines(df, name, "append")
 
 
 def publish(df, name):
-    """Replace a published table. The table must not be read by the plan of df."""
-    df.write.mode("overwrite").saveAsTable(name)
+    """Replace a published table, also by rows that are read from it.
+
+    The rows are written under another name first and take the table's place when they are complete; a
+    reader finds the old or the new table, or for a moment none.
+    """
+    spark, complete = df.sparkSession, f"{name}__complete"
+    df.write.mode("overwrite").saveAsTable(complete)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {complete} RENAME TO {name}")
+
+
+def taken(name, spark):
+    """The rows of a table, kept in the shared folder, and the table dropped."""
+    rows = checkpointed(spark.table(name))
+    spark.sql(f"DROP TABLE {name}")
+    return rows
 
 
 def append_rows(df, name):
