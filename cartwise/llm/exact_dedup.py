@@ -90,12 +90,14 @@ def decide(docs, capacity=CAPACITY, id_col="doc_id", text_col="text"):
 def keep_first(docs, id_col="doc_id", text_col="text"):
     """The rows that stay, with all their columns."""
     kept = (decide(docs, id_col=id_col, text_col=text_col).where("kept")
-            .select(F.col("doc_id").alias("__id"), F.col("h").alias("__h")))
-    hashed = docs.withColumn("__h_row", F.xxhash64(normalised(F.coalesce(text_col, F.lit("")))))
-    same = (F.col("__h_row") == F.col("__h")) & F.col(id_col).eqNullSafe(F.col("__id"))
-    # Rows that repeat an id with its text are one document.
-    return (hashed.join(kept, same, "left_semi").dropDuplicates([id_col, "__h_row"])
-            .select(docs.columns))
+            .select(F.col("doc_id").alias("kept_id"), F.col("h").alias("kept_h")))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"),
+                       F.xxhash64(normalised(F.coalesce(text_col, F.lit("")))).alias("h"),
+                       F.monotonically_increasing_id().alias("place"))
+    same = (F.col("h") == F.col("kept_h")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    # Rows that repeat an id with its text are one document: the first of them by its place in the input.
+    return (rows.join(kept, same, "left_semi").groupBy("doc_id", "h")
+            .agg(F.min_by("row", "place").alias("row")).select("row.*"))
 
 
 def op3_exact_dedup(spark, sf_dir):

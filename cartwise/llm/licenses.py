@@ -98,6 +98,10 @@ STATEMENT = (r"(?md)^[ \t#*/;!-]*(?:©|copyright[ \t:]*(?:\(c\)|©|[0-9]{4}|[<\[
              r"|\(c\)[ \t]*(?:copyright|[0-9]{4}|[<\[{]))[^\n]*")
 
 
+#: White space, control characters and punctuation.
+MARKS = r"[\x00-/:-@\[-`{-\x7f\p{P}\p{Z}\p{Cf}]+"
+
+
 def canonical(text):
     """The canonical form of a text column."""
     lowered = F.lower(text)
@@ -107,7 +111,7 @@ def canonical(text):
     kept = F.when(marked, F.regexp_replace(
         lowered, STATEMENT, "")).otherwise(lowered)
     spelt = F.replace(kept, F.lit("&"), F.lit("and"))
-    bare = F.regexp_replace(spelt, r"[\x00-/:-@\[-`{-\x7f\p{P}\p{Z}\p{Cf}]+", "")
+    bare = F.regexp_replace(spelt, MARKS, "")
     for one, other in [(_bare(a), _bare(b)) for a, b in SPELLINGS]:
         bare = F.replace(bare, F.lit(other), F.lit(one))
     return bare
@@ -125,8 +129,7 @@ def digest(text):
 def catalogue(spark, known=None):
     """(digest, license) of the known texts, each digest once (the first name by order)."""
     if known is None:
-        full = full_texts()
-        known = {name: KNOWN.get(name, []) + full.get(name, []) for name in {**KNOWN, **full}}
+        known = known_texts()
     names = [(name, text) for name, texts in known.items() for text in texts]
     if len(names) > MAX_CATALOGUE:
         raise ValueError(f"the catalogue may hold {MAX_CATALOGUE} texts, it has {len(names)}")
@@ -153,10 +156,17 @@ def op7_licenses(spark, sf_dir):
     return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def known_texts():
+    """{short name: its texts} of the whole catalogue."""
+    full = full_texts()
+    return {name: KNOWN.get(name, []) + full.get(name, []) for name in {**KNOWN, **full}}
+
+
 def _sql_form(column):
-    form = rf"regexp_replace(lower({column}), '(?m)^[ \t]*(?:copyright|\(c\)|©)[^\n]*', '', 'g')"
+    # The other engine's patterns have no (?d): its lines end with a line feed only anyway.
+    form = f"regexp_replace(lower({column}), '{STATEMENT.replace('(?md)', '(?m)')}', '', 'g')"
     form = f"replace({form}, '&', 'and')"
-    form = rf"regexp_replace({form}, '[\x00-/:-@\[-`{{-\x7f]+', '', 'g')"
+    form = f"regexp_replace({form}, '{MARKS}', '', 'g')"
     words = [(_bare(a), _bare(b)) for a, b in SPELLINGS]
     return reduce(lambda f, w: f"replace({f}, '{w[1]}', '{w[0]}')", words, form)
 
@@ -177,4 +187,4 @@ WITH known AS (
 SELECT doc_id, line, license, digest
 FROM (SELECT doc_id, line, sha256(form) AS digest FROM forms WHERE form <> '') JOIN known USING (digest)
 """.format(known_form=_sql_form("text"), unit_form=_sql_form("unit"), values=", ".join(
-    "('{}', '{}')".format(n, t.replace("'", "''")) for n, ts in KNOWN.items() for t in ts))
+    "('{}', '{}')".format(n, t.replace("'", "''")) for n, ts in known_texts().items() for t in ts))

@@ -211,8 +211,9 @@ def keep_one(docs, id_col="doc_id", text_col="text"):
     Rows that share an id stay or go together; a group of null ids alone stays whole.
     """
     kept = (groups(docs, id_col=id_col, text_col=text_col)
-            .where("doc_id <=> component_id").select(F.col("doc_id").alias("__id")))
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+            .where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"))
+    return rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select("row.*")
 
 
 def op6_simhash(spark, sf_dir):

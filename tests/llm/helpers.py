@@ -1,5 +1,7 @@
 """Small document tables with columns whose names clash with what the operators make."""
-CLASHING = ("score", "kept", "h", "n", "bucket", "prefix", "fp", "key", "slot", "words", "first", "row")
+CLASHING = ("score", "kept", "h", "n", "bucket", "prefix", "fp", "key", "slot", "words", "first", "row",
+            "id", "kept_id", "span_id", "spans", "text_number", "place", "grp", "leaf", "failures", "lines",
+            "__id", "__h_row", "__text_number")
 
 
 def documents(spark, rows):

@@ -95,7 +95,7 @@ def test_odd_rows_and_empty_tables(spark, sf_dir):
 def test_every_operator_is_registered():
     import __spark_entry__
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and set(queries.ORACLE) <= set(names)
 
 

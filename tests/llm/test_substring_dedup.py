@@ -65,35 +65,120 @@ def test_repeated_ids_and_repetitions_within_a_document(spark):
     assert texts.count(a) == 2 and rows[3][1] in texts and {b, b + " " + b} <= set(texts)
 
 
+def plain_windows(text):
+    """(start, end) in bytes of each window: chunk after chunk until there are enough whole words or bytes."""
+    raw = text.encode()
+    ends = sd.chunk_ends(np.frombuffer(raw, np.uint8))
+    starts = [0, *ends]
+    spaces = b" \t\n\x0b\x0c\r"
+    for i, a in enumerate(starts[:-1]):
+        for b in ends[i:]:
+            piece = raw[a:b]
+            inner = piece.split()
+            cut_left = a > 0 and raw[a - 1] not in spaces and piece[0] not in spaces
+            cut_right = b < len(raw) and raw[b] not in spaces and piece[-1] not in spaces
+            if len(inner) == 1 and cut_left and cut_right:
+                count = 0
+            else:
+                count = max(len(inner) - cut_left - cut_right, 0)
+            if count >= sd.MIN_WORDS or b - a >= sd.MIN_WORDS * sd.WORD_BYTES:
+                yield a, b
+                break
+
+
+def plain_spans(docs):
+    """{(doc_id, start, length, inside)} of docs (doc_id, text) with distinct ids, by the rule of the docstring."""
+    first, found = {}, set()
+    docs = sorted(docs)
+    for i, t in docs:
+        for a, b in plain_windows(t):
+            first.setdefault(t.encode()[a:b], i)
+    for i, t in docs:
+        raw, seen = t.encode(), set()
+        groups = {False: [], True: []}
+        for a, b in plain_windows(t):
+            w = raw[a:b]
+            if first[w] != i:
+                groups[False].append((a, b))
+            elif w in seen:
+                groups[True].append((a, b))
+            seen.add(w)
+        for inside, places in groups.items():
+            runs = []
+            for a, b in places:
+                if runs and a <= runs[-1][1]:
+                    runs[-1][1] = max(b, runs[-1][1])
+                else:
+                    runs.append([a, b])
+            found |= {(i, len(raw[:a].decode()), len(raw[a:b].decode()), inside) for a, b in runs}
+    return found
+
+
 def test_spans_by_brute_force(spark, sf_dir):
-    """The rule of the docstring, in plain Python, over the whole table."""
-    docs = sorted((r.doc_id, r.text or "") for r in
-                  spark.read.parquet(f"{sf_dir}/documents.parquet").collect())
-    first, chunks = {}, {}
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    got = sd.op2_substring_dedup(spark, sf_dir).collect()
+    assert {(r.doc_id, r.start, r.length, r.inside) for r in got} == plain_spans(docs)
+    texts = dict(docs)
+    for r in got:
+        whole = texts[r.doc_id]
+        inner = len(whole[r.start:r.start + r.length].split())
+        assert inner - 2 <= r.words <= inner or r.words == 0
+
+
+def test_every_span_stands_in_another_document(spark):
+    """Documents of shuffled sentences of one pattern: what is taken has 16 words that another has in this order."""
+    import random
+    own = random.Random(4)
+    sentences = [f"The {own.choice('abcdef')}{i} report says that item {own.randrange(99)} is fine." for i in range(300)]
+    docs = [(i, " ".join(own.sample(sentences, 6))) for i in range(400)]
+    spans = sd.repeated_spans(documents(spark, docs)).collect()
+    texts = dict(docs)
+    runs = {}
     for i, t in docs:
-        chunks[i] = chunk_texts(t)
-        for n, c in enumerate(chunks[i]):
-            first.setdefault(c, i)
-    want = set()
-    for i, parts in chunks.items():
-        at, run = 0, None
-        text = dict(docs)[i].encode()
-        places = []
-        for n, c in enumerate([*parts, None]):
-            repeated = c is not None and first[c] != i
-            if repeated and run is None:
-                run = at
-            if not repeated and run is not None:
-                before = run == 0 or text[run - 1:run].isspace()
-                span = text[run:at]
-                count = len(span.split()) - (0 if before or span[:1].isspace() else 1)
-                if count >= sd.MIN_WORDS:
-                    places.append((len(text[:run].decode()), len(span.decode())))
-                run = None
-            at += len(c or b"")
-        want |= {(i, *p) for p in places}
-    got = {(r.doc_id, r.start, r.length) for r in sd.op2_substring_dedup(spark, sf_dir).collect()}
-    assert got == want
+        w = t.split()
+        for n in range(len(w) - 15):
+            runs.setdefault(tuple(w[n:n + 16]), set()).add(i)
+    for r in spans:
+        w = texts[r.doc_id][r.start:r.end].split()
+        assert any(len(runs.get(tuple(w[n:n + 16]), set()) - {r.doc_id}) for n in range(len(w) - 15))
+    # Two sentences in this order are 18 words: those that are found are nearly all there are.
+    shared = {(i, n) for i, t in docs for n in range(len(t.split()) - 15)
+              if min(runs[tuple(t.split()[n:n + 16])]) < i}
+    assert {i for i, _ in shared} >= {r.doc_id for r in spans}
+
+
+def test_text_without_white_space(spark):
+    chinese = "".join(chr(0x4e00 + (i * i * 7919 + i) % 20000) for i in range(3000))
+    plain = "".join(chr(97 + (i * i * 31 + i // 7) % 26) for i in range(5000))
+    rows = [(1, chinese), (2, "前" * 9 + chinese), (3, plain), (4, words(5) + plain)]
+    spans = {r.doc_id: r for r in sd.repeated_spans(documents(spark, rows)).collect()}
+    assert set(spans) == {2, 4}
+    assert spans[2].end - spans[2].start > 2800 and spans[4].end - spans[4].start > 4700
+
+
+def test_repetitions_inside_a_document(spark):
+    passage = words(60, 1)
+    rows = [(1, f"{passage} {words(30, 2)} {passage} {words(30, 3)} {passage}"), (2, words(50, 4))]
+    docs = documents(spark, rows)
+    assert sd.repeated_spans(docs).collect() == []
+    spans = sorted(sd.repeated_spans(docs, inside=True).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in spans] == [1, 1] and all(r.inside and r.first_id == 1 for r in spans)
+    kept = {r.doc_id: r.text for r in sd.remove_repeats(docs, inside=True).collect()}
+    assert kept[2] == rows[1][1] and 120 <= len(kept[1].split()) < 180
+    assert sd.remove_repeats(docs).exceptAll(docs).count() == 0
+
+
+@pytest.mark.parametrize("text", ["", " ", "a", words(300), "x" * 900, "日本語 " * 200, "to " * 300, "é" * 700])
+def test_windows_by_brute_force(text):
+    start, length, words_in, inside, before, digests = sd.windows_of(text)
+    raw = text.encode()
+    got = [(len(text[:a].encode()), len(text[:a + n].encode())) for a, n in zip(start.tolist(), length.tolist())]
+    want = list(plain_windows(text))
+    assert got == want and len(digests) == len(want)
+    seen = set()
+    for (a, b), again in zip(want, inside):
+        assert again == (raw[a:b] in seen)
+        seen.add(raw[a:b])
 
 
 def test_texts_of_one_id_are_told_apart(spark):
