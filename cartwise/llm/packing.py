@@ -1,12 +1,13 @@
 """Packing tokenised documents into sequences by harmonic classes.
 
-A class holds the lengths around one reciprocal of the capacity, and a sequence of class k takes
-exactly k pieces, so no piece is compared with any other. Documents may be cut, so a document is cut
-into whole sequences and, for its rest, one piece for each power of two in it: every piece of class
-k = 2, 4, 8, ... is exactly capacity / k long and a full sequence has no padding. Each task fills the
-classes of its own documents without a shuffle; what is open at its end is laid out from the longest
-piece down, which again fills whole sequences, and the last rest becomes sequences whose lengths are
-powers of two. There is no padding at all, and open pieces are bounded by the capacity.
+Class k holds pieces of a k-th of the capacity (rounded down), and a sequence of class k takes exactly k of
+them, so no piece is compared with any other. Documents may be cut: a document gives whole sequences, then
+pieces of the largest classes that leave no crumb behind, and a tail of LEAST tokens or more (unless it is
+shorter itself) that fits no class. Tails follow one another in sequences of their own, where the last one
+of a sequence goes on in the next. Each task fills the classes of its own documents without a shuffle; what is
+open at its end, less than a sequence for each class, is laid out like the tails, and its last rest becomes
+sequences whose lengths are powers of two. Padding is what rounding a k-th down leaves, less than k
+tokens in a sequence of class k.
 
 Null text counts as empty: such a document is the end mark alone. Repeated rows are packed each. A
 null id is kept. sequence_id is unique over tasks (task number in the upper bits) and not gapless.
@@ -22,56 +23,82 @@ from .common import id_and_text
 
 CAPACITY = 4096
 END_ID = 2
+#: Tokens of a piece at least, with a capacity of 512 or more, unless a document or a boundary makes it shorter.
+LEAST = 64
 _ROWS = 4096
 #: Bytes of ids in one Arrow batch of results.
 _BYTES = 1 << 23
 
 
+def least_piece(capacity):
+    return max(1, min(LEAST, capacity // 8))
+
+
 def cuts(length, capacity):
-    """(start, length) of the pieces of a document: whole sequences, then falling powers of two."""
-    start = 0
-    for start in range(0, length - capacity + 1, capacity):
-        yield start, capacity
-    start = length - length % capacity
-    for power in range(capacity.bit_length() - 2, -1, -1):
-        size = 1 << power
-        if length & size:
-            yield start, size
-            start += size
+    """(start, length, class) of the pieces of a document; the class of a tail is 0."""
+    least, start = least_piece(capacity), 0
+    while start < length:
+        left = length - start
+        for k in range(-(-capacity // left), capacity // least + 1):
+            size = capacity // k
+            if left == size or left - size >= least:
+                yield start, size, k
+                start += size
+                break
+        else:
+            yield start, left, 0
+            start = length
+
+
+def split(piece, tokens):
+    """A piece (doc_id, start, ids, tokens of the document) in two, the first of so many tokens."""
+    doc_id, start, ids, whole = piece
+    return (doc_id, start, ids[:4 * tokens], whole), (doc_id, start + tokens, ids[4 * tokens:], whole)
 
 
 class HarmonicBins:
-    """Sequences being filled by one task; `add` and `close` give the finished ones."""
+    """Sequences being filled by one task; `add` and `close` give the finished ones, lists of pieces."""
 
     def __init__(self, capacity):
-        if capacity < 1 or capacity & (capacity - 1):
-            raise ValueError("the capacity must be a power of two")
         self.capacity = capacity
         self.open = {}
-
-    def add(self, piece, length):
-        """The filled sequence of the piece's class as a list of (piece, length), or None."""
-        bin_ = self.open.setdefault(length, [])
-        bin_.append((piece, length))
-        if len(bin_) == self.capacity // length:
-            return self.open.pop(length)
-        return None
+        self.tails, self.held = [], 0
+
+    def add(self, piece, k):
+        if not k:
+            yield from self.stream([piece])
+            return
+        bin_ = self.open.setdefault(k, [])
+        bin_.append(piece)
+        if len(bin_) == k:
+            yield self.open.pop(k)
+
+    def stream(self, pieces):
+        """One after another into whole sequences; a piece that does not fit goes on in the next one."""
+        for piece in pieces:
+            while self.held + len(piece[2]) // 4 >= self.capacity:
+                first, piece = split(piece, self.capacity - self.held)
+                yield [*self.tails, first]
+                self.tails, self.held = [], 0
+            if piece[2]:
+                self.tails.append(piece)
+                self.held += len(piece[2]) // 4
 
     def close(self):
-        """The rest, from the longest piece down, in sequences that are powers of two."""
-        rest = [p for length in sorted(self.open, reverse=True) for p in self.open[length]]
-        self.open = {}
-        left = sum(length for _, length in rest)
-        taken, filled, target = [], 0, 0
-        for piece in rest:
-            if not taken:
-                target = min(self.capacity, 1 << (left.bit_length() - 1))
-            taken.append(piece)
-            filled += piece[1]
-            if filled == target:
-                yield taken
-                left -= filled
-                taken, filled = [], 0
+        """All that is open, as whole sequences and then such that are powers of two."""
+        rest, self.open = [p for k in sorted(self.open) for p in self.open[k]], {}
+        yield from self.stream(rest)
+        while self.tails:
+            room, taken = 1 << self.held.bit_length() - 1, []
+            self.held -= room
+            while room:
+                piece = self.tails.pop(0)
+                first, after = split(piece, min(room, len(piece[2]) // 4))
+                taken.append(first)
+                room -= len(first[2]) // 4
+                if after[2]:
+                    self.tails.insert(0, after)
+            yield taken
 
 
 def pack(docs, path=bpe.WORD_BPE, capacity=CAPACITY, end_id=END_ID, id_col="doc_id",
@@ -90,9 +117,9 @@ def pack(docs, path=bpe.WORD_BPE, capacity=CAPACITY, end_id=END_ID, id_col="doc_
 
         def put(sequence):
             number, offset = next(numbers), 0
-            for (doc_id, start, ids, tokens), length in sequence:
-                out.append((doc_id, start, length, ids, tokens, number, offset))
-                offset += length
+            for doc_id, start, ids, tokens in sequence:
+                out.append((doc_id, start, len(ids) // 4, ids, tokens, number, offset))
+                offset += len(ids) // 4
 
         for batch in batches:
             encoded = bpe.encoder(path).encode(t.as_py() for t in batch.column("text"))
@@ -100,9 +127,9 @@ def pack(docs, path=bpe.WORD_BPE, capacity=CAPACITY, end_id=END_ID, id_col="doc_
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded):
                 ids += end
                 size += len(ids)
-                for start, length in cuts(len(ids) // 4, capacity):
+                for start, length, k in cuts(len(ids) // 4, capacity):
                     part = ids[4 * start:4 * (start + length)]
-                    if full := bins.add((doc_id, start, part, len(ids) // 4), length):
+                    for full in bins.add((doc_id, start, part, len(ids) // 4), k):
                         put(full)
                 if len(out) >= _ROWS or size > _BYTES:
                     yield _batch(out, kind)

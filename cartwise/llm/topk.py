@@ -1,19 +1,23 @@
 """Exact top-k inner products with an impact-ordered index, score at a time.
 
-Vectors are indexed in blocks. A block keeps its components ordered by impact: segment s holds the
-(vector, dimension) postings whose magnitude lies in the s-th range of powers of two, so that
-segments are processed from the highest impact down. All queries of a block of queries take a
-segment at once, as one product of the queries with the segment's postings, added to the accumulators.
-
-After a segment, what is left of a vector is bounded by Cauchy-Schwarz: the norm of the query times
-the norm of the vector's postings in later segments. A query is settled when its k-th best lower
-bound - of this block, or what earlier blocks have proved - leaves few possible members; those are
-scored again exactly from the whole vectors. Vectors that share the k-th score are possible members,
-so ties are broken by the smaller id. Nothing is dropped without that proof.
+Vectors are indexed in blocks. The index of a block is its postings: for every dimension and every value that
+occurs in it the rows that have it, the lists in order of falling impact (the value's magnitude); zeros have
+none. All queries of a block of queries go through the lists together and add value times query component to
+the accumulators of the rows. The lists fall into segments by powers of two, and after a segment what is left
+of a vector is bounded by Cauchy-Schwarz: the norm of the query times the norm of the vector's postings in
+later segments. A query is settled when its k-th best lower bound - of this block, or k scores that earlier
+blocks have - leaves few possible members; those are scored again exactly from the whole vectors. Vectors that
+share the k-th score are possible members, so ties are broken by the smaller id. Nothing is dropped without
+that proof.
+
+The index is written once to the shared folder. Queries are sent to slices of it; a slice is kept once
+for every PART blocks of queries, and a cell of slice and part is a task that returns the best of its
+slice only.
 
 Components are floor(scale * x). Vectors that are null or hold a null or non-finite component take no
 part; shorter vectors count as filled up with zeros, empty ones score zero. Rows repeated with id and
-vector are one. A vector is no candidate for a query with its own id; null ids take no part.
+vector are one. A vector is no candidate for a query with its own id; null ids take no part. A score beyond
+64 bits is an error.
 """
 import numpy as np
 import pyarrow as pa
@@ -21,166 +25,201 @@ from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..staging import checkpointed
+from ..staging import checkpointed, new_folder
 
 SCALE = 64
 K = 20
 #: Vectors in a block of candidates, and in a block of queries.
-BLOCK, QUERY_BLOCK = 4096, 1024
-#: Blocks of candidates that one task meets with a block of queries.
-SLICE = 4
+BLOCK, QUERY_BLOCK = 4096, 256
+#: Blocks of the index in a slice at most on average, and blocks of queries that meet it together.
+SLICE, PART = 16, 128
 #: Lower ends of the ranges of magnitudes, as powers of two: 16 and more, 8 to 15, 4 to 7, below.
 SEGMENTS = (16, 8, 4, 0)
 #: A query with at most this share of a block as possible members is settled.
 _FEW = 1 / 16
+#: Lengths whose product is below this have all products of components and their sums exact as doubles.
+_EXACT = 2.0 ** 52
 
 
 def quantised(vectors, id_col="vec_id", vector_col="embedding", scale=SCALE):
     """(vec_id, v): the vectors that take part, with components floor(scale * x)."""
     x = F.col(vector_col)
     finite = F.forall(x, lambda c: c.isNotNull() & (F.abs(c.cast("double")) < float("inf")))
-    whole = F.transform(x, lambda c: F.floor(c.cast("double") * scale))
+
+    def component(c):
+        scaled = c.cast("double") * scale
+        return F.when(F.abs(scaled) < 2.0 ** 62, F.floor(scaled)).otherwise(
+            F.raise_error(F.lit("a component is too large for 64 bits")).cast("long"))
+
+    whole = F.transform(x, component)
     return (vectors.where(x.isNotNull() & F.col(id_col).isNotNull() & finite)
             .select(F.col(id_col).alias("vec_id"), whole.alias("v")).dropDuplicates())
 
 
-def packed_blocks(rows, size):
-    """(block, ids, data, n, width): blocks of up to `size` vectors, packed within a task.
+#: What a block of the index has, and a block of queries (the first two).
+_ARRAYS = {"ids": np.int64, "data": np.int64, "rows": np.int32, "starts": np.int64, "values": np.int64,
+           "dims": np.int64, "left": np.float64}
 
-    Components are 16-bit numbers where all of a block fit, else 64-bit ones.
-    """
+
+def postings(data):
+    """The lists of a block by falling impact: rows of all lists, starts of the lists, their value and dimension."""
+    row, dim = np.nonzero(data)
+    value = data[row, dim]
+    order = np.lexsort((row, dim, value, -np.abs(value)))
+    row, dim, value = row[order], dim[order], value[order]
+    new = np.append(True, (value[1:] != value[:-1]) | (dim[1:] != dim[:-1]))[:len(row)]
+    starts = np.flatnonzero(new)
+    return {"rows": row, "starts": starts, "values": value[starts], "dims": dim[starts]}
+
+
+def indexed(ids, data):
+    """The arrays of a block, in order of the ids: of equal scores the smaller id comes first."""
+    order = np.argsort(ids, kind="stable")
+    ids, data = ids[order], data[order]
+    size = np.abs(data)
+    # The length of what later segments hold of each vector.
+    left = [np.sqrt((np.where(size < least, data, 0).astype(float) ** 2).sum(1)) for least in SEGMENTS]
+    return {"ids": ids, "data": data, "left": np.array(left), **postings(data)}
+
+
+def packed_blocks(rows, size, with_index):
+    """Blocks of up to `size` vectors as bytes, packed within a task, with or without their index."""
     def run(batches):
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for start in range(0, batch.num_rows, size):
                 part = batch.slice(start, size)
-                lists = part.column("v").to_pylist()
-                width = max(map(len, lists))
-                data = np.zeros((len(lists), width), np.int64)
-                for row, values in zip(data, lists):
-                    row[:len(values)] = values
+                lists = part.column("v")
+                lengths = np.diff(lists.offsets.to_numpy())
+                data = np.zeros((len(lengths), max(lengths.max(), 1)), np.int64)
+                data[np.arange(data.shape[1]) < lengths[:, None]] = lists.flatten().to_numpy()
                 ids = part.column("vec_id").cast(pa.int64()).to_numpy()
-                if np.abs(data).max(initial=0) < 1 << 15:
-                    data = data.astype(np.int16)
+                arrays = indexed(ids, data) if with_index else {"ids": ids, "data": data}
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([number]), pa.array([ids.tobytes()]), pa.array([data.tobytes()]),
-                     pa.array([len(ids)]), pa.array([width])], ["block", "ids", "data", "n", "width"])
+                    [pa.array([number]), pa.array([len(ids)]), *(
+                        pa.array([np.ascontiguousarray(arrays[c], kind).tobytes() if c in arrays else None],
+                                 pa.binary()) for c, kind in _ARRAYS.items())], ["block", "n", *_ARRAYS])
                 number += 1
 
-    return rows.mapInArrow(run, "block long, ids binary, data binary, n long, width long")
-
-
-def unpacked(ids, data, n, width):
-    kind = np.int16 if len(data) == 2 * n * width else np.int64
-    return np.frombuffer(ids, np.int64), np.frombuffer(data, kind).reshape(n, width).astype(np.int64)
-
-
-class ImpactIndex:
-    """One block of candidates, its postings in segments of falling impact."""
-
-    def __init__(self, ids, data):
-        order = np.argsort(ids, kind="stable")  # of equal scores the smaller id comes first
-        self.ids, self.data = ids[order], data[order]
-        size = np.abs(self.data)
-        above = np.inf
-        self.segments = []
-        for least in SEGMENTS:
-            here = (size >= least) & (size < above)
-            above = least
-            left = np.sqrt((np.where(size < least, self.data, 0).astype(float) ** 2).sum(1))
-            self.segments.append((np.where(here, self.data, 0).T, left))
-
-    def top(self, query_ids, queries, k, floor):
-        """(query row, vector id, score) of the k best of each query that reach its floor.
-
-        floor: scores that k vectors of other blocks are known to reach, per query.
-        """
-        n = len(self.ids)
-        norms = np.sqrt((queries.astype(float) ** 2).sum(1))
-        rows = np.arange(len(queries))
-        # Single precision holds these integers exactly as long as no sum can pass 2**24.
-        largest = np.abs(queries).max(initial=0) * np.abs(self.data).max(initial=0) * queries.shape[1]
-        kind = np.float32 if largest < 1 << 24 else np.float64
-        scores = np.zeros((len(queries), n), kind)
-        # The query's own vector is never a member.
-        place = np.searchsorted(self.ids, query_ids, side="left")
-        until = np.searchsorted(self.ids, query_ids, side="right")
-        for r in np.flatnonzero(until > place):
-            scores[r, place[r]:until[r]] = -np.inf
-        out = []
-        for number, (postings, left) in enumerate(self.segments):
-            if not len(rows):
-                break
-            scores += queries[rows].astype(kind) @ postings.astype(kind)
-            slack = (norms[rows][:, None] * left * 1.00001).astype(kind)
-            lower = scores - slack if number + 1 < len(self.segments) else scores
-            if n > k:
-                best = np.partition(lower, n - k, axis=1)[:, n - k]
-            else:
-                best = np.full(len(rows), -np.inf)
-            proved = np.maximum(best, floor[rows])
-            # Scores are whole: half a unit is room for rounding and loses no proof.
-            possible = (scores + slack >= proved[:, None] - 0.5) & (scores > -np.inf)
-            settled = possible.sum(1) <= max(k, n * _FEW)
-            if number + 1 == len(self.segments):
-                settled[:] = True
-            for r in np.flatnonzero(settled):
-                members = np.flatnonzero(possible[r])
-                exact = self.data[members] @ queries[rows[r]]
-                chosen = np.argsort(-exact, kind="stable")[:k]
-                out.append((np.full(len(chosen), rows[r]), self.ids[members[chosen]], exact[chosen]))
-            rows, scores = rows[~settled], scores[~settled]
-        if not out:
-            return (np.zeros(0, np.int64),) * 3
-        return tuple(np.concatenate(x) for x in zip(*out))
-
-
-def numbered(blocks):
-    """The blocks, kept in the shared folder, with a dense `number`, and how many there are."""
-    blocks = checkpointed(blocks)
-    # One narrow row per block goes through the window.
-    order = F.row_number().over(Window.orderBy("block")) - 1
-    numbers = blocks.select("block").withColumn("number", order)
-    return blocks.join(numbers, "block"), blocks.count()
+    return rows.mapInArrow(run, "block long, n long, " + ", ".join(f"{c} binary" for c in _ARRAYS))
 
 
-def search(queries, candidates, k=K):
-    """(query_id, rank, vec_id, score): the k best of the candidates (vec_id, v) for each query.
+def unpacked(row):
+    out = {c: np.frombuffer(row[c], kind) for c, kind in _ARRAYS.items() if row[c] is not None}
+    out["data"] = out["data"].reshape(row["n"], -1)
+    if "left" in out:
+        out["left"] = out["left"].reshape(len(SEGMENTS), -1)
+    return out
+
+
+def exact_scores(query_id, query, ids, data):
+    """Inner products in whole numbers; one that 64 bits cannot hold is an error."""
+    scores = [sum(a * b for a, b in zip(query.tolist(), row)) for row in data.tolist()]
+    for other, s in zip(ids.tolist(), scores):
+        if not -(1 << 63) < s < 1 << 63:
+            raise ValueError(f"the score of vec_id {query_id} and {other} does not fit into 64 bits")
+    return np.array(scores, np.int64)
+
+
+def top(block, query_ids, queries, k, floor):
+    """(query row, vector ids, scores) for each query: its k best of a block that can reach its floor.
 
-    Blocks of queries and slices of SLICE candidate blocks form a grid; every cell is a task of its
-    own. A query block is copied once per slice, a candidate block once per query block.
+    floor: scores that k vectors of other blocks are known to reach, per query.
     """
-    cells, n_cells = numbered(packed_blocks(queries, QUERY_BLOCK))
-    blocks, n_blocks = numbered(packed_blocks(candidates, BLOCK))
-    slices = max(1, -(-n_blocks // SLICE))
-    cells = cells.select(
-        F.col("number").alias("q_block"), F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"),
-        F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.col("n").alias("q_n"),
-        F.col("width").alias("q_width"))
-    grid = (blocks.select(
-        "ids", "data", "n", "width", (F.col("number") % slices).alias("slice"),
-        F.explode(F.sequence(F.lit(0), F.lit(max(n_cells, 1) - 1))).alias("q_block"))
-        .join(cells, ["q_block", "slice"]))
+    ids, data = block["ids"], block["data"]
+    width = max(data.shape[1], queries.shape[1])
+    if data.shape[1] < width or queries.shape[1] < width:
+        data, queries = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (data, queries))
+    n, norms = len(ids), np.sqrt((queries.astype(float) ** 2).sum(1))
+    longest = norms.max(initial=0) * np.sqrt((data.astype(float) ** 2).sum(1)).max(initial=0)
+    # The query's own vector is never a member.
+    place = np.searchsorted(ids, query_ids, side="left")
+    until = np.searchsorted(ids, query_ids, side="right")
+    if longest >= _EXACT:
+        for r, (a, b) in enumerate(zip(place, until)):
+            others = np.append(np.arange(a), np.arange(b, n))
+            exact = exact_scores(query_ids[r], queries[r], ids[others], data[others])
+            chosen = np.argsort(-exact, kind="stable")[:k]
+            yield r, ids[others[chosen]], exact[chosen]
+        return
+    # Single precision holds these integers exactly as long as no sum can pass 2**24.
+    largest = np.abs(queries).max(initial=0) * float(np.abs(data).max(initial=0)) * width
+    kind = np.float32 if largest < 1 << 24 else np.float64
+    rows = np.arange(len(queries))
+    scores = np.zeros((n, len(queries)), kind)
+    for r in np.flatnonzero(until > place):
+        scores[place[r]:until[r], r] = -np.inf
+    by_dim = queries.T.astype(kind)
+    ends = np.append(block["starts"][1:], len(block["rows"]))
+    impact, at = np.abs(block["values"]), 0
+    for number, least in enumerate(SEGMENTS):
+        if not len(rows):
+            return
+        while at < len(impact) and impact[at] >= least:
+            members = block["rows"][block["starts"][at]:ends[at]]
+            scores[members] += by_dim[block["dims"][at]] * kind(block["values"][at])
+            at += 1
+        last = number + 1 == len(SEGMENTS)
+        slack = (block["left"][number][:, None] * (norms[rows] * 1.00001)).astype(kind)
+        lower = scores - slack
+        best = np.partition(lower, n - k, axis=0)[n - k] if n > k else np.full(len(rows), -np.inf)
+        proved = np.maximum(best, floor[rows])
+        # Scores are whole: half a unit is room for rounding and loses no proof.
+        possible = (scores + slack >= proved - 0.5) & (scores > -np.inf)
+        settled = possible.sum(0) <= (n if last else max(k, n * _FEW))
+        for i in np.flatnonzero(settled):
+            members = np.flatnonzero(possible[:, i])
+            exact = data[members] @ queries[rows[i]]
+            chosen = np.argsort(-exact, kind="stable")[:k]
+            yield rows[i], ids[members[chosen]], exact[chosen]
+        rows, scores, by_dim = rows[~settled], scores[:, ~settled], by_dim[:, ~settled]
+
+
+class Best:
+    """A block of queries and the k best that a task has found for each."""
+
+    def __init__(self, arrays, k):
+        self.query_ids, self.queries, self.k = arrays["ids"], arrays["data"], k
+        self.ids = [np.zeros(0, np.int64)] * len(self.query_ids)
+        self.scores = list(self.ids)
+
+    def meet(self, block):
+        floor = np.array([s[-1] if len(s) == self.k else -np.inf for s in self.scores], float)
+        for r, ids, scores in top(block, self.query_ids, self.queries, self.k, floor):
+            ids, scores = np.concatenate([self.ids[r], ids]), np.concatenate([self.scores[r], scores])
+            order = np.lexsort((ids, -scores))[:self.k]
+            self.ids[r], self.scores[r] = ids[order], scores[order]
 
-    def run(batches):
-        floors = {}  # per block of queries: what k vectors seen by this task reach
-        for batch in batches:
-            for row in batch.to_pylist():
-                q_ids, q = unpacked(row["q_ids"], row["q_data"], row["q_n"], row["q_width"])
-                ids, data = unpacked(row["ids"], row["data"], row["n"], row["width"])
-                width = max(q.shape[1], data.shape[1])
-                q, data = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (q, data))
-                floor = floors.setdefault(row["q_block"], np.full(len(q), -np.inf))
-                at, found, score = ImpactIndex(ids, data).top(q_ids, q, k, floor)
-                counts = np.bincount(at, minlength=len(q))
-                lowest = np.full(len(q), np.inf)
-                np.minimum.at(lowest, at, score)
-                floor[counts == k] = np.maximum(floor, lowest)[counts == k]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_ids[at]), pa.array(found), pa.array(score.astype(np.int64))],
-                    ["query_id", "vec_id", "score"])
 
-    found = grid.mapInArrow(run, "query_id long, vec_id long, score long")
+def search(queries, candidates, k=K):
+    """(query_id, rank, vec_id, score): the k best of the candidates (vec_id, v) for each query."""
+    spark = queries.sparkSession
+    folder = new_folder(spark, "impact-index")
+    packed_blocks(candidates, BLOCK, True).write.parquet(folder)
+    index, asked = spark.read.parquet(folder), checkpointed(packed_blocks(queries, QUERY_BLOCK, False))
+    n_blocks, parts = index.count(), max(1, -(-asked.count() // PART))
+    slices = max(1, -(-n_blocks // SLICE), min(n_blocks, 2 * spark.sparkContext.defaultParallelism))
+
+    def dealt(table, own, of, other, n):
+        return table.select("*", F.pmod(F.xxhash64("block"), F.lit(of)).alias(own), F.explode(
+            F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias(other))
+
+    def run(of_index, of_queries):
+        held = [Best(unpacked(row), k) for row in of_queries.to_pylist()]
+        for batch in of_index.to_batches(1):
+            block = unpacked(batch.to_pylist()[0])
+            for one in held:
+                one.meet(block)
+        counts = [len(s) for one in held for s in one.scores]
+        query_ids = np.concatenate([one.query_ids for one in held] or [np.zeros(0, np.int64)])
+        found = [np.concatenate([x for one in held for x in getattr(one, name)] or [np.zeros(0, np.int64)])
+                 for name in ("ids", "scores")]
+        return pa.Table.from_arrays(
+            [pa.array(np.repeat(query_ids, counts)), *map(pa.array, found)], ["query_id", "vec_id", "score"])
+
+    found = (dealt(index, "slice", slices, "part", parts).groupBy("slice", "part")
+             .cogroup(dealt(asked, "part", parts, "slice", slices).groupBy("slice", "part"))
+             .applyInArrow(run, "query_id long, vec_id long, score long"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

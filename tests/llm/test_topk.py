@@ -49,14 +49,47 @@ def test_few_and_no_vectors(spark):
     assert topk.search(none, none).collect() == []
 
 
-def test_index_stops_early_on_spread_out_scores():
+def test_postings_are_those_of_the_block():
+    data = np.random.RandomState(1).randint(-4, 5, (50, 7))
+    index = topk.indexed(np.arange(50), data)
+    ends = [*index["starts"][1:], len(index["rows"])]
+    again, impacts = np.zeros_like(data), []
+    for a, b, value, dim in zip(index["starts"], ends, index["values"], index["dims"]):
+        again[index["rows"][a:b], dim] += value
+        impacts.append(abs(value))
+    assert np.array_equal(again, data) and impacts == sorted(impacts, reverse=True) and 0 not in impacts
+
+
+def test_index_stops_early_on_spread_out_scores(monkeypatch):
     own = np.random.RandomState(0)
     data = own.randint(-3, 4, (2000, 16))
     data[:30] += own.randint(20, 30, (30, 16))
-    index = topk.ImpactIndex(np.arange(2000), data)
+    block = topk.indexed(np.arange(2000), data)
+    read = []
+
+    class Watched(np.ndarray):
+        def __getitem__(self, at):
+            if isinstance(at, slice):
+                read.append(at.stop - at.start)
+            return np.ndarray.__getitem__(self, at)
+
+    block["rows"] = block["rows"].view(Watched)
     queries = np.abs(own.randint(1, 9, (4, 16)))
-    at, ids, scores = index.top(np.full(4, -1), queries, 20, np.full(4, -np.inf))
+    found = {r: (ids, scores) for r, ids, scores in topk.top(block, np.full(4, -1), queries, 20, np.full(4, -np.inf))}
     for q in range(4):
         exact = data @ queries[q]
         want = np.lexsort((np.arange(2000), -exact))[:20]
-        assert ids[at == q].tolist() == want.tolist() and scores[at == q].tolist() == exact[want].tolist()
+        assert found[q][0].tolist() == want.tolist() and found[q][1].tolist() == exact[want].tolist()
+    assert sum(read) < 0.1 * np.count_nonzero(data)
+
+
+def test_large_components(spark):
+    rows = [(20, [2.0 ** 25, 3.0]), (3, [2.0 ** 25, 1.0]), (4, [2.0 ** 25, 2.0]), (5, [-1.0, 0.0])]
+    table = topk.quantised(vectors(spark, rows))
+    got = topk.search(table.where("vec_id % 20 = 0"), table, 2).orderBy("rank").collect()
+    big = (64 * 2 ** 25) ** 2
+    assert topk._EXACT < big < 1 << 63
+    assert [(r.vec_id, r.score) for r in got] == [(4, big + 64 * 64 * 6), (3, big + 64 * 64 * 3)]
+    beyond = topk.quantised(vectors(spark, [(20, [1e8] * 8), (3, [1e8] * 8)]))
+    with pytest.raises(Exception, match="64 bits"):
+        topk.search(beyond.where("vec_id % 20 = 0"), beyond).collect()
