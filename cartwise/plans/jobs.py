@@ -11,13 +11,10 @@ def load(spark, csv_paths, table="raw_transactions"):
     Lines that do not fit the source schema, or whose customer id has a fraction, are
     published as rejected_lines, the numbers of rows before and after merging as load_report.
     """
-    parts, rejected = files.read_parts(spark, csv_paths, whole_columns=files.ID_COLUMNS)
+    parts, rejected = files.read_parts(spark, csv_paths, whole_columns=files.ID_COLUMNS, parse_once=True)
     files.publish(rejected, "rejected_lines")
-    merged, removed = files.merge_parts_counted(parts)
+    merged, report = files.merge_parts_counted(parts)
     files.create_base_table(files.to_raw_transactions(merged), table)
-    rows = files.row_count(spark.table(table)).first()["rows"]
-    report = spark.createDataFrame([(rows + removed(), rows, removed())],
-                                   "rows_before long, rows_after long, rows_removed long")
     files.publish(report, "load_report")
     cleaning.create_views(spark.table(table))
     return files.row_count(spark.table("clean_transactions"))

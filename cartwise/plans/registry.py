@@ -339,7 +339,8 @@ def no_leakage(r):
     past = r.activity.where(F.col("invoice_date") < as_time(r.cutoff))
     with_future, without = (_features_rounded(features.features_as_of(lines, r.cutoff, HOME))
                             for lines in (r.activity, past))
-    return with_future.exceptAll(without).unionByName(without.exceptAll(with_future))
+    both = with_future.withColumn("side", F.lit(1)).unionByName(without.withColumn("side", F.lit(-1)))
+    return both.groupBy(*with_future.columns).agg(F.sum("side").alias("side")).where("side <> 0").drop("side")
 
 
 def riskiest_explained(r):

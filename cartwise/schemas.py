@@ -50,11 +50,13 @@ EXCLUDED_CODES = (
     "CRUK", "BANK CHARGES", "ADJUST", "AMAZONFEE", "TEST001",
 )
 
+# The home country, and the limits in days of label, recent orders and eligibility.
 HOME_COUNTRY = "United Kingdom"
 LABEL_DAYS = 90
 RECENT_DAYS = 90
 MAX_RECENCY_DAYS = 365
 
+# Names and order of the features.
 FEATURE_COLUMNS = (
     "recency_days",
     "frequency",
@@ -85,11 +87,13 @@ FEATURE_RANGES = {
     "is_uk": (0, 1),
 }
 
+# Columns of the customer profile.
 RFM_COLUMNS = ("recency_days", "frequency", "monetary")
 
 # Business order of the categories (fixed values).
 SEGMENTS = ("Champions", "Promising", "At risk", "Lost")
 RISK_LEVELS = ("High", "Medium", "Low")
+# Lower ends of the risk levels, and the probability from which churn is predicted.
 HIGH_RISK = 0.7
 MEDIUM_RISK = 0.4
 DECISION_THRESHOLD = 0.5

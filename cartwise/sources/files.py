@@ -1,22 +1,25 @@
 """Reading transaction and feature files, and writing tables."""
 from functools import reduce
 
-from pyspark.sql import Observation, functions as F, types as T
+from pyspark.sql import functions as F, types as T
 
 from ..schemas import COLUMN_NAMES, FEATURES, MISSING_TOKENS, RAW_TRANSACTIONS, SOURCE_FILE
-from ..staging import checkpointed
+from ..staging import checkpointed, new_folder, run_together
 from .quoted import read_quoted_csv
 
 CORRUPT = "corrupt_record"
 ID_COLUMNS = ("Customer ID",)
+#: Files whose first lines are looked up at the same time.
+HEADERS_AT_ONCE = 16
 
 
 def read_csv(spark, paths, schema, timestamp_format=None, missing_tokens=MISSING_TOKENS,
-             whole_columns=(), multi_line=False):
+             whole_columns=(), multi_line=False, parse_once=False):
     """CSV with declared types: (good rows, lines that do not fit the schema).
 
     whole_columns hold numbers that must not have a fraction. multi_line reads records with
     quoted line breaks: True by one task per file, "parallel" by as many tasks as the files have parts.
+    parse_once writes the parsed text to the shared folder, from where both results are read.
 
     Everything is read as text first, so that every spelling of "missing" becomes null
     before the types are applied. A value that fails its cast sends the line to the rejects.
@@ -48,9 +51,14 @@ def read_csv(spark, paths, schema, timestamp_format=None, missing_tokens=MISSING
         F.when(present(f.name).isNotNull() & (typed(f).isNull() | (
             ~_integral(typed(f)) if f.name in whole_columns else F.lit(False))), F.lit(f.name))
         for f in schema.fields]))
-    bad = F.col(CORRUPT).isNotNull() | (F.size(failed) > 0)
-    good = text.where(~bad).select(*[typed(f).alias(f.name) for f in schema.fields])
-    return good, text.where(bad).withColumn("failed_columns", failed)
+    checked = text.withColumn("failed_columns", failed)
+    if parse_once:
+        folder = new_folder(spark, "parsed")
+        checked.write.parquet(folder)
+        checked = spark.read.schema(checked.schema).parquet(folder)
+    bad = F.col(CORRUPT).isNotNull() | (F.size("failed_columns") > 0)
+    good = checked.where(~bad).select(*[typed(f).alias(f.name) for f in schema.fields])
+    return good, checked.where(bad)
 
 
 def _header(spark, path):
@@ -64,9 +72,10 @@ def read_parts(spark, paths, schema=SOURCE_FILE, **options):
     Files with the same header are read together, by one plan whatever their number; each
     order of columns is one table, aligned by name.
     """
-    like = {}
-    for path in paths:
-        like.setdefault(_header(spark, path), []).append(path)
+    like, paths = {}, list(paths)
+    headers = run_together(spark, lambda path: _header(spark, path), paths, HEADERS_AT_ONCE) if paths else []
+    for path, header in zip(paths, headers):
+        like.setdefault(header, []).append(path)
     fields = {f.name: f for f in schema.fields}
     both = []
     for names, own in like.items():
@@ -91,17 +100,19 @@ def merge_parts(parts):
 
 
 def merge_parts_counted(parts):
-    """The merged table and a function that tells how many rows the last action removed."""
-    before, after = Observation("rows_before"), Observation("rows_after")
-    rows = F.count(F.lit(1)).alias("rows")
-    merged = union_parts(parts).observe(before, rows).dropDuplicates().observe(after, rows)
-    return merged, lambda: before.get["rows"] - after.get["rows"]
+    """(merged rows, one row with rows_before, rows_after, rows_removed).
 
-
-def duplicates_removed(parts):
-    """Rows before, rows after and rows removed, from one grouping."""
+    Rows and their number of copies are written to the shared folder and both results read from there, so
+    a stage that ran twice after a lost executor counts once.
+    """
     union = union_parts(parts)
-    copies = union.groupBy(*union.columns).agg(F.count(F.lit(1)).alias("copies"))
+    folder = new_folder(union.sparkSession, "merged")
+    union.groupBy(*union.columns).agg(F.count(F.lit(1)).alias("copies")).write.parquet(folder)
+    written = union.sparkSession.read.parquet(folder)
+    return written.drop("copies"), _rows_removed(written)
+
+
+def _rows_removed(copies):
     return copies.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("rows_before"),
         F.count(F.lit(1)).alias("rows_after"),
@@ -109,6 +120,12 @@ def duplicates_removed(parts):
     )
 
 
+def duplicates_removed(parts):
+    """Rows before, rows after and rows removed, from one grouping."""
+    union = union_parts(parts)
+    return _rows_removed(union.groupBy(*union.columns).agg(F.count(F.lit(1)).alias("copies")))
+
+
 def _integral(value):
     return value == F.floor(value)
 

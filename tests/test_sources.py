@@ -96,9 +96,9 @@ def test_parts_are_merged_without_copies(spark, tmp_path):
     two = write(tmp_path, "2.csv", line, "3,A,d,1,2010-12-02 07:45:00,1.0,5,X")
     parts, rejected = files.read_parts(spark, [one, two])
     assert rejected.count() == 0
-    merged, removed = files.merge_parts_counted(parts)
+    merged, report = files.merge_parts_counted(parts)
     assert sorted(r["Invoice"] for r in merged.collect()) == ["1", "2", "3"]
-    assert removed() == 2
+    assert tuple(report.first()) == (5, 3, 2)
     assert tuple(files.duplicates_removed(parts).first()) == (5, 3, 2)
     assert files.merge_parts(parts).count() == 3
 
