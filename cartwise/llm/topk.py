@@ -30,9 +30,9 @@ from ..staging import checkpointed, new_folder
 SCALE = 64
 K = 20
 #: Vectors in a block of candidates, and in a block of queries.
-BLOCK, QUERY_BLOCK = 4096, 256
+BLOCK, QUERY_BLOCK = 4096, 512
 #: Blocks of the index in a slice at most on average, and blocks of queries that meet it together.
-SLICE, PART = 16, 128
+SLICE, PART = 16, 64
 #: Lower ends of the ranges of magnitudes, as powers of two: 16 and more, 8 to 15, 4 to 7, below.
 SEGMENTS = (16, 8, 4, 0)
 #: A query with at most this share of a block as possible members is settled.
@@ -175,11 +175,29 @@ def top(block, query_ids, queries, k, floor):
         rows, scores, by_dim = rows[~settled], scores[:, ~settled], by_dim[:, ~settled]
 
 
+def together(blocks, size):
+    """(ids, data) of small blocks put together to blocks of about `size` vectors."""
+    ids, parts = [], []
+    for block in blocks:
+        ids.append(block["ids"])
+        parts.append(block["data"])
+        if sum(map(len, ids)) >= size:
+            yield _joined(ids, parts)
+            ids, parts = [], []
+    if ids:
+        yield _joined(ids, parts)
+
+
+def _joined(ids, parts):
+    width = max(p.shape[1] for p in parts)
+    return np.concatenate(ids), np.concatenate([np.pad(p, ((0, 0), (0, width - p.shape[1]))) for p in parts])
+
+
 class Best:
     """A block of queries and the k best that a task has found for each."""
 
-    def __init__(self, arrays, k):
-        self.query_ids, self.queries, self.k = arrays["ids"], arrays["data"], k
+    def __init__(self, ids, data, k):
+        self.query_ids, self.queries, self.k = ids, data, k
         self.ids = [np.zeros(0, np.int64)] * len(self.query_ids)
         self.scores = list(self.ids)
 
@@ -205,7 +223,7 @@ def search(queries, candidates, k=K):
             F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias(other))
 
     def run(of_index, of_queries):
-        held = [Best(unpacked(row), k) for row in of_queries.to_pylist()]
+        held = [Best(ids, data, k) for ids, data in together(map(unpacked, of_queries.to_pylist()), QUERY_BLOCK)]
         for batch in of_index.to_batches(1):
             block = unpacked(batch.to_pylist()[0])
             for one in held:
