@@ -149,7 +149,7 @@ def top(block, query_ids, queries, k, floor):
     scores = np.zeros((n, len(queries)), kind)
     for r in np.flatnonzero(until > place):
         scores[place[r]:until[r], r] = -np.inf
-    by_dim = queries.T.astype(kind)
+    by_dim = np.ascontiguousarray(queries.T, kind)
     ends = np.append(block["starts"][1:], len(block["rows"]))
     impact, at = np.abs(block["values"]), 0
     for number, least in enumerate(SEGMENTS):
@@ -162,7 +162,8 @@ def top(block, query_ids, queries, k, floor):
         last = number + 1 == len(SEGMENTS)
         slack = (block["left"][number][:, None] * (norms[rows] * 1.00001)).astype(kind)
         lower = scores - slack
-        best = np.partition(lower, n - k, axis=0)[n - k] if n > k else np.full(len(rows), -np.inf)
+        best = (np.partition(np.ascontiguousarray(lower.T), n - k, axis=1)[:, n - k] if n > k
+                else np.full(len(rows), -np.inf))
         proved = np.maximum(best, floor[rows])
         # Scores are whole: half a unit is room for rounding and loses no proof.
         possible = (scores + slack >= proved - 0.5) & (scores > -np.inf)
@@ -172,7 +173,10 @@ def top(block, query_ids, queries, k, floor):
             exact = data[members] @ queries[rows[i]]
             chosen = np.argsort(-exact, kind="stable")[:k]
             yield rows[i], ids[members[chosen]], exact[chosen]
-        rows, scores, by_dim = rows[~settled], scores[:, ~settled], by_dim[:, ~settled]
+        if settled.any():
+            # Rows stay next to each other in memory: the lists add to whole rows.
+            rows, by_dim = rows[~settled], np.compress(~settled, by_dim, axis=1)
+            scores = np.ascontiguousarray(np.compress(~settled, scores, axis=1))
 
 
 def together(blocks, size):
