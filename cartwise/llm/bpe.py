@@ -57,7 +57,7 @@ class Encoder:
         letters = byte_letters()
         self.first = np.array([vocab[letters[b]] for b in range(256)])
         self.last = np.array([vocab[letters[b] + mark] for b in range(256)])
-        self.byte_of = {letter: b for b, letter in letters.items()}
+        self.byte_of = {ord(letter): b for b, letter in letters.items()}
         pairs = [(a, b) for a, b in model["merges"]]
         keys = np.array([vocab[a] * self.size + vocab[b] for a, b in pairs])
         made = np.array([vocab[a + b] for a, b in pairs])
@@ -99,7 +99,7 @@ class Encoder:
         pieces = self.splitter.pre_tokenize_str(text)
         spaces = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), "<u4") == 32)
         word = np.searchsorted(spaces, np.array([at for _, (at, _) in pieces], np.int64))
-        data = bytes(self.byte_of[c] for letters, _ in pieces for c in letters)
+        data = "".join([letters for letters, _ in pieces]).translate(self.byte_of).encode("latin-1")
         lengths = np.array([len(letters) for letters, _ in pieces], np.int64)
         return np.frombuffer(data, np.uint8), lengths, word
 
@@ -174,13 +174,16 @@ class Encoder:
     def encode_words(self, lists):
         """Packed ids of each list of words; the new words of all of them are merged together."""
         memory = self.memory
-        new = {w for words in lists for w in words if w not in memory}
+        distinct = set().union(*lists)
+        new = distinct.difference(memory)
         if len(memory) + len(new) > self.memory_words:
             memory.clear()
-            new = {w for words in lists for w in words}
+            new = distinct
         if new:
             self._learn(list(new))
-        return [b"".join(map(memory.__getitem__, words)) for words in lists]
+        # The large memory is asked once for each distinct word; the texts are put together from a small part of it.
+        known = {w: memory[w] for w in distinct}
+        return [b"".join(map(known.__getitem__, words)) for words in lists]
 
     def encode(self, texts):
         """Packed ids of each text, in order. Long texts are worked through in blocks."""
