@@ -2,6 +2,7 @@ import csv
 import io
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -80,3 +81,24 @@ def test_no_row_is_brought_together_without_need(spark, tmp_path):
     lines = quoted.lines_of(spark, str(tmp_path))
     starts = quoted.starts_of_parts(quoted.functions_of_parts(lines))
     assert quoted.numbered(lines, starts).where("NOT whole").count() == 2
+
+
+def test_records_within_a_part_are_parsed_once_and_not_brought_together(spark, tmp_path):
+    write(tmp_path / "a.csv", [(i, 'a "b",\n', "\n", '\n\n,"') for i in range(30)])
+    good, _ = files.read_csv(spark, str(tmp_path), SCHEMA, missing_tokens=(), multi_line="parallel")
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("csvtostructs") + plan.count("from_csv") == 1 and "Aggregate" not in plan
+    assert {tuple(r)[1:] for r in good.collect()} == {('a "b",\n', "\n", '\n\n,"')}
+
+
+def test_states_of_many_lines_are_those_of_single_lines():
+    own = random.Random(4)
+    for _ in range(300):
+        lines = ["".join(own.choices(['"', '""', ",", "x", '",', ',"', "é"], k=own.randrange(7))) for _ in range(9)]
+        for inside in (0, 1):
+            begun, end = quoted.states_of(pa.array(["skipped", *lines])[1:], inside)
+            state = inside
+            for line, begins in zip(lines, begun):
+                assert begins == bool(state)
+                state = quoted.ends_inside(line, bool(state))
+            assert bool(end) == bool(state)
