@@ -11,11 +11,12 @@ A fit per fold leaves out that fold; the last fit has all rows. Each tree uses a
 the features, the same for all fits. Gradients are whole multiples of 2^-30, so sums do not depend on the
 order of tasks and the same table gives the same trees.
 
-Rows are kept as blocks (bins as bytes, margins of every fit). Margins are brought up to date and written to
-the shared folder every REFRESH rounds; in between the tasks apply the few trees since then. A row of
-the histogram is only sent where there is something in it: at most fits * nodes * features * bins rows
-leave a task, whatever the number of customers. Up to ROWS_PER_PARTITION rows, which one task holds anyway, no
-sums need to be brought together: every fit is then a task that grows its own trees, the same ones.
+Rows are kept as blocks (bins as bytes, margins of every fit), in at least as many partitions as there are
+cores. Every round brings the margins up to date in memory, and every REFRESH rounds they are written to the
+shared folder. A row of the histogram is only sent where there is something in it: at most
+fits * nodes * features * bins rows leave a task, whatever the number of customers. Up to TASK_PARTITIONS *
+ROWS_PER_PARTITION rows (some 25 MB as blocks) no sums need to be brought together: every fit is then a task
+that grows its own trees, the same ones, without a job for every level.
 """
 from dataclasses import asdict, dataclass
 
@@ -29,8 +30,11 @@ from ..staging import new_folder
 
 #: Rows of a block, and rounds after which margins are written anew.
 BLOCK_ROWS, REFRESH = 1 << 16, 25
-#: Rows of the training data in one partition.
-ROWS_PER_PARTITION = 250_000
+#: Rows of the training data in one partition, at most and (but for the last) at least; partitions up to which
+#: a fit is a task of its own.
+ROWS_PER_PARTITION, LEAST_ROWS, TASK_PARTITIONS = 250_000, 10_000, 4
+#: Levels in which the nodes of a tree are compared with whole columns of bins.
+_BY_NODE = 4
 #: Gradients count in units of 2^-UNIT_BITS.
 UNIT_BITS = 30
 #: Prime above the numbers that rows draw from, see Draws.
@@ -217,9 +221,17 @@ def blocks_of(train, edges, bases, label, id_column, fold_column, columns):
 
 def _reach(bins, feature, cut, levels):
     """The node of every row after so many levels of a tree."""
-    at, rows = np.zeros(bins.shape[1], np.int64), np.arange(bins.shape[1])
-    for _ in range(levels):
-        at = 2 * at + 1 + (bins[feature[at], rows] > cut[at])
+    at, rows = np.zeros(bins.shape[1], np.uint8 if levels <= _BY_NODE else np.int64), None
+    for level in range(levels):
+        first = (1 << level) - 1
+        if levels <= _BY_NODE:
+            right = bins[feature[first]] > int(cut[first])
+            for node in range(first + 1, 2 * first + 1):
+                right = np.where(at == node, bins[feature[node]] > int(cut[node]), right)
+        else:
+            rows = np.arange(bins.shape[1]) if rows is None else rows
+            right = bins[feature[at], rows] > cut[at]
+        at = 2 * at + 1 + right
     return at
 
 
@@ -234,18 +246,24 @@ def _margins(block, trees, depth):
     return margins
 
 
-def level_sums(block, margins, tree, level, columns, draw, below, bins, first_fit=0):
-    """Sums of gradients and hessians by (fit, node of the level, place of the feature, bin), in units."""
+def drawn_rows(block, margins, draw, below, first_fit=0):
+    """Per fit the bins of the rows that take part in a round, and their gradients and hessians in units."""
     a, b = draw
-    drawn = (a * block["draws"] + b) % PRIME < below
-    nodes = 1 << level
-    out = np.zeros((2, len(margins), nodes, len(columns), bins), np.int64)
+    drawn, out = (a * block["draws"] + b) % PRIME < below, []
     for fit, margin in enumerate(margins):
         chosen = np.flatnonzero(drawn & (block["folds"] != first_fit + fit))
         p = 1 / (1 + np.exp(-margin[chosen]))
         parts = [np.rint(x * (1 << UNIT_BITS)) for x in (p - block["labels"][chosen], p * (1 - p))]
-        own = block["bins"][:, chosen]
-        node = (_reach(own, tree[0][fit], tree[1][fit], level) - (nodes - 1)) * bins
+        out.append((block["bins"].take(chosen, axis=1), parts))
+    return out
+
+
+def level_sums(rows, tree, level, columns, bins):
+    """Sums of gradients and hessians by (fit, node of the level, place of the feature, bin), in units."""
+    nodes = 1 << level
+    out = np.zeros((2, len(rows), nodes, len(columns), bins), np.int64)
+    for fit, (own, parts) in enumerate(rows):
+        node = (_reach(own, tree[0][fit], tree[1][fit], level).astype(np.int64) - (nodes - 1)) * bins
         for place, f in enumerate(columns):
             key = node + own[f]
             for sums, part in zip(out, parts):
@@ -260,18 +278,18 @@ class SumsByJob:
     def __init__(self, blocks, folder, partitions, settings, below, fits):
         self.blocks, self.folder, self.partitions = blocks, folder, partitions
         self.settings, self.below, self.fits = settings, below, fits
-        self.pending, self.rounds = [], 0
+        self.older, self.rounds = [], 0
 
     def level(self, tree, level, columns, draw):
-        fits, pending, settings, below = self.fits, self.pending, self.settings, self.below
+        fits, settings, below = self.fits, self.settings, self.below
 
         def run(batches):
             total = 0
             for batch in batches:
                 for row in batch.to_pylist():
                     block = _read(row, fits)
-                    margins = _margins(block, pending, settings.depth)
-                    total = total + level_sums(block, margins, tree, level, columns, draw, below, settings.bins)
+                    drawn = drawn_rows(block, block["margins"], draw, below)
+                    total = total + level_sums(drawn, tree, level, columns, settings.bins)
             if not isinstance(total, int):
                 g, h = total.reshape(2, -1)
                 some = np.flatnonzero(h)
@@ -286,25 +304,38 @@ class SumsByJob:
         return out.reshape(shape)
 
     def add(self, tree):
-        self.pending, self.rounds = [*self.pending, tree], self.rounds + 1
-        if len(self.pending) == REFRESH:
-            older = self.blocks
-            self.blocks = kept(with_margins(older, self.pending, self.settings.depth, self.fits),
-                               f"{self.folder}/{self.rounds}", self.partitions)
-            self.pending = []
-            older.unpersist()
+        self.rounds += 1
+        newer = with_margins(self.blocks, [tree], self.settings.depth, self.fits)
+        if self.rounds % REFRESH == 0:
+            newer = kept(newer, f"{self.folder}/{self.rounds}", self.partitions)
+            self.release()
+            self.blocks.unpersist()
+        else:
+            # The jobs of this round have brought the blocks into memory: those before them can go.
+            newer = newer.persist()
+            self.release()
+            self.older.append(self.blocks)
+        self.blocks = newer
+
+    def release(self):
+        for blocks in self.older:
+            blocks.unpersist()
+        self.older = []
 
 
 class SumsInTask:
     """Sums over the blocks of one task, for one fit."""
 
-    def __init__(self, blocks, fit, settings, below):
+    def __init__(self, blocks, fit, base, settings, below):
         self.blocks, self.fit, self.settings, self.below = blocks, fit, settings, below
-        self.margins = [block["margins"][fit:fit + 1].copy() for block in blocks]
+        self.margins = [np.full((1, len(block["labels"])), base) for block in blocks]
+        self.drawn = None
 
     def level(self, tree, level, columns, draw):
-        return sum(level_sums(block, margins, tree, level, columns, draw, self.below, self.settings.bins, self.fit)
-                   for block, margins in zip(self.blocks, self.margins))
+        if level == 0:
+            self.drawn = [drawn_rows(block, margins, draw, self.below, self.fit)
+                          for block, margins in zip(self.blocks, self.margins)]
+        return sum(level_sums(rows, tree, level, columns, self.settings.bins) for rows in self.drawn)
 
     def add(self, tree):
         feature, cut, value = (x[0] for x in tree)
@@ -395,18 +426,22 @@ def grown(draws, edges, fits, settings, sums):
     return forest
 
 
-def _grown_by_tasks(blocks, draws, edges, fits, settings):
-    """A task for every fit, which gets all blocks."""
-    names = ("feature", "cut", "value", "cover", "gain")
+def _grown_by_tasks(blocks, draws, edges, bases, settings):
+    """A task for every fit, which gets the bins, labels, folds and draws of all blocks."""
+    names, needed, fits = ("feature", "cut", "value", "cover", "gain"), ("labels", "folds", "draws", "bins"), len(bases)
 
     def run(key, table):
-        own = [_read(row, fits) for row in table.to_pylist()]
-        own.sort(key=lambda block: block["ids"].min())
-        forest = grown(draws, edges, 1, settings, SumsInTask(own, key[0].as_py(), settings, draws.below))
-        return pa.table({"fit": pa.array([key[0].as_py()], pa.int32()), **{n: [getattr(forest, n).tobytes()] for n in names}})
-
-    copies = blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(fits - 1))).alias("fit"))
-    rows = copies.groupBy("fit").applyInArrow(run, "fit int, " + ", ".join(f"{n} binary" for n in names)).collect()
+        own, fit = [], key[0].as_py()
+        for row in table.select(["n", *needed]).to_pylist():
+            block = {name: np.frombuffer(row[name], _ARRAYS[name]) for name in needed}
+            own.append({**block, "bins": block["bins"].reshape(-1, row["n"])})
+        forest = grown(draws, edges, 1, settings, SumsInTask(own, fit, bases[fit], settings, draws.below))
+        return pa.table({"fit": pa.array([fit], pa.int32()), **{n: [getattr(forest, n).tobytes()] for n in names}})
+
+    # By range, so that no two fits come to the same task.
+    copies = blocks.select("n", *needed, F.explode(F.sequence(F.lit(0), F.lit(fits - 1))).alias("fit"))
+    rows = (copies.repartitionByRange(fits, "fit").groupBy("fit")
+            .applyInArrow(run, "fit int, " + ", ".join(f"{n} binary" for n in names)).collect())
     forest = Forest(settings.rounds, fits, settings.depth)
     for row in rows:
         for n in names:
@@ -434,19 +469,24 @@ def fit(train, settings=Settings(), label="churned", id_column="customer_id", fo
         if not 0 < ones < rows:
             raise ValueError("both labels are needed to fit trees")
         bases.append(float(np.log(ones / (rows - ones))))
-    partitions = max(1, -(-sum(c[0] for c in counts.values()) // ROWS_PER_PARTITION))
+    rows = sum(c[0] for c in counts.values())
+    # A task for every core at least: margins are worked out in them, and sums where there are many rows.
+    partitions = max(-(-rows // ROWS_PER_PARTITION), min(spark.sparkContext.defaultParallelism, -(-rows // LEAST_ROWS)))
     folder = new_folder(spark, "boosting")
-    blocks = kept(blocks_of(train.coalesce(partitions), edges, bases, label, id_column, fold_column, columns),
+    blocks = kept(blocks_of(train.repartition(partitions), edges, bases, label, id_column, fold_column, columns),
                   f"{folder}/0", partitions)
     draws = Draws(settings, len(columns))
-    if partitions == 1:
-        forest = _grown_by_tasks(blocks, draws, edges, fits, settings)
+    sums = None
+    if rows <= TASK_PARTITIONS * ROWS_PER_PARTITION:
+        forest = _grown_by_tasks(blocks, draws, edges, bases, settings)
         pending = [forest.tree(number) for number in range(settings.rounds)]
     else:
         sums = SumsByJob(blocks, folder, partitions, settings, draws.below, fits)
         forest = grown(draws, edges, fits, settings, sums)
-        blocks, pending = sums.blocks, sums.pending
+        blocks, pending = sums.blocks, []
     with_margins(blocks, pending, settings.depth, fits).write.parquet(f"{folder}/final")
+    if sums:
+        sums.release()
     blocks.unpersist()
     threshold = np.zeros(forest.feature.shape)
     for at in zip(*np.nonzero(forest.feature >= 0)):
