@@ -2,7 +2,7 @@
 
 All runs (every number of clusters with every start) step together: their centres are one small array that
 goes to the tasks, and one aggregate per step brings back a row per (run, cluster). A run leaves when its
-centres have settled. Up to ROWS_PER_PARTITION rows, which one task holds anyway, the runs are dealt out to
+centres have settled. Up to TASK_PARTITIONS * ROWS_PER_PARTITION rows (some 25 MB) the runs are dealt out to
 tasks instead that step by themselves, with the same result. Seeds are drawn as in scalable k-means++: a few rounds gather points that are far from
 those gathered before, the points are weighted by the rows nearest to them, and the driver picks the seeds of
 every run from these few weighted points.
@@ -17,7 +17,7 @@ distance to these rows lies in
 
 (the distance is convex, its square is d^2 + v on average), so distances are summed over cells instead of
 rows, with a proved error. A cell that is near enough to make the error larger than the tolerance is opened;
-far cells are taken whole. The tree has at most LEAVES leaves, whatever the number of rows; what is left of
+far cells are taken whole. Rows of a leaf are brought together, so the cells are looked up once per leaf. The tree has at most LEAVES leaves, whatever the number of rows; what is left of
 the error is given with the result.
 """
 import heapq
@@ -31,7 +31,10 @@ from .boosting import PRIME, quantile_edges, row_number
 
 UNIT_BITS = 24
 BLOCK_ROWS = 1 << 12
-ROWS_PER_PARTITION = 250_000
+#: Rows of a partition, at most and (but for the last) at least; partitions up to which runs are dealt out to tasks.
+ROWS_PER_PARTITION, LEAST_ROWS, TASK_PARTITIONS = 250_000, 10_000, 4
+#: Looking up the cells of a leaf takes as long as so many of its rows; rows for which distances are held at once.
+LEAF_ROWS, DISTANCE_ROWS = 200, 512
 #: Rounds in which seeds are gathered, and points gathered in each, as a multiple of the largest k.
 SEED_ROUNDS, OVERSAMPLING = 5, 2
 #: Leaves of the tree, and bins of a coordinate and occupied cells that it may be built from.
@@ -61,7 +64,8 @@ def blocks_of(df, columns, id_column="customer_id"):
     rows.mapInArrow(run, _BLOCK).write.parquet(folder)
     blocks = spark.read.schema(_BLOCK).parquet(folder)
     count = blocks.agg(F.sum("n")).first()[0] or 0
-    return blocks.coalesce(max(1, -(-count // ROWS_PER_PARTITION))).persist(), count
+    cores = min(spark.sparkContext.defaultParallelism, -(-count // LEAST_ROWS))
+    return blocks.repartition(max(1, cores, -(-count // ROWS_PER_PARTITION))).persist(), count
 
 
 def _summed(blocks, work, width):
@@ -100,9 +104,18 @@ def squared_distances(points, centres):
 
 
 def _nearest(points, centres):
-    distances = squared_distances(points, centres)
-    at = distances.argmin(1)
-    return at, distances[np.arange(len(points)), at]
+    """The nearest centre of every row, the first of equals, and the squared distance."""
+    columns, at = np.ascontiguousarray(points.T), np.zeros(len(points), np.int64)
+    for number, centre in enumerate(centres):
+        distance = (columns[0] - centre[0]) ** 2
+        for column, x in zip(columns[1:], centre[1:]):
+            distance += (column - x) ** 2
+        if number:
+            at[distance < best] = number
+            np.minimum(best, distance, out=best)
+        else:
+            best = distance
+    return at, best
 
 
 def step_totals(points, centres):
@@ -159,16 +172,16 @@ def _settled_by_tasks(blocks, runs, max_iter, tolerance):
     groups = min(len(runs), blocks.sparkSession.sparkContext.defaultParallelism)
 
     def run(key, table):
-        points = [np.frombuffer(row["points"]).reshape(row["n"], -1) for row in table.to_pylist()]
-        points = np.concatenate(points)
+        blocks = [np.frombuffer(row["points"]).reshape(row["n"], -1) for row in table.to_pylist()]
         mine = range(key[0].as_py(), len(runs), groups)
 
         def one_step(own):
             out = []
             for centres in own:
                 rows = np.zeros((len(centres), centres.shape[1] + 2), np.int64)
-                found, numbers = step_totals(points, centres)
-                rows[found] = numbers
+                for points in blocks:
+                    found, numbers = step_totals(points, centres)
+                    rows[found] += numbers
                 out.append(moved(centres, rows))
             return out
 
@@ -177,7 +190,8 @@ def _settled_by_tasks(blocks, runs, max_iter, tolerance):
                          "cost": pa.array([cost for _, cost in found], pa.float64())})
 
     copies = blocks.select("n", "points", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"))
-    rows = copies.groupBy("part").applyInArrow(run, "run int, centres binary, cost double").collect()
+    rows = (copies.repartitionByRange(groups, "part").groupBy("part")
+            .applyInArrow(run, "run int, centres binary, cost double").collect())
     found = {r.run: (np.frombuffer(r.centres).reshape(runs[r.run].shape), r.cost) for r in rows}
     return [found[i] for i in range(len(runs))]
 
@@ -276,7 +290,7 @@ def fit(df, ks, columns, n_init=10, seed=42, max_iter=300, tolerance=1e-4, id_co
     pools = gathered(blocks, n_init, OVERSAMPLING * max(ks), seed, len(columns))
     random = np.random.RandomState(seed)
     runs = {(k, i): seeds(points, weights, k, random) for k in ks for i, (points, weights) in enumerate(pools)}
-    if count <= ROWS_PER_PARTITION:
+    if count <= TASK_PARTITIONS * ROWS_PER_PARTITION:
         found = _settled_by_tasks(blocks, list(runs.values()), max_iter, tolerance)
     else:
         found = settled(list(runs.values()), lambda own: step(blocks, own), max_iter, tolerance)
@@ -306,10 +320,9 @@ def silhouettes(df, blocks, runs, columns, leaves=LEAVES, tolerance=TOLERANCE):
     # At most 2 * leaves nodes with the numbers of all clusters, whatever the number of rows.
     known = df.sparkSession.sparkContext.broadcast((tree, moments))
 
-    def own_bounds(points, _):
+    def own_bounds(leaf, points):
         tree, moments = known.value
         own = np.stack([first[r] + _nearest(points, c)[0] for r, c in enumerate(runs)])
-        leaf = tree.leaves(points)
         order = np.argsort(leaf, kind="stable")
         sums = np.zeros((len(runs), 3), np.int64)
         for at in np.split(order, np.flatnonzero(np.diff(leaf[order])) + 1):
@@ -319,12 +332,9 @@ def silhouettes(df, blocks, runs, columns, leaves=LEAVES, tolerance=TOLERANCE):
                 bounds = silhouette_bounds(low[:, clusters], high[:, clusters], own[r, at] - first[r],
                                            moments.n[0, clusters])
                 sums[r] += [len(at), *(_units(b).sum() for b in bounds)]
-        return np.arange(len(runs)), sums
+        return sums
 
-    # Much work for each row: a task for a few blocks.
-    spark = df.sparkSession
-    wide = blocks.repartition(max(blocks.rdd.getNumPartitions(), 2 * spark.sparkContext.defaultParallelism))
-    found = _summed(wide, own_bounds, 3)
+    found = _summed_by_leaf(blocks, known, own_bounds, len(runs))
     out = []
     for r in range(len(runs)):
         n, low, high = found[r].tolist()
@@ -333,6 +343,44 @@ def silhouettes(df, blocks, runs, columns, leaves=LEAVES, tolerance=TOLERANCE):
     return out
 
 
+def parts_of_leaves(rows, parts):
+    """(first part, number of parts) of every node, so that parts take about as long: small leaves that follow
+    one another share a part, a leaf of very many rows has several."""
+    cost = np.where(rows > 0, rows + LEAF_ROWS, 0)
+    target = max(cost.sum() / parts, 1.0)
+    pieces = np.maximum(np.ceil(rows / max(target, BLOCK_ROWS)), 1).astype(np.int64)
+    return ((np.cumsum(cost) - cost) // target).astype(np.int64), pieces
+
+
+def _summed_by_leaf(blocks, known, work, runs):
+    """Sums of work(leaf, points) by run, with the rows of a leaf brought together."""
+    spark = blocks.sparkSession
+    tree, moments = known.value
+    # Much work for each row: several parts for every core.
+    parts = max(blocks.rdd.getNumPartitions(), 4 * spark.sparkContext.defaultParallelism)
+    first, pieces = parts_of_leaves(np.where(tree.children[:, 0] < 0, moments.rows, 0), parts)
+    axes = [f"x{i}" for i in range(len(tree.edges))]
+
+    def placed(batches):
+        tree, _ = known.value
+        for batch in batches:
+            for row in batch.to_pylist():
+                points = np.frombuffer(row["points"]).reshape(row["n"], -1)
+                leaf = tree.leaves(points)
+                part = first[leaf] + np.frombuffer(row["draws"], np.int64) % pieces[leaf]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part), pa.array(leaf), *map(pa.array, np.ascontiguousarray(points.T))], ["part", "leaf", *axes])
+
+    def run(table):
+        sums = work(table["leaf"].to_numpy(), np.column_stack([table[x].to_numpy() for x in axes]))
+        return pa.table({"run": np.arange(runs), **{f"s{i}": sums[:, i].copy() for i in range(3)}})
+
+    rows = blocks.mapInArrow(placed, ", ".join(["part long", "leaf long", *(f"{x} double" for x in axes)]))
+    sums = (rows.repartition(parts, "part").groupBy("part").applyInArrow(run, "run long, s0 long, s1 long, s2 long")
+            .groupBy("run").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(3)]).collect())
+    return {r.run: np.array([r.s0, r.s1, r.s2]) for r in sums}
+
+
 def silhouette_bounds(low, high, own, sizes):
     """(least, largest) silhouette of rows with bounds on their sums of distances to each cluster."""
     rows = np.arange(len(own))
@@ -401,10 +449,12 @@ class Moments:
         weights = np.zeros((len(centres), n.shape[1]))
         weights[:len(taken)] = np.where(whole, n, 0)
         weights[np.arange(len(taken), len(centres)), cluster] = n[at, cluster]
-        squared = squared_distances(points, centres)
-        slack = self.room  # centres are known to a unit
-        return (np.maximum(np.sqrt(squared) - slack, 0) @ weights,
-                (np.sqrt(squared + variance) + slack) @ weights)
+        slack, lows, highs = self.room, [], []  # centres are known to a unit
+        for start in range(0, len(points), DISTANCE_ROWS):
+            squared = squared_distances(points[start:start + DISTANCE_ROWS], centres)
+            lows.append(np.maximum(np.sqrt(squared) - slack, 0) @ weights)
+            highs.append((np.sqrt(squared + variance) + slack) @ weights)
+        return np.concatenate(lows), np.concatenate(highs)
 
 
 def _together(one, other):
