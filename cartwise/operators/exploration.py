@@ -25,41 +25,47 @@ def monthly_revenue(clean, digits=0):
 def sales_rollup(clean):
     """Mergeable sales per (month, country): revenue, and who bought and which orders as bitmaps.
 
-    Rows (month, country, kind, bucket, name, bits, revenue): a bitmap holds 32,768 consecutive numbers of
-    customers or orders, so numbers should be given out in sequence. An order whose name is no
-    number is a row of its own. Unlike counts of distinct customers, bitmaps of several months or countries
-    can be put together without reading the lines again.
+    Rows (month, country, kind, bucket, name, bits, revenue): the bits of a long stand for 64 consecutive
+    numbers of customers or orders. So short a bitmap takes no more room than the numbers in it where these
+    lie far apart, and is a buffer that a hash aggregate changes in place. An order whose name is no number is
+    a row of its own. Unlike counts of distinct customers, bitmaps of several months or countries can be put
+    together without reading the lines again.
     """
     number = F.col("invoice").try_cast("bigint")
     lines = clean.select(
         month_start("invoice_date").alias("month"), "country", "line_total", F.stack(
             F.lit(2), F.lit("customer"), F.col("customer_id"), F.lit(None).cast("string"),
             F.lit("order"), number, F.when(number.isNull(), F.col("invoice"))).alias("kind", "number", "name"))
-    known = F.col("number").isNotNull()
-    return (lines.groupBy("month", "country", "kind",
-                          F.when(known, F.bitmap_bucket_number("number")).alias("bucket"), "name")
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.coalesce("number", F.lit(0)))).alias("bits"),
+    place = F.coalesce("number", F.lit(0)).bitwiseAND(F.lit(63).cast("long")).cast("int")
+    return (lines.groupBy("month", "country", "kind", F.shiftright("number", 6).alias("bucket"), "name")
+            .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place)).alias("bits"),
                  exact_sum(F.when(F.col("kind") == "order", F.col("line_total"))).alias("revenue")))
 
 
+def _merged(rollup, by):
+    return rollup.groupBy(*by, "kind", "bucket", "name").agg(
+        F.bit_or("bits").alias("bits"), F.sum("revenue").alias("revenue"))
+
+
 def distinct_sales(rollup, by=()):
     """Customers, orders and revenue of the rolled-up rows, each customer and order once per group."""
-    merged = rollup.groupBy(*by, "kind", "bucket", "name").agg(
-        F.bitmap_or_agg("bits").alias("bits"), F.sum("revenue").alias("revenue"))
-
     def distinct(kind):
-        return F.sum(F.when(F.col("kind") == kind, F.bitmap_count("bits")).otherwise(0))
+        return F.sum(F.when(F.col("kind") == kind, F.bit_count("bits")).otherwise(0))
 
-    return merged.groupBy(*by).agg(
+    return _merged(rollup, by).groupBy(*by).agg(
         distinct("customer").alias("customers"), distinct("order").alias("orders"), F.sum("revenue").alias("revenue"))
 
 
 def rolling_sales(rollup, months=3):
     """Customers, orders and revenue of the `months` months that end with each month."""
-    ends = rollup.select("*", F.explode(F.sequence(F.lit(0), F.lit(months - 1))).alias("later")).withColumn(
+    # Countries are put together first, so that fewer rows are repeated for the months that follow.
+    ends = _merged(rollup, ("month",)).select(
+        "*", F.explode(F.sequence(F.lit(0), F.lit(months - 1))).alias("later")).withColumn(
         "until", F.add_months("month", F.col("later")))
-    last = rollup.agg(F.max("month")).scalar()
-    return distinct_sales(ends.where(F.col("until") <= last), ("until",))
+    # The last month reaches months - 1 further; the window runs over one row per month.
+    last = F.add_months(F.max("until").over(Window.partitionBy()), 1 - months)
+    found = distinct_sales(ends, ("until",)).withColumn("last", last)
+    return found.where(F.col("until") <= F.col("last")).drop("last")
 
 
 def revenue_by_country(clean):
