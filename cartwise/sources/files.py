@@ -4,7 +4,7 @@ from functools import reduce
 from pyspark.sql import functions as F, types as T
 
 from ..schemas import COLUMN_NAMES, FEATURES, MISSING_TOKENS, RAW_TRANSACTIONS, SOURCE_FILE
-from ..staging import checkpointed, new_folder, run_together
+from ..staging import new_folder, run_together, written
 from .quoted import read_quoted_csv
 
 CORRUPT = "corrupt_record"
@@ -282,7 +282,7 @@ def publish(df, name):
 
 def taken(name, spark):
     """The rows of a table, kept in the shared folder, and the table dropped."""
-    rows = checkpointed(spark.table(name))
+    rows = written(spark.table(name), "taken")
     spark.sql(f"DROP TABLE {name}")
     return rows
 

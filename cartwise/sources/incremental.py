@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import as_time
 from ..schemas import RAW_TRANSACTIONS
-from ..staging import checkpointed
+from ..staging import written
 from .files import append_to_base_table, create_base_table
 
 #: Lines to a word of 64 bits, and bits set for a line: one in some 40 new lines is a candidate.
@@ -39,8 +39,8 @@ def _keyed(lines):
 
 
 def _words(keyed, sizes):
-    """(month, words, word, bits) of lines; sizes: (month, words)."""
-    return (keyed.join(sizes, "month")
+    """(month, words, word, bits) of lines; sizes: (month, words), a row per month, so the lines stay in place."""
+    return (keyed.join(F.broadcast(sizes), "month")
             .groupBy("month", "words", F.pmod(F.col("digest"), F.col("words")).alias("word"))
             .agg(F.bit_or("mask").alias("bits")))
 
@@ -62,7 +62,7 @@ def candidates(keyed, known):
     """The lines, distinct, with `maybe`: whether the filter cannot rule out that they are there."""
     words = known.groupBy("month", "words", "word").agg(F.bit_or("bits").alias("bits"))
     sizes = known.groupBy("month").agg(F.max("words").alias("words"))
-    placed = keyed.dropDuplicates().join(sizes, "month", "left").withColumn(
+    placed = keyed.dropDuplicates().join(F.broadcast(sizes), "month", "left").withColumn(
         "word", F.pmod(F.col("digest"), F.col("words")))
     return placed.join(words, ["month", "words", "word"], "left").withColumn(
         "maybe", F.coalesce(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"), F.lit(False))
@@ -101,8 +101,11 @@ def not_there(maybe, base):
 def append_new_lines(lines, name="raw_transactions"):
     """Append the lines that the table does not have, each once, and return how many."""
     spark = lines.sparkSession
-    checked = checkpointed(candidates(_keyed(lines.to(RAW_TRANSACTIONS)), spark.table(filter_name(name))))
-    new = checkpointed(checked.where("NOT maybe").unionByName(not_there(checked.where("maybe"), spark.table(name))))
+    keyed = _keyed(lines.to(RAW_TRANSACTIONS).dropDuplicates())
+    # Month, digest and mask follow from the columns and are not written.
+    checked = _keyed(written(candidates(keyed, spark.table(filter_name(name))).drop("month", "digest", "mask"), "checked"))
+    late = written(not_there(checked.where("maybe"), spark.table(name)), "late")
+    new = checked.where("NOT maybe").unionByName(late)
     # A month that the filter has keeps its size.
     sizes = new.groupBy("month").agg(F.coalesce(
         F.max("words"), F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / LINES_PER_WORD)).cast("long")).alias("words"))

@@ -35,6 +35,16 @@ def checkpointed(df):
     return df.checkpoint()
 
 
+def written(df, name):
+    """The rows written to the shared folder as compressed columns, and read back.
+
+    For lines, of which a checkpoint would write several times as much.
+    """
+    folder = new_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def new_folder(spark, name):
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 

@@ -146,3 +146,22 @@ def test_a_rank_that_makes_sense(customers):  # noqa: F811
     once = [280, 1, 60, 60, 290, 2, 0, 0.5, 1]
     low, high = model.margins(np.array([loyal, once], float))
     assert low < 0 < high
+
+
+def test_some_partitions_need_no_job_for_every_level(customers, monkeypatch):  # noqa: F811
+    few = Settings(rounds=6)
+    one = boosting.fit(customers, few)[0][0]
+    monkeypatch.setattr(boosting, "ROWS_PER_PARTITION", 300)
+    monkeypatch.setattr(boosting, "SumsByJob", None)
+    some = boosting.fit(customers.repartition(5), few)[0][0]
+    assert np.array_equal(one.feature, some.feature) and np.array_equal(one.value, some.value)
+
+
+def test_nodes_by_column_and_by_row_are_the_same(monkeypatch):
+    own = np.random.RandomState(1)
+    bins = own.randint(0, 64, (5, 400)).astype(np.uint8)
+    feature, cut = own.randint(0, 5, 15), own.choice([3, 20, 40, 255], 15)
+    by_column = [boosting._reach(bins, feature, cut, levels) for levels in range(4)]
+    monkeypatch.setattr(boosting, "_BY_NODE", 0)
+    for levels, at in enumerate(by_column):
+        assert np.array_equal(at, boosting._reach(bins, feature, cut, levels))

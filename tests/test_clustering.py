@@ -114,3 +114,32 @@ def test_coarser_grid_when_too_many_cells(spark):
     blocks, _ = clustering.blocks_of(df, COLUMNS)
     edges, cells, counts = clustering.grid(blocks, clustering.quantile_edges(df, COLUMNS, 64), most=50)
     assert len(cells) <= 50 and counts.sum() == 400 and max(map(len, edges)) < 63
+
+
+def test_rows_of_a_leaf_come_together_but_for_very_many(monkeypatch):
+    monkeypatch.setattr(clustering, "BLOCK_ROWS", 100)
+    rows = np.array([0, 0, *[10] * 50, 5000, *[10] * 50])
+    first, pieces = clustering.parts_of_leaves(rows, 8)
+    assert (np.diff(first) >= 0).all() and first.max() <= 8
+    assert pieces[52] > 2 and (np.delete(pieces, 52) == 1).all()
+    assert len(np.unique(first[2:52])) > 2
+
+
+def test_cells_are_looked_up_once_for_a_leaf(spark, monkeypatch):
+    """Whatever the number of blocks, a leaf of few rows is in one group."""
+    monkeypatch.setattr(clustering, "BLOCK_ROWS", 50)
+    x = groups(600, seed=4)
+    df = points(spark, x)
+    blocks, _ = clustering.blocks_of(df.repartition(6), COLUMNS)
+    found = []
+
+    def summed(blocks, known, work, runs):
+        tree, moments = known.value
+        first, pieces = clustering.parts_of_leaves(np.where(tree.children[:, 0] < 0, moments.rows, 0), 8)
+        found.append(pieces.max())
+        return clustering_summed(blocks, known, work, runs)
+
+    clustering_summed = clustering._summed_by_leaf
+    monkeypatch.setattr(clustering, "_summed_by_leaf", summed)
+    (value, error), = clustering.silhouettes(df, blocks, [x[:3]], COLUMNS, leaves=64)
+    assert abs(value - brute_silhouette(x, own_labels(x, x[:3]))) <= error and found == [1]

@@ -1,4 +1,5 @@
 import random
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,6 +79,32 @@ def test_the_filter_knows_every_line_and_few_others(spark):
     assert known.count() < lines.count() / 4
 
 
+def test_words_of_lines_move_no_line(spark):
+    """Months are few: the lines are not dealt out by month to learn the size of their filter."""
+    keyed = incremental._keyed(frames.raw(spark, raw_lines(50)).to(RAW_TRANSACTIONS))
+    plan = incremental._words(keyed, incremental._sizes(keyed))._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
+
+
+def test_only_candidates_and_checked_lines_are_written(spark, monkeypatch):
+    name, rows = "base_written", raw_lines(300, seed=8)
+    incremental.create_filtered_table(frames.raw(spark, rows).dropDuplicates(), name)
+    kept = {}
+
+    def written(df, what):
+        kept[what] = incremental_written(df, what)
+        return kept[what]
+
+    incremental_written = incremental.written
+    monkeypatch.setattr(incremental, "written", written)
+    more = [("9000", "A", None, 2, f"2011-03-03 10:00:{i:02d}", 1.0, 5, "France") for i in range(40)]
+    assert incremental.append_new_lines(frames.raw(spark, more), name) == 40
+    assert kept["late"].count() < 20 and not {"digest", "mask"} & set(kept["checked"].columns)
+    assert spark.table(name).count() == len(set(rows)) + 40
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP TABLE {incremental.filter_name(name)}")
+
+
 def test_only_months_of_candidates_are_read(spark):
     name = "base_pruned"
     rows = [(str(i), "A", "x", 1, f"2011-{1 + i % 12:02d}-05 10:00:00", 1.0, i, "France") for i in range(240)]
@@ -138,6 +165,17 @@ def test_bitmaps_of_any_months_count_as_the_lines_do(spark):
     rollup.unpersist()
 
 
+def test_bitmaps_take_no_more_room_than_their_numbers(spark):
+    """Numbers far apart: a bitmap of 32,768 of them would take 4 KB for each."""
+    clean = cleaning.clean_transactions(frames.raw(spark, [
+        (str(1_000_000 * i), "A", "x", 1, "2011-03-03 10:00:00", 1.0, 70_000 * i, "France") for i in range(1, 30)]))
+    rollup = exploration.sales_rollup(clean)
+    assert dict(rollup.dtypes)["bits"] == "bigint" and rollup.count() == 58
+    assert "SortAggregate" not in rollup._jdf.queryExecution().executedPlan().toString()
+    assert exploration.rolling_sales(rollup).first().asDict() | {"revenue": 0} == {
+        "until": date(2011, 3, 1), "customers": 29, "orders": 29, "revenue": 0}
+
+
 def test_two_way_order_serves_both_filters(spark):
     own = random.Random(1)
     rows = [(str(i), "A", "x", 1, f"20{10 + own.randrange(4)}-{own.randrange(1, 13):02d}-{own.randrange(1, 28):02d} 10:00:00",
